@@ -349,7 +349,7 @@ SQL["misclass_long"] = with_stages(_rows(MISCLASS_COLS, True), _bad(PRODUCT_STAN
 def _extract(pattern: str) -> str:
     return with_stages() + f"""
 SELECT product_name,
-  array_to_string(list_transform(range(1, len(n) + 1), i -> n[i] || '|' || u[i] || '|' || coalesce(m[i], '')), ';')
+  array_to_string(list_transform(range(1, len(n) + 1), lambda i: n[i] || '|' || u[i] || '|' || coalesce(m[i], '')), ';')
     AS new_volume_unit,
   CAST(len(n) AS INTEGER) AS nb_volume_unit
 FROM (SELECT product_name, regexp_extract_all(product_name, {pattern}, 1) AS n,
