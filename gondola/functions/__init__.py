@@ -8,7 +8,10 @@ from gondola.functions.agg import (  # noqa: F401
     safe_div,
     sum_or_zero,
 )
-from gondola.functions.text import (  # noqa: F401
+from gondola.functions.text import (
+    amount_text,
+    cast_amount,
+    strip_department_prefix,  # noqa: F401
     classification_path,
     clean_department,
     department_from_zip,

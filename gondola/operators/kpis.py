@@ -84,7 +84,7 @@ def lattice_columns(grains: Sequence[Grain]) -> list[str]:
 
 
 def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str] = (RETAILER,),
-                amount_scale: int | None = None) -> DataFrame:
+                amount_scale: int | None = None, strategy: str = "expand") -> DataFrame:
     """A4/A5: every grain in one long table.
 
     Columns: ``grain``, key, every dimension of any grain (null where the grain
@@ -96,6 +96,18 @@ def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str
     if amount_scale is not None:
         amount = amount.cast(f"decimal(38,{amount_scale})")
     fine = base.groupBy(*key, *dims, "product_id", "product_code").agg(F.sum(amount).alias("turnover"))
+    if strategy == "expand":
+        # one row per (fine row, grain) with the dimensions the grain does not
+        # use set to null; ``grain`` in the key keeps a rolled-up null apart
+        # from a real null.  One aggregation then serves every grain.
+        per_grain = F.inline(F.array(*[
+            F.struct(F.lit(g.name).alias("grain"),
+                     *[(F.col(c).cast("string") if c in g.columns else F.lit(None).cast("string")).alias(c)
+                       for c in dims])
+            for g in grains]))
+        expanded = fine.select(*key, "product_id", "product_code", "turnover", per_grain)
+        out = compute_kpis(expanded, ["grain", *dims], key=key, amount_scale=amount_scale)
+        return out.select("grain", *key, *dims, "turnover", "nb_product_ids", "nb_product_codes")
     frames = []
     for g in grains:
         k = compute_kpis(fine, g.columns, key=key, amount_scale=amount_scale)

@@ -31,12 +31,14 @@ from gondola.config import (
     required_defaults,
 )
 from gondola.functions.text import (
-    clean_department,
+    amount_text,
+    cast_amount,
     department_from_zip,
     fill_empty,
-    parse_amount,
     replace_first,
     strip_chars,
+    strip_department_prefix,
+    zero_fill,
 )
 from gondola.operators.shaping import add_required_columns, set_constants_by_retailer
 
@@ -82,12 +84,13 @@ def standardize_feed(
     df = strip_columns(df, strip)
     df = fill_empty_columns(df, list(levels) + list(segments))
 
-    amounts = {}
-    for c in ("turnover", "volume"):
-        if c in df.columns and isinstance(df.schema[c].dataType, StringType):
-            amounts[c] = parse_amount(F.col(c), strict=strict_amounts)
-    if amounts:
-        df = df.withColumns(amounts)
+    # amounts in two projections: the normalised text is computed once and
+    # not inlined into every branch of the validating cast
+    texts = [c for c in ("turnover", "volume")
+             if c in df.columns and isinstance(df.schema[c].dataType, StringType)]
+    if texts:
+        df = df.withColumns({c: amount_text(F.col(c)) for c in texts})
+        df = df.withColumns({c: cast_amount(F.col(c), strict=strict_amounts) for c in texts})
 
     zip_feeds = feeds_with_zip(feeds)
     if zip_feeds and "zip_code" in df.columns:
@@ -96,7 +99,8 @@ def standardize_feed(
                if "department" in df.columns else from_zip)
         df = df.withColumn("department", dep)
     if "department" in df.columns:
-        df = df.withColumn("department", clean_department(F.col("department")))
+        df = df.withColumn("department", strip_department_prefix(F.col("department")))
+        df = df.withColumn("department", zero_fill(F.col("department")))
 
     if "product_id" in df.columns:
         no_id = feeds_without_id(feeds)

@@ -65,7 +65,7 @@ from gondola.testfeed import (
     RETAILERS_WITH_ID,
     RETAILERS_WITHOUT_ID,
     TEST_FEEDS,
-    FixtureFeed,
+    BronzeFixture,
 )
 
 AMOUNT_SCALE = 2  # fixture amounts carry two decimals: decimal sums are exact
@@ -79,7 +79,7 @@ class Stages:
     """Lazy DataFrames of each stage over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.fx = FixtureFeed(spark, sf_dir)
+        self.fx = BronzeFixture(spark, sf_dir)
 
     @cached_property
     def feed(self) -> DataFrame:
