@@ -1,0 +1,125 @@
+"""Scans and sinks by round trip, bronze shaping, the batch run and the stream."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from gondola.operators.bronze import build_bronze, shape_bronze
+from gondola.plans.models import MODELS
+from gondola.plans.run import run_model
+from gondola.queries import Stages
+from gondola.sources.io import (
+    read_delimited,
+    read_layer,
+    read_tsv,
+    shared_dir,
+    write_delimited,
+    write_layer,
+    write_report,
+    write_silver,
+)
+from gondola.streaming.silver_stream import silver_stream, start_silver_stream
+from gondola.testfeed import RETAILERS, RETAILERS_WITHOUT_ID, TEST_FEEDS
+
+from .conftest import SF_SMALL
+
+
+def test_delimited_reads_text_only(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "feed.csv")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("Code;CA\n01;1 234,5\n")
+    row = read_delimited(spark, p).collect()[0]
+    assert (row["Code"], row["CA"]) == ("01", "1 234,5")  # leading zero and raw amount kept
+
+
+def test_cp1252_and_tsv(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "map.csv")
+    with open(p, "wb") as f:
+        f.write("ENTREPRISE;level_1\nmetro;Café €\n".encode("cp1252"))
+    row = read_delimited(spark, p, encoding="cp1252").collect()[0]
+    assert row["level_1"] == "Café €"
+    t = os.path.join(tmp_dir, "feed.txt")
+    with open(t, "w", encoding="utf-8") as f:
+        f.write("a\tb\n1\t2\n")
+    assert tuple(read_tsv(spark, t).collect()[0]) == ("1", "2")
+
+
+def test_layer_dynamic_overwrite(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "layer")
+    write_layer(spark.createDataFrame([("a", 1), ("b", 2)], "retailer string, v int"), root)
+    write_layer(spark.createDataFrame([("a", 3)], "retailer string, v int"), root)  # re-delivered feed
+    got = sorted((r.retailer, r.v) for r in read_layer(spark, root).collect())
+    assert got == [("a", 3), ("b", 2)]
+    assert [r.v for r in read_layer(spark, root, ["b"]).collect()] == [2]
+
+
+def test_silver_routing_reports_csv(spark, tmp_dir):
+    df = spark.createDataFrame([("a", "1", 1.0), ("z", None, 2.0)], "retailer string, product_id string, t double")
+    write_silver(df, tmp_dir, ["z"])
+    assert read_layer(spark, os.path.join(tmp_dir, "with_id")).count() == 1
+    assert "product_id" not in read_layer(spark, os.path.join(tmp_dir, "without_id")).columns
+    assert write_report(df.filter("t > 5"), tmp_dir, "empty", skip_empty=True) is False
+    assert write_report(df, tmp_dir, "full") is True
+    write_delimited(df, os.path.join(tmp_dir, "csv"))
+    assert spark.read.option("sep", ";").option("header", True).csv(os.path.join(tmp_dir, "csv")).count() == 2
+
+
+def test_shared_dir_uses_checkpoint_dir(spark):
+    assert shared_dir(spark, "x").startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+
+
+def test_bronze_shaping(spark, tmp_dir):
+    y1 = os.path.join(tmp_dir, "SYSCO_2023.txt")
+    y2 = os.path.join(tmp_dir, "SYSCO_2024.txt")
+    with open(y1, "w", encoding="utf-8") as f:
+        f.write("Mois civil YY-MM\tCA Brut\n23-05\t1 234,5\n")
+    with open(y2, "w", encoding="utf-8") as f:
+        f.write("Mois civil YY-MM\tCA Brut\n24-11\t12\n")
+    rows = sorted(tuple(r) for r in build_bronze(spark, "sysco", [y1, y2], fmt="tsv")
+                  .select("year", "month", "CA Brut", "retailer").collect())
+    assert rows == [("2023", "05", "1234,5", "sysco"), ("2024", "11", "12", "sysco")]
+    metro = spark.createDataFrame([("1|2", 5.0), (None, 1.0)], "concatenated_gtin string, CA_HT double")
+    assert shape_bronze("metro", [metro]).count() == 3
+    tg = spark.createDataFrame([("202403",)], "`Annee Mois` string")
+    r = shape_bronze("transgourmet", [tg]).collect()[0]
+    assert (r["Annee"], r["Mois"]) == ("2024", "03")
+    pap = spark.createDataFrame([("0",), ("x",)], "`Sous Sous Famille` string")
+    assert [r[0] for r in shape_bronze("pro_a_pro", [pap]).collect()] == [None, "x"]
+
+
+def test_run_model_writes_every_report(spark, tmp_dir):
+    fx = Stages(spark, SF_SMALL).fx
+    out = run_model(spark, fx.feed, fx.product_map, fx.customer_map, TEST_FEEDS, tmp_dir, model_id=4)
+    for name in ["silver", "match_rate", "kpis", "market_share", "misclassification", "misclassification_long",
+                 "unicity_code_levels", "unmatched_levels_pdt"]:
+        assert os.path.isdir(out[name]), name
+    kpis = spark.read.parquet(out["kpis"])
+    assert kpis.select("grain").distinct().count() == len(MODELS[4].grains) == 20
+    silver = read_layer(spark, out["silver"])
+    total = silver.agg(F.sum("turnover")).collect()[0][0]
+    l1 = kpis.filter("grain = 'l1'").agg(F.sum("turnover")).collect()[0][0]
+    assert abs(total - l1) < 1e-6 * max(1.0, abs(total))
+
+
+def test_model_variants(spark, tmp_dir):
+    fx = Stages(spark, SF_SMALL).fx
+    out = run_model(spark, fx.feed, fx.product_map, None, TEST_FEEDS, tmp_dir, model_id=2)
+    kpis = spark.read.parquet(out["kpis"])
+    assert sorted(r.grain for r in kpis.select("grain").distinct().collect()) == [
+        "l1", "l1Dep", "l2", "l2Dep", "l3", "l3Dep"]
+
+
+def test_silver_stream_matches_batch(spark, tmp_dir):
+    s = Stages(spark, SF_SMALL)
+    feed = s.feed
+    drop = os.path.join(tmp_dir, "drops")
+    for i, r in enumerate(RETAILERS):  # one file drop per retailer
+        feed.filter(F.col("retailer") == r).write.mode("overwrite").parquet(os.path.join(drop, f"d{i}"))
+    stream = silver_stream(spark, os.path.join(drop, "*"), feed.schema, TEST_FEEDS, s.pmap, s.cmap)
+    q = start_silver_stream(stream, os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "ckpt"))
+    q.awaitTermination(300)
+    got = read_layer(spark, os.path.join(tmp_dir, "silver"))
+    assert got.count() == s.silver.count()
+    cols = ["retailer", "product_code", "level_1_standard", "segment_1_standard", "turnover"]
+    assert got.select(*cols).exceptAll(s.silver.select(*cols)).count() == 0
+    assert RETAILERS_WITHOUT_ID == ["middle_east"]
