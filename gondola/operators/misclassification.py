@@ -78,16 +78,20 @@ def conflicting_products(rows: DataFrame, *, levels: Sequence[str] = PRODUCT_STA
 def misclassification_wide(rows: DataFrame, retailers: Sequence[str], *,
                            columns: Sequence[str] = MISCLASS_COLUMNS,
                            levels: Sequence[str] = PRODUCT_STANDARDS, min_present: int = 2,
-                           compat_level4: bool = False) -> DataFrame:
+                           compat_level4: bool = False, as_text: str | None = None) -> DataFrame:
     """R5 wide: ``product_id`` + ``<column>_<retailer>`` = sorted distinct values
-    of that retailer for the product (null when the retailer lacks it)."""
+    of that retailer for the product (null when the retailer lacks it).
+
+    ``as_text`` joins each sorted array into one string with that separator
+    (for flat report formats)."""
     bad = conflicting_products(rows, levels=levels, min_present=min_present, compat_level4=compat_level4)
     kept = rows.join(bad, KEY, "left_semi")
     aggs = []
     for r in retailers:
         for c in columns:
             vals = F.array_sort(F.collect_set(F.when(F.col(RETAILER) == F.lit(r), F.col(c))))
-            aggs.append(F.when(F.size(vals) > 0, vals).alias(f"{c}_{r}"))
+            out = F.array_join(vals, as_text) if as_text is not None else vals
+            aggs.append(F.when(F.size(vals) > 0, out).alias(f"{c}_{r}"))
     return kept.groupBy(KEY).agg(*aggs)
 
 

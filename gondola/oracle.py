@@ -326,8 +326,8 @@ def _wide(columns) -> str:
     items = []
     for r in RETAILERS_WITH_ID:
         for c in columns:
-            items.append(f"list(DISTINCT {c} ORDER BY {c}) FILTER (WHERE retailer = '{r}' AND {c} IS NOT NULL) "
-                         f"AS {c}_{r}")
+            items.append(f"array_to_string(list(DISTINCT {c} ORDER BY {c}) FILTER "
+                         f"(WHERE retailer = '{r}' AND {c} IS NOT NULL), '|') AS {c}_{r}")
     return (f"SELECT product_id, {', '.join(items)} FROM rows "
             f"WHERE product_id IN (SELECT product_id FROM bad) GROUP BY product_id")
 

@@ -71,6 +71,7 @@ from gondola.testfeed import (
 AMOUNT_SCALE = 2  # fixture amounts carry two decimals: decimal sums are exact
 SHARE_ON_ZERO = "null"
 MIN_PRESENT = 2
+WIDE_SEPARATOR = "|"  # registered wide reports hold sorted distinct values as text
 LEFT_UNIT_FEED, RIGHT_UNIT_FEED = "africa", "america"
 TWO_LEVEL_COLUMNS = ["product_name", "classification", "level_1_standard", "level_2_standard"]
 
@@ -326,7 +327,7 @@ def q_placeholder_class_filter(spark, sf_dir):
 
 def q_misclass_wide(spark, sf_dir):
     rows = comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID)
-    return misclassification_wide(rows, RETAILERS_WITH_ID, min_present=MIN_PRESENT)
+    return misclassification_wide(rows, RETAILERS_WITH_ID, min_present=MIN_PRESENT, as_text=WIDE_SEPARATOR)
 
 
 def q_misclass_long(spark, sf_dir):
@@ -338,7 +339,7 @@ def q_misclass_two_levels(spark, sf_dir):
     rows = comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID, columns=TWO_LEVEL_COLUMNS,
                            placeholder_level=None)
     return misclassification_wide(rows, RETAILERS_WITH_ID, columns=TWO_LEVEL_COLUMNS,
-                                  levels=PRODUCT_STANDARDS[:2], min_present=MIN_PRESENT)
+                                  levels=PRODUCT_STANDARDS[:2], min_present=MIN_PRESENT, as_text=WIDE_SEPARATOR)
 
 
 # ---------------------------------------------------------------- extracts
