@@ -50,6 +50,32 @@ def strip_chars(c) -> Column:
     return F.when(edge, F.btrim(s, ws)).otherwise(s)
 
 
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_text(text: str) -> str:
+    return "'" + "".join(f"\\u{ord(ch):04X}" for ch in text) + "'"
+
+
+def strip_chars_expr(name: str) -> Column:
+    """``strip_chars`` of a named column as one SQL expression.
+
+    Same result; built with a single call into the JVM, which matters when a
+    projection strips dozens of columns.
+    """
+    c, ws = _sql_name(name), _sql_text(UNICODE_WHITESPACE)
+    s = f"CAST({c} AS STRING)"
+    return F.expr(f"CASE WHEN position(substring({s}, 1, 1), {ws}) > 0 OR position(substring({s}, -1, 1), {ws}) > 0 "
+                  f"THEN btrim({s}, {ws}) ELSE {s} END")
+
+
+def fill_empty_expr(name: str, value: str = NOT_FILLED) -> Column:
+    """``fill_empty`` of a named column as one SQL expression."""
+    c = _sql_name(name)
+    return F.expr(f"CASE WHEN {c} IS NULL OR {c} = '' THEN {_sql_text(value)} ELSE {c} END")
+
+
 def fill_empty(c, value: str = NOT_FILLED) -> Column:
     """Null or empty text becomes ``value``."""
     c = _col(c)

@@ -154,3 +154,11 @@ def test_row_wise_counts(spark):
     df = spark.createDataFrame([("a", None, "a"), (None, None, None), ("a", "b", None)], "x string, y string, z string")
     assert values(df, null_count(["x", "y", "z"])) == [1, 3, 1]
     assert values(df, distinct_non_null_count(["x", "y", "z"])) == [1, 0, 2]
+
+
+def test_sql_forms_equal_column_forms(spark):
+    from gondola.functions.text import fill_empty_expr, strip_chars_expr
+
+    df = one_col(spark, ["  a b\t", " x　", "", None, " \t ", "`q`", "plain"])
+    assert values(df, strip_chars_expr("x")) == values(df, strip_chars(F.col("x")))
+    assert values(df, fill_empty_expr("x")) == values(df, fill_empty(F.col("x")))
