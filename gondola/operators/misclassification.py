@@ -20,8 +20,6 @@ Product-level rule (one row per product id):
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,20 +57,26 @@ def conflicting_products(rows: DataFrame, *, levels: Sequence[str] = PRODUCT_STA
                          min_present: int = 2, presence_level: str = "level_1_standard",
                          compat_level4: bool = False) -> DataFrame:
     """Product ids passing the presence threshold with a cross-retailer conflict."""
-    compared = _compared_levels(levels, compat_level4)
+    compared = list(dict.fromkeys(_compared_levels(levels, compat_level4)))
     used = list(dict.fromkeys([presence_level, *compared]))
-    v = rows.select(KEY, RETAILER, *used).distinct()
-
-    def retailers_with(c):
-        return F.count_distinct(F.when(F.col(c).isNotNull(), F.col(RETAILER)))
-
-    aggs = [retailers_with(presence_level).alias("n_present")]
-    conflicts = []
-    for i, c in enumerate(dict.fromkeys(compared)):
-        aggs += [retailers_with(c).alias(f"r{i}"), F.count_distinct(c).alias(f"v{i}")]
-        conflicts.append((F.col(f"r{i}") >= 2) & (F.col(f"v{i}") >= 2))
-    stats = v.groupBy(KEY).agg(*aggs)
-    return stats.filter((F.col("n_present") >= min_present) & reduce(or_, conflicts)).select(KEY)
+    # one row per (product, retailer, level, non-null value)
+    stacked = rows.select(KEY, RETAILER, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("value")) for c in used]))
+    ).filter(F.col("value").isNotNull())
+    # per (product, level): distinct retailers and distinct values, as two
+    # de-duplications whose groups count once each (no multi-distinct expand)
+    by_retailer = stacked.select(KEY, "level", RETAILER).distinct().select(
+        KEY, "level", F.lit(1).alias("_r"), F.lit(0).alias("_v"))
+    by_value = stacked.select(KEY, "level", "value").distinct().select(
+        KEY, "level", F.lit(0).alias("_r"), F.lit(1).alias("_v"))
+    per_level = by_retailer.unionByName(by_value).groupBy(KEY, "level").agg(
+        F.sum("_r").alias("n_retailers"), F.sum("_v").alias("n_values"))
+    conflict = F.col("level").isin(*compared) & (F.col("n_retailers") >= 2) & (F.col("n_values") >= 2)
+    stats = per_level.groupBy(KEY).agg(
+        F.coalesce(F.max(F.when(F.col("level") == presence_level, F.col("n_retailers"))), F.lit(0))
+        .alias("n_present"),
+        F.max(conflict.cast("int")).alias("conflict"))
+    return stats.filter((F.col("n_present") >= min_present) & (F.col("conflict") == 1)).select(KEY)
 
 
 def misclassification_wide(rows: DataFrame, retailers: Sequence[str], *,
