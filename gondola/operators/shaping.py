@@ -130,3 +130,12 @@ def tag_retailer(df: DataFrame, name: str, column: str = "retailer") -> DataFram
 def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Vertical concat by column name (U1; ``allow_missing`` gives U2)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
+
+
+def feed_catalog(spark, feeds) -> DataFrame:
+    """One row per feed with its metadata (turnover type, whether it has
+    product ids, whether its department comes from a zip code), to join to
+    KPI rows on ``retailer`` when a report needs it."""
+    rows = [(f.name, f.turnover_type, f.with_product_id, f.department_from_zip) for f in feeds]
+    return spark.createDataFrame(
+        rows, "retailer string, turnover_type string, has_product_id boolean, department_from_zip boolean")

@@ -26,6 +26,7 @@ from gondola.operators.misclassification import (
 )
 from gondola.operators.quality import match_rate, unicity_checks, unmatched_customers, unmatched_products
 from gondola.operators.standardize import prepare_customer_map, prepare_product_map, standardize_feed
+from gondola.operators.shaping import feed_catalog
 from gondola.plans.models import MODELS, Model
 from gondola.sources.io import read_layer, write_layer, write_report
 
@@ -74,7 +75,9 @@ def run_model(spark: SparkSession, feed: DataFrame, product_map: DataFrame, cust
     write_layer(silver, silver_path)
     silver = read_layer(spark, silver_path)
     out = {"silver": silver_path}
-    for name, df in build_reports(silver, std, feeds, model, min_present=min_present).items():
+    reports = build_reports(silver, std, feeds, model, min_present=min_present)
+    reports["feeds"] = feed_catalog(spark, feeds)
+    for name, df in reports.items():
         path = os.path.join(out_root, "reports", name)
         write_report(df, os.path.join(out_root, "reports"), name)
         out[name] = path

@@ -91,10 +91,12 @@ def test_run_model_writes_every_report(spark, tmp_dir):
     fx = Stages(spark, SF_SMALL).fx
     out = run_model(spark, fx.feed, fx.product_map, fx.customer_map, TEST_FEEDS, tmp_dir, model_id=4)
     for name in ["silver", "match_rate", "kpis", "market_share", "misclassification", "misclassification_long",
-                 "unicity_code_levels", "unmatched_levels_pdt"]:
+                 "unicity_code_levels", "unmatched_levels_pdt", "feeds"]:
         assert os.path.isdir(out[name]), name
     kpis = spark.read.parquet(out["kpis"])
     assert kpis.select("grain").distinct().count() == len(MODELS[4].grains) == 20
+    feeds = {r.retailer: r.has_product_id for r in spark.read.parquet(out["feeds"]).collect()}
+    assert feeds["middle_east"] is False and feeds["africa"] is True
     silver = read_layer(spark, out["silver"])
     total = silver.agg(F.sum("turnover")).collect()[0][0]
     l1 = kpis.filter("grain = 'l1'").agg(F.sum("turnover")).collect()[0][0]
