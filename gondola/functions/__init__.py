@@ -8,15 +8,15 @@ from gondola.functions.agg import (  # noqa: F401
     safe_div,
     sum_or_zero,
 )
-from gondola.functions.text import (
+from gondola.functions.text import (  # noqa: F401
     amount_text,
     cast_amount,
-    strip_department_prefix,  # noqa: F401
     classification_path,
     clean_department,
     department_from_zip,
     extract_quantities,
     fill_empty,
+    fill_empty_expr,
     format_quantities,
     null_if,
     parse_amount,
@@ -24,6 +24,8 @@ from gondola.functions.text import (
     replace_first,
     replace_first_literal,
     strip_chars,
+    strip_chars_expr,
+    strip_department_prefix,
     widen_year,
     zero_fill,
 )

@@ -120,10 +120,6 @@ def with_views() -> str:
 
 # ---------------------------------------------------------------- shaping
 
-FEED_COLUMNS = ["retailer", "product_id", "product_code", "product_name", "brand_name", "level_1", "level_2",
-                "level_3", "segment_1", "segment_2", "segment_3", "department", "zip_code", "year", "month",
-                "turnover", "volume", "volume_unit"]
-
 SQL: dict[str, str] = {}
 
 SQL["feed_rename"] = with_views() + "SELECT * FROM feed"
