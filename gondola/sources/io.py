@@ -83,11 +83,23 @@ def write_layer(df: DataFrame, root: str, *, mode: str = "overwrite") -> None:
 
 
 def write_silver(silver: DataFrame, root: str, without_id: Sequence[str]) -> None:
-    """Silver routed to ``with_id`` / ``without_id`` by the presence of
-    product ids, each partitioned by retailer."""
+    """Silver routed to ``route=with_id`` / ``route=without_id`` by the
+    presence of product ids, each partitioned by retailer.
+
+    One job writes both routes (the route is the first partition column), so
+    silver is computed once; feeds without ids carry a null ``product_id``,
+    which ``read_silver(..., "without_id")`` drops.
+    """
     no_id = F.col(RETAILER).isin(*without_id) if without_id else F.lit(False)
-    write_layer(silver.filter(~no_id), os.path.join(root, "with_id"))
-    write_layer(silver.filter(no_id).drop("product_id"), os.path.join(root, "without_id"))
+    routed = silver.withColumn("route", F.when(no_id, F.lit("without_id")).otherwise(F.lit("with_id")))
+    (routed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("route", RETAILER).parquet(root))
+
+
+def read_silver(spark: SparkSession, root: str, route: str) -> DataFrame:
+    """One route of a silver layer written by ``write_silver``."""
+    df = spark.read.option("basePath", root).parquet(root).filter(F.col("route") == route).drop("route")
+    return df.drop("product_id") if route == "without_id" else df
 
 
 def write_report(df: DataFrame, root: str, name: str, *, skip_empty: bool = False) -> bool:

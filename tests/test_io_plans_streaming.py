@@ -11,6 +11,7 @@ from gondola.queries import Stages
 from gondola.sources.io import (
     read_delimited,
     read_layer,
+    read_silver,
     read_tsv,
     shared_dir,
     write_delimited,
@@ -55,9 +56,10 @@ def test_layer_dynamic_overwrite(spark, tmp_dir):
 
 def test_silver_routing_reports_csv(spark, tmp_dir):
     df = spark.createDataFrame([("a", "1", 1.0), ("z", None, 2.0)], "retailer string, product_id string, t double")
-    write_silver(df, tmp_dir, ["z"])
-    assert read_layer(spark, os.path.join(tmp_dir, "with_id")).count() == 1
-    assert "product_id" not in read_layer(spark, os.path.join(tmp_dir, "without_id")).columns
+    write_silver(df, os.path.join(tmp_dir, "silver"), ["z"])
+    assert read_silver(spark, os.path.join(tmp_dir, "silver"), "with_id").count() == 1
+    no_id = read_silver(spark, os.path.join(tmp_dir, "silver"), "without_id")
+    assert no_id.count() == 1 and "product_id" not in no_id.columns
     assert write_report(df.filter("t > 5"), tmp_dir, "empty", skip_empty=True) is False
     assert write_report(df, tmp_dir, "full") is True
     write_delimited(df, os.path.join(tmp_dir, "csv"))
