@@ -77,10 +77,14 @@ def run_model(spark: SparkSession, feed: DataFrame, product_map: DataFrame, cust
     out = {"silver": silver_path}
     reports = build_reports(silver, std, feeds, model, min_present=min_present)
     reports["feeds"] = feed_catalog(spark, feeds)
+    report_root = os.path.join(out_root, "reports")
+    # the lattice is written once; shares are computed from the written table
+    write_report(reports.pop("kpis"), report_root, "kpis")
+    out["kpis"] = os.path.join(report_root, "kpis")
+    reports["market_share"] = market_share_lattice(spark.read.parquet(out["kpis"]), model.grains)
     for name, df in reports.items():
-        path = os.path.join(out_root, "reports", name)
-        write_report(df, os.path.join(out_root, "reports"), name)
-        out[name] = path
+        write_report(df, report_root, name)
+        out[name] = os.path.join(report_root, name)
     return out
 
 
