@@ -165,3 +165,17 @@ def prepare_customer_map(
 ) -> DataFrame:
     """Same steps as R2 on the customer correspondence table."""
     return _prepare_map(mapping, owner, segments, standards, retailers, {}, strip)
+
+
+def union_feed_maps(frames: Mapping[str, DataFrame], feeds: Sequence[FeedSpec],
+                    owner: str = PRODUCT_MAP_OWNER) -> DataFrame:
+    """Model 1 (Q11): one correspondence sheet per feed, written with that
+    feed's native column names.  Each is renamed with its feed's map, tagged
+    with its owner and the sheets are concatenated by name (missing columns
+    become null, then ``NON RENSEIGNE`` in the preparation)."""
+    from gondola.operators.shaping import rename_columns, union_all
+
+    by_name = {f.name: f for f in feeds}
+    parts = [rename_columns(df, by_name[name].rename).withColumn(owner, F.lit(name))
+             for name, df in frames.items()]
+    return union_all(parts, allow_missing=True)

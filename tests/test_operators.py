@@ -287,3 +287,14 @@ def test_map_products_on_retailer_key(spark):
                                + ", level_1_standard string")
     got = {r.retailer: r.level_1_standard for r in map_products(feed, pm, standards=["level_1_standard"]).collect()}
     assert got == {"r1": "S", "r2": None}
+
+
+def test_union_feed_maps_renames_per_sheet(spark):
+    from gondola.config import FEEDS
+    from gondola.operators.standardize import union_feed_maps
+
+    coup = spark.createDataFrame([("F", "Std1")], "`[Famille Produit]` string, `Modele 1 Niv 1 BIS` string")
+    metro = spark.createDataFrame([("SA1", "Std2")], "SA string, `Modele 1 Niv 1 BIS` string")
+    out = union_feed_maps({"coup_de_pates": coup, "metro": metro}, list(FEEDS.values()))
+    got = sorted((r.ENTREPRISE, r.level_1, r.level_1_standard) for r in out.collect())
+    assert got == [("coup_de_pates", "F", "Std1"), ("metro", "SA1", "Std2")]
