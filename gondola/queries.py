@@ -43,7 +43,7 @@ from gondola.operators.misclassification import (
     misclassification_long,
     misclassification_wide,
 )
-from gondola.operators.quality import match_rate, unicity_checks, unmatched_customers, unmatched_products
+from gondola.operators.quality import match_rate_by_keys, unicity_checks, unmatched_by_keys
 from gondola.operators.shaping import (
     add_required_columns,
     explode_list,
@@ -248,15 +248,17 @@ def q_silver(spark, sf_dir):
 
 def q_match_rate(spark, sf_dir):
     s = Stages(spark, sf_dir)
-    return match_rate(s.std, s.silver)
+    return match_rate_by_keys(s.std, s.pmap, s.cmap)
 
 
 def q_unmatched_products(spark, sf_dir):
-    return unmatched_products(Stages(spark, sf_dir).silver)
+    s = Stages(spark, sf_dir)
+    return unmatched_by_keys(s.std, s.pmap, PRODUCT_LEVELS, PRODUCT_STANDARDS)
 
 
 def q_unmatched_customers(spark, sf_dir):
-    return unmatched_customers(Stages(spark, sf_dir).silver)
+    s = Stages(spark, sf_dir)
+    return unmatched_by_keys(s.std, s.cmap, CUSTOMER_SEGMENTS, CUSTOMER_STANDARDS)
 
 
 def _unicity(name):

@@ -16,7 +16,7 @@ from gondola.operators.misclassification import (
     misclassification_long,
     misclassification_wide,
 )
-from gondola.operators.quality import check_unicity, match_rate, unmatched_products
+from gondola.operators.quality import check_unicity, match_rate, match_rate_by_keys, unmatched_products
 from gondola.operators.shaping import (
     add_required_columns,
     explode_list,
@@ -118,6 +118,13 @@ def test_mapping_fan_out_and_quality(spark):
     assert {r.classification for r in rows if r.product_code == "C1"} == {">".join(["A"] + ["NON RENSEIGNE"] * 6)}
     mr = {r.retailer: tuple(r)[1:] for r in match_rate(std, silver).collect()}
     assert mr == {"r1": (1, 2, 2), "r2": (1, 1, 0)}
+    pm = prepare_product_map(product_map_frame(spark), retailers=["r1", "r2"],
+                             standards=["level_1_standard", "level_2_standard"])
+    cm = add_required_columns(spark.createDataFrame([("r1", "s", "PRO")],
+                                                    "retailer string, segment_1 string, segment_1_standard string"),
+                              {c: "NON RENSEIGNE" for c in CUSTOMER_SEGMENTS})
+    by_keys = {r.retailer: tuple(r)[1:] for r in match_rate_by_keys(std, pm, cm).collect()}
+    assert by_keys == mr
     assert unmatched_products(silver, standards=["level_1_standard", "level_2_standard"]).count() == 0
 
 
