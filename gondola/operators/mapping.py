@@ -83,3 +83,19 @@ def build_silver(
                            broadcast_maps=broadcast_maps)
     silver = select_existing(mapped, [RETAILER, *columns])
     return silver.withColumn("classification", classification_path(list(levels)))
+
+
+def mapped_product_keys(feed: DataFrame, product_map: DataFrame, *,
+                        levels: Sequence[str] = PRODUCT_LEVELS,
+                        standards: Sequence[str] = PRODUCT_STANDARDS,
+                        keys: Sequence[str] = ("product_id", "product_code")) -> DataFrame:
+    """Distinct product keys x native levels of the feed, with their standards.
+
+    Holds exactly the distinct (retailer, keys, levels, standards) combinations
+    of silver (left joins only repeat lines), from a table bounded by the
+    product catalogue instead of the sales lines; reports that look only at
+    product classification (unicity checks) run on it.
+    """
+    present = [k for k in keys if k in feed.columns]
+    distinct_keys = feed.select(RETAILER, *present, *levels).distinct()
+    return map_products(distinct_keys, product_map, levels=levels, standards=standards)

@@ -36,7 +36,7 @@ from gondola.functions.text import (
 )
 from gondola.operators import extracts as ex
 from gondola.operators.kpis import compute_kpis, kpi_grains, kpi_lattice
-from gondola.operators.mapping import build_silver, map_customers, map_products
+from gondola.operators.mapping import build_silver, map_customers, map_products, mapped_product_keys
 from gondola.operators.market_share import market_share, market_share_lattice
 from gondola.operators.misclassification import (
     comparison_rows,
@@ -263,7 +263,8 @@ def q_unmatched_customers(spark, sf_dir):
 
 def _unicity(name):
     def fn(spark, sf_dir):
-        return unicity_checks(Stages(spark, sf_dir).silver, RETAILERS_WITHOUT_ID)[name]
+        s = Stages(spark, sf_dir)
+        return unicity_checks(mapped_product_keys(s.std, s.pmap), RETAILERS_WITHOUT_ID)[name]
     fn.__name__ = f"q_{name}"
     return fn
 
@@ -348,7 +349,7 @@ def q_misclass_two_levels(spark, sf_dir):
 
 def _volume_extract(pattern=None):
     def fn(spark, sf_dir):
-        names = ex.distinct_names(Stages(spark, sf_dir).silver)
+        names = ex.distinct_names(Stages(spark, sf_dir).std)  # left joins add no new names
         q = ex.quantity_extract(names, pattern=pattern) if pattern else ex.quantity_extract(names)
         return q.select("product_name", format_quantities("new_volume_unit").alias("new_volume_unit"),
                         "nb_volume_unit")
@@ -360,11 +361,11 @@ q_volume_extract_strict = _volume_extract(QUANTITY_PATTERN_STRICT)
 
 
 def q_volume_extract_stats(spark, sf_dir):
-    return ex.quantity_stats(Stages(spark, sf_dir).silver)
+    return ex.quantity_stats(Stages(spark, sf_dir).std)  # distinct names: the joins add none
 
 
 def q_volume_missing_sample(spark, sf_dir):
-    s = ex.names_without_quantity(Stages(spark, sf_dir).silver, n=40, seed=42)
+    s = ex.names_without_quantity(Stages(spark, sf_dir).std, n=40, seed=42)
     return s.select("product_name", "nb_volume_unit")
 
 
@@ -373,7 +374,7 @@ def q_product_sample(spark, sf_dir):
 
 
 def q_volume_units(spark, sf_dir):
-    return ex.volume_units(Stages(spark, sf_dir).silver)
+    return ex.volume_units(Stages(spark, sf_dir).std)  # distinct units: the joins add none
 
 
 def q_volume_units_by_level(spark, sf_dir):
