@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 
 from gondola.config import FeedSpec, feeds_with_id, feeds_without_id
 from gondola.operators.kpis import kpi_lattice
-from gondola.operators.mapping import build_silver
+from gondola.config import PRODUCT_LEVELS
+from gondola.operators.mapping import build_silver, mapped_product_keys
 from gondola.operators.market_share import market_share_lattice
 from gondola.operators.misclassification import (
     comparison_rows,
     misclassification_long,
     misclassification_wide,
 )
-from gondola.operators.quality import match_rate, unicity_checks, unmatched_customers, unmatched_products
+from gondola.operators.quality import (
+    match_rate,
+    match_rate_by_keys,
+    unicity_checks,
+    unmatched_by_keys,
+    unmatched_customers,
+    unmatched_products,
+)
 from gondola.operators.standardize import prepare_customer_map, prepare_product_map, standardize_feed
 from gondola.operators.shaping import feed_catalog
 from gondola.plans.models import MODELS, Model
@@ -32,16 +40,31 @@ from gondola.sources.io import read_layer, write_layer, write_report
 
 
 def build_reports(silver: DataFrame, std: DataFrame | None, feeds: Sequence[FeedSpec], model: Model,
-                  *, min_present: int = 2, on_zero_total: str = "ieee") -> dict[str, DataFrame]:
-    """Every report of a model as lazy DataFrames, keyed by report name."""
+                  *, min_present: int = 2, on_zero_total: str = "ieee",
+                  product_map: DataFrame | None = None, customer_map: DataFrame | None = None
+                  ) -> dict[str, DataFrame]:
+    """Every report of a model as lazy DataFrames, keyed by report name.
+
+    With the standardised feed and the prepared maps, the classification
+    reports (match rate, unmatched keys, unicity) run on the feed's distinct
+    mapping keys instead of the silver lines.
+    """
     no_id, with_id = feeds_without_id(feeds), feeds_with_id(feeds)
     reports: dict[str, DataFrame] = {}
-    if std is not None:
+    keyed = std is not None and product_map is not None
+    if keyed and customer_map is not None:
+        reports["match_rate"] = match_rate_by_keys(std, product_map, customer_map)
+    elif std is not None:
         reports["match_rate"] = match_rate(std, silver)
-    reports["unmatched_levels_pdt"] = unmatched_products(silver, standards=model.standards)
+    if keyed:
+        reports["unmatched_levels_pdt"] = unmatched_by_keys(std, product_map, PRODUCT_LEVELS, model.standards)
+        classified = mapped_product_keys(std, product_map, standards=model.standards)
+    else:
+        reports["unmatched_levels_pdt"] = unmatched_products(silver, standards=model.standards)
+        classified = silver
     if model.customer_mapping:
         reports["unmatched_levels_customer"] = unmatched_customers(silver)
-    reports.update(unicity_checks(silver, no_id, standards=model.standards))
+    reports.update(unicity_checks(classified, no_id, standards=model.standards))
     lattice = kpi_lattice(silver, model.grains)
     reports["kpis"] = lattice
     reports["market_share"] = market_share_lattice(lattice, model.grains, on_zero_total=on_zero_total)
@@ -68,14 +91,15 @@ def run_model(spark: SparkSession, feed: DataFrame, product_map: DataFrame, cust
     pmap = prepare_product_map(product_map, retailers=names, standards=model.standards, strip=model.strip_map)
     if customer_map is not None and model.customer_mapping:
         cmap = prepare_customer_map(customer_map, retailers=names)
-        silver = build_silver(std, pmap, cmap, product_standards=model.standards)
     else:
-        silver = build_silver(std, pmap, _empty_customer_map(spark), product_standards=model.standards)
+        cmap = _empty_customer_map(spark)
+    silver = build_silver(std, pmap, cmap, product_standards=model.standards)
     silver_path = os.path.join(out_root, "silver")
     write_layer(silver, silver_path)
     silver = read_layer(spark, silver_path)
     out = {"silver": silver_path}
-    reports = build_reports(silver, std, feeds, model, min_present=min_present)
+    reports = build_reports(silver, std, feeds, model, min_present=min_present, product_map=pmap,
+                            customer_map=cmap if customer_map is not None and model.customer_mapping else None)
     reports["feeds"] = feed_catalog(spark, feeds)
     report_root = os.path.join(out_root, "reports")
     # the lattice is written once; shares are computed from the written table
