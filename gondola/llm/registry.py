@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, simhash
 
 QUERIES = {
     "op3_decontaminate": decontaminate.query,
+    "op4_simhash": simhash.query,
 }
 
 SQL: dict[str, str] = {
