@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, simhash
+from . import decontaminate, exact_dedup, simhash
 
 QUERIES = {
     "op3_decontaminate": decontaminate.query,
     "op4_simhash": simhash.query,
+    "op6_exact_dedup": exact_dedup.query,
 }
 
 SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
+    "op6_exact_dedup": exact_dedup.SQL,
 }
