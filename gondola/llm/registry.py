@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, simhash
+from . import decontaminate, exact_dedup, mixing, simhash
 
 QUERIES = {
     "op3_decontaminate": decontaminate.query,
     "op4_simhash": simhash.query,
     "op6_exact_dedup": exact_dedup.query,
+    "op10_mixing": mixing.query,
 }
 
 SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op10_mixing": mixing.SQL,
 }
