@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, mixing, simhash
+from . import decontaminate, exact_dedup, mixing, sharding, simhash
 
 QUERIES = {
+    "op2_sharding": sharding.query,
     "op3_decontaminate": decontaminate.query,
     "op4_simhash": simhash.query,
     "op6_exact_dedup": exact_dedup.query,
