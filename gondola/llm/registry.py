@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, mixing, sharding, simhash
+from . import decontaminate, exact_dedup, langid, mixing, sharding, simhash
 
 QUERIES = {
+    "op1_language_id": langid.query,
     "op2_sharding": sharding.query,
     "op3_decontaminate": decontaminate.query,
     "op4_simhash": simhash.query,
