@@ -11,17 +11,41 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import decontaminate
+from gondola.llm import decontaminate, langid, mixing, sharding, simhash
 from gondola.llm.common import checkpoint_dir
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified; the model learns from their labels."""
+    return langid.keep_identified(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates (its smallest doc_id)."""
+    return simhash.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage by the contract's rule."""
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each whole copy that the mix takes, in training order."""
+    return mixing.in_training_order(mixing.mix(docs)).select(docs.columns)
+
+
+def resharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed documents with their shard (0 to 15) and slot in it."""
+    return sharding.contract(docs)
+
+
 STAGES = [
+    ("language ID", language_id),
+    ("SimHash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", mixing_to_weights),
+    ("sharding", resharding),
 ]
 
 #: Several stages (trained language models, XXH64 fingerprints) have no DuckDB
