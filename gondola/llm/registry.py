@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, langid, mixing, sharding, simhash
+from . import chat, decontaminate, exact_dedup, langid, mixing, sharding, simhash
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -10,11 +10,13 @@ QUERIES = {
     "op3_decontaminate": decontaminate.query,
     "op4_simhash": simhash.query,
     "op6_exact_dedup": exact_dedup.query,
+    "op7_chat": chat.query,
     "op10_mixing": mixing.query,
 }
 
 SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op7_chat": chat.SQL,
     "op10_mixing": mixing.SQL,
 }
