@@ -8,8 +8,8 @@ differences found so far down the tree and drops a whole group once they
 exceed the allowed distance, so only a polylogarithmic part of the codes is
 compared and no link is lost.
 
-Distributed form: the distinct fingerprints are range-partitioned by Gray rank
-into blocks.  The blocks' nodes (a bounded number, ``MAX_BLOCKS``) are the
+Distributed form: the distinct fingerprints are cut into blocks by ranges of
+Gray rank.  The blocks' nodes (a bounded number, ``MAX_BLOCKS``) are the
 index's top; each fingerprint is routed through them to the blocks that may
 hold a partner, and each block task builds its own subtree and answers the
 fingerprints sent to it.  A task returns a spanning forest of the links it
@@ -34,7 +34,7 @@ from .components import connected_components, local_forest
 SHINGLE = 3
 MAX_DISTANCE = 2
 #: Distinct fingerprints a block aims at, and the most blocks (what routing broadcasts).
-BLOCK = 8192
+BLOCK = 32_768
 MAX_BLOCKS = 4096
 #: Codes of a block that one task holds beside the queries sent to it; larger
 #: blocks deal their queries over several tasks.
@@ -139,6 +139,15 @@ class GrayIndex:
                     yield w[hit] + lo, at[hit]
 
 
+def _place(bounds: np.ndarray):
+    """Each fingerprint's block: the range of Gray ranks it falls in."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = np.searchsorted(bounds, batch.column(1).to_numpy(), side="right")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(block.astype(np.int64))], names=["fp", "block"])
+    return run
+
+
 def _route(nodes: list[tuple[int, int, int]], distance: int):
     """Sends each fingerprint to every block from its own on whose shared bits allow a partner."""
     block = np.array([n[0] for n in nodes], np.int64)
@@ -199,9 +208,11 @@ def fingerprint_links(codes: DataFrame, distance: int = MAX_DISTANCE, block: int
     ship(codes.sparkSession)
     n = codes.count()
     n_blocks = max(1, min(max_blocks, -(-n // block)))
-    placed = cut(codes.select("fp").withColumn("rank", _signed_rank(F.col("fp")))
-                 .repartitionByRange(n_blocks, "rank").select("fp", F.spark_partition_id().cast("long").alias("block")))
-    # at most ``max_blocks`` rows (or the partitions a session asks for)
+    ranked = codes.select("fp", _signed_rank(F.col("fp")).alias("rank"))
+    # the bounds between blocks, at most ``max_blocks``
+    bounds = ranked.agg(F.percentile_approx("rank", [i / n_blocks for i in range(1, n_blocks)], 20 * n_blocks)).first()[0] if n_blocks > 1 else []
+    placed = cut(ranked.mapInArrow(_place(np.unique(np.array(bounds or [], np.int64))), "fp long, block long"))
+    # at most ``max_blocks`` rows
     nodes = [(r["block"], ~(r["a"] ^ r["o"]), r["a"]) for r in
              placed.groupBy("block").agg(F.bit_and("fp").alias("a"), F.bit_or("fp").alias("o")).collect()]
     deals = max(1, -(-n // (n_blocks * task_codes)))
