@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, exact_dedup, langid, mixing, sharding, simhash
+from . import chat, decontaminate, exact_dedup, html_text, langid, mixing, sharding, simhash
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.query,
     "op6_exact_dedup": exact_dedup.query,
     "op7_chat": chat.query,
+    "op8_main_text": html_text.query,
     "op10_mixing": mixing.query,
 }
 
