@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -55,6 +56,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As ``cut`` for larger tables: compressed Parquet in the same shared folder."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # ---------------------------------------------------------------- columns
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, exact_dedup, html_text, langid, mixing, sharding, simhash
+from . import chat, class_lm, decontaminate, exact_dedup, html_text, langid, mixing, sharding, simhash
 
 QUERIES = {
     "op1_language_id": langid.query,
     "op2_sharding": sharding.query,
     "op3_decontaminate": decontaminate.query,
     "op4_simhash": simhash.query,
+    "op5_class_lm": class_lm.query,
     "op6_exact_dedup": exact_dedup.query,
     "op7_chat": chat.query,
     "op8_main_text": html_text.query,
