@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, class_lm, decontaminate, exact_dedup, html_text, langid, mixing, sharding, simhash
+from . import chat, class_lm, decontaminate, exact_dedup, html_text, langid, licenses, mixing, sharding, simhash
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.query,
     "op7_chat": chat.query,
     "op8_main_text": html_text.query,
+    "op9_licenses": licenses.query,
     "op10_mixing": mixing.query,
 }
 
@@ -20,5 +21,6 @@ SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_chat": chat.SQL,
+    "op9_licenses": licenses.SQL,
     "op10_mixing": mixing.SQL,
 }
