@@ -26,7 +26,8 @@ from .common import cut
 # common templates, which are escaped inside texts.
 START, END = "<|im_start|>", "<|im_end|>"
 CONTROL = [START, END, "<|endoftext|>", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]"]
-ENTITIES = {"<": "&lt;", "[": "&lsqb;", "\n": "&nl;", "&": "&amp;"}
+# The ampersand comes first: it is escaped before the entities that hold one.
+ENTITIES = {"&": "&amp;", "<": "&lt;", "[": "&lsqb;", "\n": "&nl;"}
 
 
 def escape(c: Column) -> Column:
