@@ -80,11 +80,11 @@ def scan(docs: DataFrame) -> DataFrame:
     table = F.create_map(*[F.lit(x) for r in known for x in (r["digest"], r["license"])])
     lines = F.filter(F.split(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), "\n"), lambda x: ~F.rlike(x, F.lit(COPYRIGHT_LINE)))
     rows = docs.select(*[F.col(f"`{c}`") for c in own.columns], F.transform(lines, _words).alias("__lines"))
-    rows = (rows.withColumn("digest", _digest(F.trim(F.array_join(F.filter("__lines", lambda x: x != ""), " ")), starts))
+    rows = (rows.withColumn("__digest", _digest(F.trim(F.array_join(F.filter("__lines", lambda x: x != ""), " ")), starts))
             .withColumn("__hits", F.filter(F.transform("__lines", lambda x: table[_digest(x, starts)]),
                                            lambda x: x.isNotNull())))
-    forms = docs.sparkSession.createDataFrame([(r["digest"], r["license"]) for r in known], "digest string, license string")
-    return rows.join(F.broadcast(forms), "digest", "left").select(
+    forms = docs.sparkSession.createDataFrame([(r["digest"], r["license"]) for r in known], "__digest string, license string")
+    return rows.join(F.broadcast(forms), "__digest", "left").select(
         *[F.col(f"`{c}`") for c in own.columns], "license", F.sort_array(F.array_distinct("__hits")).alias("notices"),
         F.size("__hits").cast("long").alias("n_notices"))
 
