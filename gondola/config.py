@@ -74,8 +74,11 @@ MISCLASS_COLUMNS = (
     ["product_name", "classification", "volume_unit"] + PRODUCT_STANDARDS + CUSTOMER_STANDARDS
 )
 
-# Feed without product ids in the notebook extracts use the product code.
-PRODUCT_CODE_FALLBACK = "product_code"
+# Amounts are summed as decimals with this many places, so totals do not depend
+# on the order of summation; wide enough not to round amounts as delivered.
+AMOUNT_SCALE = 6
+# Market shares of a zero total are null.
+SHARE_ON_ZERO = "null"
 
 
 @dataclass(frozen=True)

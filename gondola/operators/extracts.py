@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.config import PRODUCT_STANDARDS, QUANTITY_PATTERN
-from gondola.functions.agg import n_unique, safe_div
+from gondola.functions.agg import safe_div
 from gondola.functions.text import extract_quantities, parse_amount
 from gondola.operators.kpis import incremental_sublists
-from gondola.operators.shaping import union_all
 
 RETAILER = "retailer"
 
@@ -53,16 +52,17 @@ def product_key(without_id: Sequence[str]) -> Column:
 def volume_units_by_level(silver: DataFrame, without_id: Sequence[str], *,
                           standards: Sequence[str] = PRODUCT_STANDARDS) -> DataFrame:
     """Distinct products per unit x level prefix, one table for all prefixes."""
-    base = silver.withColumn("_product", product_key(without_id))
-    frames = []
-    for i, levels in enumerate(incremental_sublists(list(standards)), start=1):
-        k = base.groupBy(RETAILER, "volume_unit", *levels).agg(
-            n_unique("_product").cast("int").alias("nb_products"))
-        frames.append(k.select(
-            F.lit(f"level_{i}").alias("grain"), RETAILER, "volume_unit",
-            *[F.col(c) if c in levels else F.lit(None).cast("string").alias(c) for c in standards],
-            "nb_products"))
-    return union_all(frames)
+    # one scan: distinct products at the finest prefix, emitted for every prefix
+    standards = list(standards)
+    fine = silver.select(RETAILER, "volume_unit", *standards, product_key(without_id).alias("_product")).distinct()
+    per_prefix = F.inline(F.array(*[
+        F.struct(F.lit(f"level_{i}").alias("grain"),
+                 *[(F.col(c) if c in levels else F.lit(None).cast("string")).alias(c) for c in standards])
+        for i, levels in enumerate(incremental_sublists(standards), start=1)]))
+    cell = ["grain", RETAILER, "volume_unit", *standards]
+    # a null product is a value too
+    products = fine.select(RETAILER, "volume_unit", "_product", per_prefix).select(*cell, "_product").distinct()
+    return products.groupBy(*cell).agg(F.count(F.lit(1)).cast("int").alias("nb_products"))
 
 
 def quantity_extract(names: DataFrame, column: str = "product_name",
@@ -91,11 +91,11 @@ def names_without_quantity(silver: DataFrame, n: int = 40, seed: int = 0,
                            pattern: str = QUANTITY_PATTERN) -> DataFrame:
     """F9 + O2: a sample of ``n`` distinct names with no quantity.
 
-    The sample order is a seeded hash of the name, so it does not depend on
-    partitioning, and ``limit`` after it plans as a top-k, not a full sort.
+    The sample order is the MD5 of seed and name, then the name, so it does not
+    depend on partitioning, and ``limit`` after it plans as a top-k, not a full sort.
     """
     q = quantity_extract(distinct_names(silver), pattern=pattern).filter(F.col("nb_volume_unit") == 0)
-    return q.orderBy(F.xxhash64(F.lit(seed), F.col("product_name"))).limit(n).select(
+    return q.orderBy(F.md5(F.concat(F.lit(str(seed)), F.col("product_name"))), "product_name").limit(n).select(
         "product_name", "new_volume_unit", "nb_volume_unit")
 
 

@@ -1,12 +1,12 @@
 """KPIs per grain and the KPI lattice (A1-A5).
 
 A grain is ``year`` (+ department, + customer standards) x a prefix of the
-product standards.  The lattice first pre-aggregates the silver lines to the
-finest grain x product id x product code (one shuffle, map-side combined),
-then emits each of those rows once per grain (unused dimensions null, the
-grain name in the key) and computes every grain in the same aggregations, so
-the plan has a fixed number of stages whatever the number of grains.  The
-``union`` strategy (one group-by per grain) is kept for comparison.
+product standards.  The lattice reads silver once: every line gives one row for
+its product id (with the turnover) and one for its product code, reduced to
+distinct ids and codes at the finest grain (combined map-side), then each of
+those is emitted once per grain (unused dimensions null, the grain name in the
+key) and two aggregations count them, so the plan is one chain of stages
+whatever the number of grains.
 """
 
 from __future__ import annotations
@@ -14,12 +14,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.config import PRODUCT_STANDARDS
-from gondola.functions.agg import n_unique, sum_or_zero
-from gondola.operators.shaping import union_all
 
 RETAILER = "retailer"
 
@@ -70,12 +68,13 @@ def compute_kpis(df: DataFrame, cols: Sequence[str], *, key: Sequence[str] = (RE
                  amount_scale: int | None = None) -> DataFrame:
     """A1: group by key + cols; turnover sum (0 when all null), distinct ids and
     codes counting null as a value; year as text."""
-    df = _with_product_id(df)
-    out = df.groupBy(*key, *cols).agg(
-        sum_or_zero("turnover", scale=amount_scale).alias("turnover"),
-        n_unique("product_id").cast("int").alias("nb_product_ids"),
-        n_unique("product_code").cast("int").alias("nb_product_codes"),
-    )
+    cell = [*key, *cols]
+    values = (_ids_and_codes(_with_product_id(df), cell, _as_amount(F.col("turnover"), amount_scale))
+              .groupBy(*cell, "_kind", "_value").agg(F.sum("turnover").alias("turnover")))
+    out = values.groupBy(*cell).agg(
+        F.coalesce(F.sum("turnover").cast("double"), F.lit(0.0)).alias("turnover"),
+        F.count_if(F.col("_kind") == 0).cast("int").alias("nb_product_ids"),
+        F.count_if(F.col("_kind") == 1).cast("int").alias("nb_product_codes"))
     if "year" in cols:
         out = out.withColumn("year", F.col("year").cast("string"))
     return out
@@ -85,54 +84,44 @@ def lattice_columns(grains: Sequence[Grain]) -> list[str]:
     return list(dict.fromkeys(c for g in grains for c in g.columns))
 
 
+def _as_amount(c: Column, scale: int | None) -> Column:
+    return c if scale is None else c.cast(f"decimal(38,{scale})")
+
+
+def _ids_and_codes(df: DataFrame, cell: Sequence[str], amount: Column) -> DataFrame:
+    """A row (kind, value) for the product id, with the amount, and one for the code."""
+    nothing = F.when(F.lit(False), amount)
+    return df.select(*cell, F.inline(F.array(
+        F.struct(F.lit(0).alias("_kind"), F.col("product_id").alias("_value"), amount.alias("turnover")),
+        F.struct(F.lit(1).alias("_kind"), F.col("product_code").alias("_value"), nothing.alias("turnover")))))
+
+
 def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str] = (RETAILER,),
-                amount_scale: int | None = None, strategy: str = "expand") -> DataFrame:
+                amount_scale: int | None = None) -> DataFrame:
     """A4/A5: every grain in one long table.
 
     Columns: ``grain``, key, every dimension of any grain (null where the grain
     does not use it), ``turnover``, ``nb_product_ids``, ``nb_product_codes``.
     """
     dims = lattice_columns(grains)
-    base = _with_product_id(silver)
-    amount = F.col("turnover")
-    if amount_scale is not None:
-        amount = amount.cast(f"decimal(38,{amount_scale})")
-    fine = base.groupBy(*key, *dims, "product_id", "product_code").agg(F.sum(amount).alias("turnover"))
-    if strategy == "expand":
-        # one row per (fine row, grain) with the dimensions the grain does not
-        # use set to null; ``grain`` in the key keeps a rolled-up null apart
-        # from a real null.  One aggregation then serves every grain.
-        per_grain = F.inline(F.array(*[
-            F.struct(F.lit(g.name).alias("grain"),
-                     *[(F.col(c).cast("string") if c in g.columns else F.lit(None).cast("string")).alias(c)
-                       for c in dims])
-            for g in grains]))
-        expanded = fine.select(*key, "product_id", "product_code", "turnover", per_grain)
-        cell = ["grain", *key, *dims]
-        # distinct ids and codes per cell as two group-bys whose groups are
-        # counted once each (a null id is a group too, as n_unique counts
-        # it); turnover rides along with the id groups.  Two copies of every
-        # expanded row instead of the three of a two-distinct aggregate.
-        by_id = expanded.groupBy(*cell, "product_id").agg(F.sum("turnover").alias("turnover")).select(
-            *cell, "turnover", F.lit(1).alias("_id"), F.lit(0).alias("_code"))
-        by_code = expanded.select(*cell, "product_code").distinct().select(
-            *cell, F.lit(None).cast(by_id.schema["turnover"].dataType).alias("turnover"),
-            F.lit(0).alias("_id"), F.lit(1).alias("_code"))
-        out = by_id.unionByName(by_code).groupBy(*cell).agg(
-            F.sum("turnover").alias("turnover"),
-            F.sum("_id").cast("int").alias("nb_product_ids"),
-            F.sum("_code").cast("int").alias("nb_product_codes"))
-        total = F.coalesce(F.col("turnover").cast("double"), F.lit(0.0))
-        return out.select("grain", *key, *dims, total.alias("turnover"), "nb_product_ids", "nb_product_codes")
-    frames = []
-    for g in grains:
-        k = compute_kpis(fine, g.columns, key=key, amount_scale=amount_scale)
-        frames.append(k.select(
-            F.lit(g.name).alias("grain"), *key,
-            *[F.col(c).cast("string").alias(c) if c in g.columns else F.lit(None).cast("string").alias(c) for c in dims],
-            "turnover", "nb_product_ids", "nb_product_codes",
-        ))
-    return union_all(frames)
+    lines = _ids_and_codes(_with_product_id(silver), [*key, *dims], _as_amount(F.col("turnover"), amount_scale))
+    fine = lines.groupBy(*key, *dims, "_kind", "_value").agg(F.sum("turnover").alias("turnover"))
+    # one row per (fine row, grain); ``grain`` in the key keeps a rolled-up
+    # null apart from a real null
+    per_grain = F.inline(F.array(*[
+        F.struct(F.lit(g.name).alias("grain"),
+                 *[(F.col(c).cast("string") if c in g.columns else F.lit(None).cast("string")).alias(c) for c in dims])
+        for g in grains]))
+    cell = ["grain", *key, *dims]
+    # a null id or code is a value too, as n_unique counts it
+    values = (fine.select(*key, "_kind", "_value", "turnover", per_grain)
+              .groupBy(*cell, "_kind", "_value").agg(F.sum("turnover").alias("turnover")))
+    out = values.groupBy(*cell).agg(
+        F.sum("turnover").alias("turnover"),
+        F.count_if(F.col("_kind") == 0).cast("int").alias("nb_product_ids"),
+        F.count_if(F.col("_kind") == 1).cast("int").alias("nb_product_codes"))
+    total = F.coalesce(F.col("turnover").cast("double"), F.lit(0.0))
+    return out.select("grain", *key, *dims, total.alias("turnover"), "nb_product_ids", "nb_product_codes")
 
 
 def order_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -5,8 +5,7 @@ they are joined with plain left equi-joins on ``retailer`` + levels.  No
 broadcast hint is forced: Catalyst broadcasts a map whose estimated size is
 under ``spark.sql.autoBroadcastJoinThreshold`` and AQE converts the join at
 run time once the map's real size is known, falling back to a (skew-split)
-sort-merge join when a map is large.  ``broadcast_maps=True`` forces the hint
-for callers that have bounded the map size themselves.
+sort-merge join when a map is large.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gondola.config import (
     CUSTOMER_SEGMENTS,
@@ -29,10 +27,9 @@ from gondola.operators.shaping import select_existing
 RETAILER = "retailer"
 
 
-def _map_side(mapping: DataFrame, keys: Sequence[str], standards: Sequence[str], broadcast: bool) -> DataFrame:
+def _map_side(mapping: DataFrame, keys: Sequence[str], standards: Sequence[str]) -> DataFrame:
     # right-hand duplicates of non-key columns would be ambiguous; keep keys + standards
-    m = mapping.select(*keys, *[c for c in standards if c in mapping.columns])
-    return F.broadcast(m) if broadcast else m
+    return mapping.select(*keys, *[c for c in standards if c in mapping.columns])
 
 
 def map_products(
@@ -41,11 +38,10 @@ def map_products(
     *,
     levels: Sequence[str] = PRODUCT_LEVELS,
     standards: Sequence[str] = PRODUCT_STANDARDS,
-    broadcast_maps: bool = False,
 ) -> DataFrame:
     """Left join on retailer + native levels; duplicate map keys fan out."""
     keys = [RETAILER, *levels]
-    return feed.join(_map_side(product_map, keys, standards, broadcast_maps), keys, "left")
+    return feed.join(_map_side(product_map, keys, standards), keys, "left")
 
 
 def map_customers(
@@ -54,11 +50,10 @@ def map_customers(
     *,
     segments: Sequence[str] = CUSTOMER_SEGMENTS,
     standards: Sequence[str] = CUSTOMER_STANDARDS,
-    broadcast_maps: bool = False,
 ) -> DataFrame:
     """Left join on retailer + native segments."""
     keys = [RETAILER, *segments]
-    return feed.join(_map_side(customer_map, keys, standards, broadcast_maps), keys, "left")
+    return feed.join(_map_side(customer_map, keys, standards), keys, "left")
 
 
 def build_silver(
@@ -71,16 +66,13 @@ def build_silver(
     product_standards: Sequence[str] = PRODUCT_STANDARDS,
     customer_standards: Sequence[str] = CUSTOMER_STANDARDS,
     columns: Sequence[str] = SILVER_COLUMNS,
-    broadcast_maps: bool = False,
 ) -> DataFrame:
     """J1 -> J2 -> schema-intersecting select -> classification path.
 
     Output: ``retailer`` + the silver columns the feed has + ``classification``.
     """
-    mapped = map_products(feed, product_map, levels=levels, standards=product_standards,
-                          broadcast_maps=broadcast_maps)
-    mapped = map_customers(mapped, customer_map, segments=segments, standards=customer_standards,
-                           broadcast_maps=broadcast_maps)
+    mapped = map_products(feed, product_map, levels=levels, standards=product_standards)
+    mapped = map_customers(mapped, customer_map, segments=segments, standards=customer_standards)
     silver = select_existing(mapped, [RETAILER, *columns])
     return silver.withColumn("classification", classification_path(list(levels)))
 

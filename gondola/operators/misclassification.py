@@ -1,27 +1,24 @@
 """Cross-retailer misclassification.
 
-A product (shared ``product_id``) is misclassified when the retailers that
-sell it map it to different standard classes.  The report is built per
-product id with aggregations, never by joining the retailers' rows with each
-other: a full outer join of N retailers multiplies every retailer's variants
-of a product (names, units, customer segments) into all their combinations,
-which grows as the product of the group sizes.  Here each retailer's distinct
-values become one sorted array column, so the output has one row per product
-and its size is linear in the input.
-
-Product-level rule (one row per product id):
-  * present: at least ``min_present`` retailers carry a non-null
-    ``level_1_standard`` for it (null-count threshold, F5/Q1);
-  * conflict: for some compared level, two different retailers carry two
-    different non-null values (exactly when a combination row of the
-    retailers' variants would hold more than one distinct value, C11/F6).
+A product (shared ``product_id``) is misclassified when some combination of
+its retailers' variants (one row from each retailer that sells it) shows, at
+once, at least ``min_present`` retailers with a non-null level 1 (F5) and two
+different non-null values at some compared level (F6, C11).
+
+The combinations are never built.  A conflict needs two retailers with two
+values; all other retailers can show a level 1 if they have one.  So a pair of
+(retailer, value) entries costs, of the product's retailers with a level 1,
+those whose value only stands on rows without one.  The cheapest pair decides,
+and whether an entry has a partner differing in both retailer and value follows
+from counts: entries, less those of its retailer, less those of its value.
+Everything is aggregation on ``product_id`` over distinct entries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.config import ITEM_PLACEHOLDERS, MISCLASS_COLUMNS, PRODUCT_STANDARDS
@@ -53,50 +50,52 @@ def _compared_levels(levels: Sequence[str], compat_level4: bool) -> list[str]:
     return levels
 
 
+def _entries(rows: DataFrame, levels: Sequence[str], presence_level: str) -> DataFrame:
+    """Distinct (product, level, retailer, value) with ``shown``: some row of the
+    retailer holds the value beside a level 1."""
+    used = list(dict.fromkeys([presence_level, *levels]))
+    stacked = rows.select(KEY, RETAILER, F.col(presence_level).isNotNull().alias("shown"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("value")) for c in used]))
+    ).filter(F.col("value").isNotNull())
+    return stacked.groupBy(KEY, "level", RETAILER, "value").agg(F.max("shown").alias("shown"))
+
+
 def conflicting_products(rows: DataFrame, *, levels: Sequence[str] = PRODUCT_STANDARDS,
                          min_present: int = 2, presence_level: str = "level_1_standard",
                          compat_level4: bool = False) -> DataFrame:
-    """Product ids passing the presence threshold with a cross-retailer conflict."""
+    """Product ids for which some combination of variants has ``min_present``
+    retailers with a level 1 and a conflict."""
     compared = list(dict.fromkeys(_compared_levels(levels, compat_level4)))
-    used = list(dict.fromkeys([presence_level, *compared]))
-    # one row per (product, retailer, level, non-null value)
-    stacked = rows.select(KEY, RETAILER, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("value")) for c in used]))
-    ).filter(F.col("value").isNotNull())
-    # per (product, level): distinct retailers and distinct values, as two
-    # de-duplications whose groups count once each (no multi-distinct expand)
-    by_retailer = stacked.select(KEY, "level", RETAILER).distinct().select(
-        KEY, "level", F.lit(1).alias("_r"), F.lit(0).alias("_v"))
-    by_value = stacked.select(KEY, "level", "value").distinct().select(
-        KEY, "level", F.lit(0).alias("_r"), F.lit(1).alias("_v"))
-    per_level = by_retailer.unionByName(by_value).groupBy(KEY, "level").agg(
-        F.sum("_r").alias("n_retailers"), F.sum("_v").alias("n_values"))
-    conflict = F.col("level").isin(*compared) & (F.col("n_retailers") >= 2) & (F.col("n_values") >= 2)
-    stats = per_level.groupBy(KEY).agg(
-        F.coalesce(F.max(F.when(F.col("level") == presence_level, F.col("n_retailers"))), F.lit(0))
-        .alias("n_present"),
-        F.max(conflict.cast("int")).alias("conflict"))
-    return stats.filter((F.col("n_present") >= min_present) & (F.col("conflict") == 1)).select(KEY)
-
-
-def misclassification_wide(rows: DataFrame, retailers: Sequence[str], *,
-                           columns: Sequence[str] = MISCLASS_COLUMNS,
-                           levels: Sequence[str] = PRODUCT_STANDARDS, min_present: int = 2,
-                           compat_level4: bool = False, as_text: str | None = None) -> DataFrame:
-    """R5 wide: ``product_id`` + ``<column>_<retailer>`` = sorted distinct values
-    of that retailer for the product (null when the retailer lacks it).
-
-    ``as_text`` joins each sorted array into one string with that separator
-    (for flat report formats)."""
+    e = _entries(rows, compared, presence_level)
+    of_product = Window.partitionBy(KEY)
+    present = F.max((F.col("level") == presence_level).cast("int")).over(Window.partitionBy(KEY, RETAILER)) == 1
+    e = e.withColumn("present", present)
+    # at most one entry of the set for each retailer
+    e = e.withColumn("n_present", F.size(F.collect_set(F.when(F.col("present"), F.col(RETAILER))).over(of_product)))
+    e = e.filter(F.col("level").isin(*compared)).withColumn("free", (F.col("shown") | ~F.col("present")).cast("int"))
+
+    def partners(weight: Column) -> Column:
+        """Entries differing in both retailer and value, counting ``weight``."""
+        at = lambda *k: F.sum(weight).over(Window.partitionBy(KEY, "level", *k))
+        return at() - at(RETAILER) - at("value") + weight
+
+    e = e.withColumns({"_all": partners(F.lit(1)), "_free": partners(F.col("free"))})
+    loss = (F.when((F.col("free") == 1) & (F.col("_free") > 0), 0)
+            .when((F.col("free") == 1) & (F.col("_all") > 0), 1).when(F.col("_all") > 0, 2))
+    best = e.groupBy(KEY).agg(F.max("n_present").alias("n_present"), F.min(loss).alias("loss"))
+    return best.filter(F.col("n_present") - F.col("loss") >= min_present).select(KEY)
+
+
+def misclassification_variants(rows: DataFrame, *, levels: Sequence[str] = PRODUCT_STANDARDS, min_present: int = 2,
+                               compat_level4: bool = False) -> DataFrame:
+    """Every retailer's variants of the misclassified products, one row each.
+
+    Holds the columns of a variant together (which name goes with which
+    classification, unit and segments); its size is linear in the input, where
+    the combinations of the retailers' variants would multiply.
+    """
     bad = conflicting_products(rows, levels=levels, min_present=min_present, compat_level4=compat_level4)
-    kept = rows.join(bad, KEY, "left_semi")
-    aggs = []
-    for r in retailers:
-        for c in columns:
-            vals = F.array_sort(F.collect_set(F.when(F.col(RETAILER) == F.lit(r), F.col(c))))
-            out = F.array_join(vals, as_text) if as_text is not None else vals
-            aggs.append(F.when(F.size(vals) > 0, out).alias(f"{c}_{r}"))
-    return kept.groupBy(KEY).agg(*aggs)
+    return rows.join(bad, KEY, "left_semi")
 
 
 def misclassification_long(rows: DataFrame, *, levels: Sequence[str] = PRODUCT_STANDARDS,

@@ -37,22 +37,6 @@ def unmatched_customers(silver: DataFrame, segments: Sequence[str] = CUSTOMER_SE
     return unmatched(silver, segments, standards)
 
 
-def match_rate(feed: DataFrame, silver: DataFrame, product_flag: str = "level_1_standard",
-               customer_flag: str = "segment_1_standard") -> DataFrame:
-    """A10: feed rows, mapped rows with a product standard, with a customer
-    standard, per retailer (mapped rows count fan-out, so may exceed input)."""
-    rows = feed.groupBy(RETAILER).agg(F.count(F.lit(1)).alias("n_rows"))
-    matched = silver.groupBy(RETAILER).agg(
-        F.count_if(F.col(product_flag).isNotNull()).alias("n_matched"),
-        F.count_if(F.col(customer_flag).isNotNull()).alias("n_matched_customer"),
-    )
-    return rows.join(matched, RETAILER, "left").select(
-        RETAILER, "n_rows",
-        F.coalesce("n_matched", F.lit(0)).alias("n_matched"),
-        F.coalesce("n_matched_customer", F.lit(0)).alias("n_matched_customer"),
-    )
-
-
 def check_unicity(df: DataFrame, subset: Sequence[str], to_check: Sequence[str], *,
                   key: Sequence[str] = (RETAILER,), detail_prefix: str = "level") -> tuple[DataFrame, DataFrame] | None:
     """A6 (``check_unicity``): keys of ``subset`` carrying more than one
@@ -106,24 +90,40 @@ def unicity_checks(silver: DataFrame, without_id: Sequence[str],
 # weighting by the row count reproduces the silver multiplicities.
 
 
-def match_rate_by_keys(std: DataFrame, product_map: DataFrame, customer_map: DataFrame, *,
-                       levels: Sequence[str] = PRODUCT_LEVELS, segments: Sequence[str] = CUSTOMER_SEGMENTS,
-                       product_flag: str = "level_1_standard",
-                       customer_flag: str = "segment_1_standard") -> DataFrame:
-    """A10 from key counts: same result as ``match_rate(std, silver)``."""
-    from gondola.operators.mapping import map_customers, map_products
-
-    keyed = std.groupBy(RETAILER, *levels, *segments).agg(F.count(F.lit(1)).alias("_n"))
-    rows = keyed.groupBy(RETAILER).agg(F.sum("_n").alias("n_rows"))
-    mapped = map_customers(map_products(keyed, product_map, levels=levels, standards=[product_flag]),
-                           customer_map, segments=segments, standards=[customer_flag])
-    matched = mapped.groupBy(RETAILER).agg(
-        F.sum(F.when(F.col(product_flag).isNotNull(), F.col("_n")).otherwise(0)).alias("n_matched"),
-        F.sum(F.when(F.col(customer_flag).isNotNull(), F.col("_n")).otherwise(0)).alias("n_matched_customer"))
-    return rows.join(matched, RETAILER, "left").select(
-        RETAILER, "n_rows",
-        F.coalesce("n_matched", F.lit(0)).alias("n_matched"),
-        F.coalesce("n_matched_customer", F.lit(0)).alias("n_matched_customer"))
+def _rows_per_key(mapping: DataFrame, keys: Sequence[str], flag: str, name: str) -> DataFrame:
+    """Rows of a map for each key, and those with a standard."""
+    return mapping.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"_{name}_rows"), F.count_if(F.col(flag).isNotNull()).alias(f"_{name}_matched"))
+
+
+def match_rate(std: DataFrame, product_map: DataFrame, customer_map: DataFrame, *,
+               levels: Sequence[str] = PRODUCT_LEVELS, segments: Sequence[str] = CUSTOMER_SEGMENTS,
+               product_flag: str = "level_1_standard", customer_flag: str = "segment_1_standard",
+               lines: str | None = None) -> DataFrame:
+    """A10: feed rows, mapped rows with a product standard, with a customer
+    standard, per retailer (mapped rows count fan-out, so may exceed input).
+
+    The feed is read once and reduced to its distinct keys with line counts
+    (``lines`` names such a count that ``std`` already carries); the maps are
+    reduced to one row a key, so nothing fans out.
+    """
+    n = F.count(F.lit(1)) if lines is None else F.sum(lines)
+    keyed = std.groupBy(RETAILER, *levels, *segments).agg(n.alias("_n"))
+    p = _rows_per_key(product_map, [RETAILER, *levels], product_flag, "p")
+    c = _rows_per_key(customer_map, [RETAILER, *segments], customer_flag, "c")
+    both = keyed.join(p, [RETAILER, *levels], "left").join(c, [RETAILER, *segments], "left")
+    zero, one = F.lit(0), F.lit(1)
+    return both.groupBy(RETAILER).agg(
+        F.sum("_n").alias("n_rows"),
+        F.sum(F.col("_n") * F.coalesce("_p_matched", zero) * F.coalesce("_c_rows", one)).alias("n_matched"),
+        F.sum(F.col("_n") * F.coalesce("_p_rows", one) * F.coalesce("_c_matched", zero)).alias("n_matched_customer"))
+
+
+def distinct_keys(std: DataFrame, *, levels: Sequence[str] = PRODUCT_LEVELS, segments: Sequence[str] = CUSTOMER_SEGMENTS,
+                  keys: Sequence[str] = ("product_id", "product_code")) -> DataFrame:
+    """The feed's distinct mapping and product keys with their number of lines
+    (``n_lines``): what all classification reports need of it."""
+    present = [k for k in keys if k in std.columns]
+    return std.groupBy(RETAILER, *present, *levels, *segments).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def unmatched_by_keys(std: DataFrame, mapping: DataFrame, natives: Sequence[str],

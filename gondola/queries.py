@@ -1,26 +1,29 @@
 """Registered queries: the operators of each stage run on the test feed.
 
 Each query is ``fn(spark, sf_dir) -> DataFrame`` and has a DuckDB twin with
-the same name in ``gondola.oracle``.  Amounts are summed as decimals and
-market shares of a zero total are null, so that both engines produce the
-same bits whatever their summation order (see ``gondola.oracle``).
+the same name in ``gondola.oracle``.  Amount scale and zero-total rule are the
+batch run's own (``gondola.config``), so what is checked is what is shipped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.config import (
+    AMOUNT_SCALE,
     CUSTOMER_SEGMENTS,
     CUSTOMER_STANDARDS,
     FEEDS,
+    MISCLASS_COLUMNS,
     PRODUCT_LEVELS,
     PRODUCT_STANDARDS,
     QUANTITY_PATTERN_STRICT,
+    SHARE_ON_ZERO,
     YEAR_WIDENING,
     required_defaults,
 )
@@ -28,11 +31,9 @@ from gondola.functions.text import (
     classification_path,
     clean_department,
     department_from_zip,
-    fill_empty,
     format_quantities,
     parse_amount,
     remove_first_space,
-    strip_chars,
 )
 from gondola.operators import extracts as ex
 from gondola.operators.kpis import compute_kpis, kpi_grains, kpi_lattice
@@ -41,11 +42,13 @@ from gondola.operators.market_share import market_share, market_share_lattice
 from gondola.operators.misclassification import (
     comparison_rows,
     misclassification_long,
-    misclassification_wide,
+    misclassification_variants,
 )
-from gondola.operators.quality import match_rate_by_keys, unicity_checks, unmatched_by_keys
+from gondola.operators.quality import match_rate, unicity_checks, unmatched_by_keys
+from gondola.operators.bronze import shape_bronze
 from gondola.operators.shaping import (
     add_required_columns,
+    assemble_feeds,
     explode_list,
     nullify_placeholder,
     rename_columns,
@@ -55,32 +58,31 @@ from gondola.operators.shaping import (
     widen_years,
 )
 from gondola.operators.standardize import (
+    fill_empty_columns,
     prepare_customer_map,
     prepare_product_map,
     standardize_feed,
+    strip_columns,
     valid_product_id,
 )
+from gondola.plans.models import MODELS, Model
 from gondola.testfeed import (
     RETAILERS,
     RETAILERS_WITH_ID,
     RETAILERS_WITHOUT_ID,
     TEST_FEEDS,
-    BronzeFixture,
+    FixtureFeed,
 )
 
-AMOUNT_SCALE = 2  # fixture amounts carry two decimals: decimal sums are exact
-SHARE_ON_ZERO = "null"
 MIN_PRESENT = 2
-WIDE_SEPARATOR = "|"  # registered wide reports hold sorted distinct values as text
 LEFT_UNIT_FEED, RIGHT_UNIT_FEED = "africa", "america"
-TWO_LEVEL_COLUMNS = ["product_name", "classification", "level_1_standard", "level_2_standard"]
 
 
 class Stages:
     """Lazy DataFrames of each stage over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.fx = BronzeFixture(spark, sf_dir)
+        self.fx = FixtureFeed(spark, sf_dir)
 
     @cached_property
     def feed(self) -> DataFrame:
@@ -105,12 +107,69 @@ class Stages:
 
 # ---------------------------------------------------------------- shaping
 
+# Two distributors' rename maps are tried on each test retailer's rows, ten in all.
+RENAME_TRIALS = dict(zip(RETAILERS, zip(list(FEEDS)[:5], list(FEEDS)[5:])))
+
+
+def as_delivered(df: DataFrame, name: str) -> DataFrame:
+    """A canonical frame under the column names of distributor ``name``."""
+    return df.withColumnsRenamed({canon: src for src, canon in FEEDS[name].rename.items() if canon in df.columns})
+
+
 def q_feed_rename(spark, sf_dir):
     feed = Stages(spark, sf_dir).feed
-    native = FEEDS["pomona"].rename
-    inverse = {canon: src for src, canon in native.items() if canon in feed.columns}
-    as_delivered = feed.withColumnsRenamed(inverse)          # the feed as the distributor names it
-    return rename_columns(as_delivered, native)
+    parts = []
+    for retailer, names in RENAME_TRIALS.items():
+        for name in names:
+            given = as_delivered(feed.filter(F.col("retailer") == retailer), name)
+            parts.append(rename_columns(given, FEEDS[name].rename).withColumn("feed", F.lit(name)))
+    return union_all(parts)
+
+
+# Native columns of the five distributors whose files need shaping, one for
+# each test retailer's rows.
+def bronze_inputs(spark, sf_dir) -> dict[str, list[DataFrame]]:
+    """Each feed as two deliveries, in its own column names and column order."""
+    feed = Stages(spark, sf_dir).feed
+    of = dict(zip(("metro", "pro_a_pro", "relais_dor", "sysco", "transgourmet"), RETAILERS))
+    month = F.lpad("month", 2, "0")
+    spaced = F.concat(F.substring("turnover", 1, 1), F.lit(" "), F.substring("turnover", 2, 30))
+    native = {
+        "metro": {"concatenated_gtin": F.concat_ws("|", "product_id", F.when(F.col("level_3") == "S1", F.col("product_code"))),
+                  "art_no": F.col("product_code"), "SA": F.col("level_1"), "annee": F.col("year"), "CA_HT": F.col("turnover").cast("double")},
+        "pro_a_pro": {"Code Article Interne": F.col("product_code"), "Secteur": F.col("level_1"),
+                      "Sous Sous Famille": F.when(F.col("level_3") == "S0", F.lit("0")).otherwise(F.col("level_3")),
+                      "Année": F.col("year"), "CA facturé hors taxe": F.col("turnover")},
+        "relais_dor": {"Code produit": F.col("product_code"), "Hiérarchie Tout Produit niv 1": F.lit("-"),
+                       "Hiérarchie Tout Produit niv 2": F.when(F.col("level_2") == "Brand#1", F.lit("-")).otherwise(F.col("level_2")),
+                       "Hiérarchie Tout Produit niv 3": F.when(F.col("level_3") == "S2", F.lit("-")).otherwise(F.col("level_3")),
+                       "Hiérarchie Tout Produit niv 4": F.lit("-"), "CP": F.col("zip_code"), "Année de ventes": F.col("year"), "CA": F.col("turnover")},
+        "sysco": {"Code article": F.col("product_code"), "Mois civil YY-MM": F.concat(F.lit("2"), F.substring("year", 4, 1), F.lit("-"), month),
+                  "CA Brut": spaced, "Température produit": F.col("level_1")},
+        "transgourmet": {"Code Article Centrale": F.col("product_code"), "Annee Mois": F.concat("year", month), "Ca Brut": F.col("turnover")},
+    }
+    out = {}
+    for name, retailer in of.items():
+        rows = feed.filter(F.col("retailer") == retailer)
+        columns = [c.alias(n) for n, c in native[name].items()]
+        out[name] = [rows.filter(F.col("year") < "1996").select(*columns), rows.filter(F.col("year") >= "1996").select(*reversed(columns))]
+    return out
+
+
+def q_bronze_feeds(spark, sf_dir):
+    """The five shaped feeds, assembled under canonical names."""
+    shaped = {name: shape_bronze(name, frames) for name, frames in bronze_inputs(spark, sf_dir).items()}
+    canonical = assemble_feeds(shaped, FEEDS)
+    return canonical.select("retailer", "product_id", "product_code", "level_1", "level_2", "level_3", "level_4", "zip_code", "year", "month", "turnover")
+
+
+def q_feed_assembly(spark, sf_dir):
+    """Feeds whose columns differ (no month; no ids or brand; zip code), united as text."""
+    feed = Stages(spark, sf_dir).feed.withColumn("volume", F.col("volume").cast("int"))
+    lacks = {"pomona": ("america", ["month", "zip_code", "volume_unit"]), "ducreux": ("africa", ["product_id", "brand_name", "zip_code", "segment_2", "segment_3"]),
+             "relais_dor": ("asia", ["product_id", "department", "volume_unit"]), "metro": ("europe", ["zip_code", "segment_2", "segment_3", "turnover"])}
+    frames = {n: as_delivered(feed.filter(F.col("retailer") == r).drop("retailer", *gone), n) for n, (r, gone) in lacks.items()}
+    return assemble_feeds(frames, FEEDS)
 
 
 def q_feed_required_columns(spark, sf_dir):
@@ -126,7 +185,7 @@ def q_feed_union(spark, sf_dir):
 
 
 def q_gtin_explode(spark, sf_dir):
-    feed = Stages(spark, sf_dir).feed.filter(F.col("retailer").isin(*RETAILERS_WITH_ID))
+    feed = Stages(spark, sf_dir).feed
     listed = feed.select(
         "retailer", "product_code",
         F.when(F.col("product_id").isNotNull(), F.concat("product_id", F.lit("|"), "product_code"))
@@ -169,13 +228,12 @@ def q_placeholder_null(spark, sf_dir):
 
 def q_strip_whitespace(spark, sf_dir):
     feed = Stages(spark, sf_dir).feed
-    return feed.select("retailer", "product_code", strip_chars(F.col("level_1")).alias("level_1"))
+    return strip_columns(feed.select("retailer", "product_code", "level_1"), ["level_1"])
 
 
 def q_fill_empty(spark, sf_dir):
     feed = Stages(spark, sf_dir).feed
-    return feed.select("retailer", "product_code",
-                       *[fill_empty(F.col(c)).alias(c) for c in ("level_1", "level_2", "segment_2")])
+    return fill_empty_columns(feed.select("retailer", "product_code", "level_1", "level_2", "segment_2"), ["level_1", "level_2", "segment_2"])
 
 
 def q_amount_parse(spark, sf_dir):
@@ -197,15 +255,15 @@ def q_department_clean(spark, sf_dir):
 
 
 def q_char_repair(spark, sf_dir):
-    fx = Stages(spark, sf_dir).fx
-    repaired = prepare_product_map(fx.product_map, retailers=RETAILERS,
-                                   char_repair={r: ("#", "ї") for r in RETAILERS})
-    return repaired.select("retailer", "level_2").distinct()
+    # every owner's map under the name of the feed whose levels need the repair
+    broken = Stages(spark, sf_dir).fx.product_map.select(
+        F.lit("metro").alias("ENTREPRISE"), "level_1", F.replace("level_2", F.lit("#"), F.lit("?")).alias("level_2"), "level_3", *PRODUCT_STANDARDS)
+    return prepare_product_map(broken, retailers=["metro"]).select("retailer", "level_2").distinct()
 
 
 def q_valid_product_filter(spark, sf_dir):
-    feed = Stages(spark, sf_dir).feed
-    kept = F.col("retailer").isin(*RETAILERS_WITHOUT_ID) | valid_product_id(strip_chars(F.col("product_id")))
+    feed = strip_columns(Stages(spark, sf_dir).feed, ["product_id"])
+    kept = F.col("retailer").isin(*RETAILERS_WITHOUT_ID) | valid_product_id(F.col("product_id"))
     return feed.groupBy("retailer").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(kept).alias("n_kept"))
 
 
@@ -248,7 +306,7 @@ def q_silver(spark, sf_dir):
 
 def q_match_rate(spark, sf_dir):
     s = Stages(spark, sf_dir)
-    return match_rate_by_keys(s.std, s.pmap, s.cmap)
+    return match_rate(s.std, s.pmap, s.cmap)
 
 
 def q_unmatched_products(spark, sf_dir):
@@ -322,27 +380,39 @@ def q_market_share_lattice(spark, sf_dir):
     return market_share_lattice(lattice, LATTICE, on_zero_total=SHARE_ON_ZERO, amount_scale=AMOUNT_SCALE)
 
 
+def _model_shares(model_id: int):
+    """The share lattice of an older model (2, 3 or 4 levels, with and without department)."""
+    grains = MODELS[model_id].grains
+
+    def fn(spark, sf_dir):
+        lattice = kpi_lattice(Stages(spark, sf_dir).silver, grains, amount_scale=AMOUNT_SCALE)
+        return market_share_lattice(lattice, grains, on_zero_total=SHARE_ON_ZERO, amount_scale=AMOUNT_SCALE)
+    return fn
+
+
 # ---------------------------------------------------------------- misclassification
 
 def q_placeholder_class_filter(spark, sf_dir):
     return comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID)
 
 
-def q_misclass_wide(spark, sf_dir):
-    rows = comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID)
-    return misclassification_wide(rows, RETAILERS_WITH_ID, min_present=MIN_PRESENT, as_text=WIDE_SEPARATOR)
+def _misclass_rows(spark, sf_dir, model: Model) -> DataFrame:
+    return comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID, columns=list(model.misclass_columns),
+                           placeholder_level=model.placeholder_level)
+
+
+def _misclass_variants(model: Model):
+    def fn(spark, sf_dir):
+        return misclassification_variants(_misclass_rows(spark, sf_dir, model), levels=model.standards, min_present=MIN_PRESENT)
+    return fn
 
 
 def q_misclass_long(spark, sf_dir):
-    rows = comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID)
-    return misclassification_long(rows, min_present=MIN_PRESENT)
+    return misclassification_long(_misclass_rows(spark, sf_dir, MODELS[4]), min_present=MIN_PRESENT)
 
 
-def q_misclass_two_levels(spark, sf_dir):
-    rows = comparison_rows(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID, columns=TWO_LEVEL_COLUMNS,
-                           placeholder_level=None)
-    return misclassification_wide(rows, RETAILERS_WITH_ID, columns=TWO_LEVEL_COLUMNS,
-                                  levels=PRODUCT_STANDARDS[:2], min_present=MIN_PRESENT, as_text=WIDE_SEPARATOR)
+# Four levels with customer segments, without units
+NO_UNITS = replace(MODELS[4], misclass_columns=tuple(c for c in MISCLASS_COLUMNS if c != "volume_unit"))
 
 
 # ---------------------------------------------------------------- extracts
@@ -370,7 +440,7 @@ def q_volume_missing_sample(spark, sf_dir):
 
 
 def q_product_sample(spark, sf_dir):
-    return ex.product_sample(Stages(spark, sf_dir).silver, RETAILERS_WITH_ID)
+    return ex.product_sample(Stages(spark, sf_dir).silver)
 
 
 def q_volume_units(spark, sf_dir):
@@ -391,6 +461,8 @@ def q_unit_inconsistency(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_rename": q_feed_rename,
+    "bronze_feeds": q_bronze_feeds,
+    "feed_assembly": q_feed_assembly,
     "feed_required_columns": q_feed_required_columns,
     "feed_union": q_feed_union,
     "gtin_explode": q_gtin_explode,
@@ -426,10 +498,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "market_share_l1_dep": _share("market_share_l1_dep"),
     "market_share_l1_c1": _share("market_share_l1_c1"),
     "market_share_lattice": q_market_share_lattice,
+    "market_share_model1": _model_shares(1),
+    "market_share_model2": _model_shares(2),
+    "market_share_model3": _model_shares(3),
     "placeholder_class_filter": q_placeholder_class_filter,
-    "misclass_wide": q_misclass_wide,
+    "misclass_variants": _misclass_variants(MODELS[4]),
     "misclass_long": q_misclass_long,
-    "misclass_two_levels": q_misclass_two_levels,
+    "misclass_two_levels": _misclass_variants(MODELS[1]),
+    "misclass_three_levels": _misclass_variants(MODELS[2]),
+    "misclass_no_units": _misclass_variants(NO_UNITS),
     "volume_extract": q_volume_extract,
     "volume_extract_strict": q_volume_extract_strict,
     "volume_extract_stats": q_volume_extract_stats,

@@ -10,13 +10,12 @@ pruning.
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.operators.shaping import union_all
+from gondola.operators.shaping import common_types, union_all
 
 RETAILER = "retailer"
 
@@ -24,21 +23,31 @@ RETAILER = "retailer"
 # ---------------------------------------------------------------- scans
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str = ";",
-                   encoding: str | None = None, header: bool = True) -> DataFrame:
+                   encoding: str | None = None, header: bool = True, multi_line: bool = False) -> DataFrame:
     """Delimited text with a header, every column read as text.
 
     No type inference: codes such as ``01`` keep their leading zero and the
-    amount parser sees the raw text.  ``encoding='windows-1252'`` needs
-    ``spark.sql.legacy.javaCharsets`` (set for the session when asked for, as
-    Spark 4 otherwise rejects that charset); no silent Latin-1 substitute.
+    amount parser sees the raw text.  Quotes inside a quoted cell are doubled;
+    an empty cell is null, quoted or not.
+    Each path is read with its own header and the files are united by column
+    name (a column that a file lacks is null); the files of one folder have to
+    share one header.  ``multi_line`` reads cells that hold line breaks, but a
+    file is then one task, so it is off unless a feed needs it.  Either way a
+    record with the wrong number of columns raises, whatever columns are used.
+
+    ``encoding='windows-1252'`` needs a session started with
+    ``spark.sql.legacy.javaCharsets=true``; there is no silent Latin-1 substitute.
     """
-    reader = spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
+    reader = (spark.read.option("header", header).option("sep", sep).option("inferSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+              .option("mode", "FAILFAST").option("enforceSchema", not header).option("columnPruning", False))
     if encoding:
         if encoding.lower().replace("_", "-") in ("cp1252", "windows-1252"):
-            spark.conf.set("spark.sql.legacy.javaCharsets", "true")
             encoding = "windows-1252"
+            if spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+                raise ValueError("windows-1252 needs a session with spark.sql.legacy.javaCharsets=true")
         reader = reader.option("encoding", encoding)
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    return union_all([reader.csv(p) for p in ([paths] if isinstance(paths, str) else paths)], allow_missing=True)
 
 
 def read_tsv(spark: SparkSession, paths: str | Sequence[str], **kw) -> DataFrame:
@@ -47,30 +56,27 @@ def read_tsv(spark: SparkSession, paths: str | Sequence[str], **kw) -> DataFrame
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Parquet scan (filters and column pruning reach the files)."""
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else list(paths)))
+    """Parquet scan (filters and column pruning reach the files).  Columns
+    of all files are merged, so a file with more columns loses none."""
+    return spark.read.option("mergeSchema", True).parquet(*([paths] if isinstance(paths, str) else list(paths)))
+
+
+def layer_feeds(spark: SparkSession, root: str, retailers: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Each feed of a layer written by ``write_layer`` with its own columns,
+    read from its own partition directory."""
+    names = retailers
+    if names is None:  # partition values only: one row for each feed
+        names = sorted(r[0] for r in spark.read.parquet(root).select(RETAILER).distinct().collect())
+    return {n: read_parquet(spark, f"{root}/{RETAILER}={n}").withColumn(RETAILER, F.lit(n)) for n in names}
 
 
 def read_layer(spark: SparkSession, root: str, retailers: Sequence[str] | None = None) -> DataFrame:
-    """Every feed of a layer written by ``write_layer``; ``retailer`` comes
-    from the partition directory and a retailer filter prunes directories."""
-    df = spark.read.option("basePath", root).parquet(root)
-    return df.filter(F.col(RETAILER).isin(*retailers)) if retailers else df
-
-
-def read_feed_drop(spark: SparkSession, name: str, paths: Sequence[str], *, fmt: str = "csv",
-                   **kw) -> DataFrame:
-    """S6 (re-aimed): one feed delivered as several files (one per year or
-    per sheet), concatenated by name (U1) and tagged with its retailer."""
-    frames = []
-    for p in paths:
-        if fmt == "parquet":
-            frames.append(read_parquet(spark, p))
-        elif fmt == "tsv":
-            frames.append(read_tsv(spark, p, **kw))
-        else:
-            frames.append(read_delimited(spark, p, **kw))
-    return union_all(frames).withColumn(RETAILER, F.lit(name))
+    """The feeds of a layer (all, or those named) united by column name.
+
+    Feeds may differ in columns (null where a feed lacks one) and in types (a
+    column that differs is read as text).
+    """
+    return union_all(list(common_types(layer_feeds(spark, root, retailers)).values()), allow_missing=True)
 
 
 # ---------------------------------------------------------------- sinks
@@ -92,13 +98,22 @@ def write_silver(silver: DataFrame, root: str, without_id: Sequence[str]) -> Non
     """
     no_id = F.col(RETAILER).isin(*without_id) if without_id else F.lit(False)
     routed = silver.withColumn("route", F.when(no_id, F.lit("without_id")).otherwise(F.lit("with_id")))
+    if "year" in silver.columns:  # few files for each feed and year; large ones are split
+        routed = routed.hint("rebalance", RETAILER, "year")
     (routed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("route", RETAILER).parquet(root))
 
 
-def read_silver(spark: SparkSession, root: str, route: str) -> DataFrame:
-    """One route of a silver layer written by ``write_silver``."""
-    df = spark.read.option("basePath", root).parquet(root).filter(F.col("route") == route).drop("route")
+def read_silver(spark: SparkSession, root: str, route: str | None = None,
+                retailers: Sequence[str] | None = None) -> DataFrame:
+    """One route of a silver layer written by ``write_silver``, or both; only
+    the given retailers, so partitions that earlier runs left stay out."""
+    df = spark.read.option("basePath", root).option("mergeSchema", True).parquet(root)
+    if retailers is not None:
+        df = df.filter(F.col(RETAILER).isin(*retailers))
+    if route is not None:
+        df = df.filter(F.col("route") == route)
+    df = df.drop("route")
     return df.drop("product_id") if route == "without_id" else df
 
 
@@ -112,21 +127,7 @@ def write_report(df: DataFrame, root: str, name: str, *, skip_empty: bool = Fals
 
 
 def write_delimited(df: DataFrame, path: str, *, sep: str = ";") -> None:
-    """Delimited text with a header."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
-
-
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint directory.
-
-    The directory named by ``spark.checkpoint.dir`` (or set on the context) is
-    used as is; only when none is configured, as in local tests, a private one
-    is created and registered as the checkpoint directory.
-    """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="gondola-checkpoint-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
-    return "/".join([base.rstrip("/"), *parts])
+    """Delimited text with a header, as ``read_delimited`` reads it (cells
+    that hold line breaks need its ``multi_line``)."""
+    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

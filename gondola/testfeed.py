@@ -10,14 +10,9 @@ and missing mapping keys.
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from gondola.config import FeedSpec
-from gondola.sources.io import read_layer, shared_dir, write_layer
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -152,61 +147,3 @@ class FixtureFeed:
     @property
     def customer_map(self) -> DataFrame:
         return self.spark.sql(CUSTOMER_MAP_SQL, base=self.base)
-
-
-_READY: set[str] = set()  # bronze roots known complete in this process
-
-
-class BronzeFixture:
-    """The fixture written once as a bronze layer, then read like real feeds.
-
-    Source pipelines read their feeds from bronze parquet; here the feed is
-    derived from the driver tables by Spark, written once per scale directory
-    under the shared checkpoint folder (feed partitioned by retailer), and
-    every query reads it back with pruning and pushdown.  The folder name
-    hashes the input path and the fixture SQL, so a change to either builds
-    a new one.
-    """
-
-    PARTS = ("feed", "product_map", "customer_map")
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        text = os.path.abspath(sf_dir) + BASE_SQL + FEED_SQL + PRODUCT_MAP_SQL + CUSTOMER_MAP_SQL
-        key = hashlib.sha1(text.encode()).hexdigest()[:16]
-        self.root = shared_dir(spark, "gondola-bronze", key)
-        if self.root not in _READY:
-            if not self.complete():
-                self.build(sf_dir)
-            _READY.add(self.root)
-
-    def path(self, part: str) -> str:
-        return f"{self.root}/{part}"
-
-    def complete(self) -> bool:
-        # a one-row marker table written after the three parts (Spark's own
-        # ``_SUCCESS`` files are hidden from its file listing)
-        try:
-            self.spark.read.parquet(self.path("ready"))
-        except AnalysisException:
-            return False
-        return True
-
-    def build(self, sf_dir: str) -> None:
-        fx = FixtureFeed(self.spark, sf_dir)
-        write_layer(fx.feed, self.path("feed"))
-        fx.product_map.write.mode("overwrite").parquet(self.path("product_map"))
-        fx.customer_map.write.mode("overwrite").parquet(self.path("customer_map"))
-        self.spark.range(1).write.mode("overwrite").parquet(self.path("ready"))
-
-    @property
-    def feed(self) -> DataFrame:
-        return read_layer(self.spark, self.path("feed"))
-
-    @property
-    def product_map(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("product_map"))
-
-    @property
-    def customer_map(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("customer_map"))

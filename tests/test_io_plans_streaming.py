@@ -2,18 +2,19 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from gondola.config import FEEDS, FeedSpec
 from gondola.operators.bronze import build_bronze, shape_bronze
 from gondola.plans.models import MODELS
-from gondola.plans.run import run_model
+from gondola.plans.run import run_from_bronze, run_model
 from gondola.queries import Stages
 from gondola.sources.io import (
     read_delimited,
     read_layer,
     read_silver,
     read_tsv,
-    shared_dir,
     write_delimited,
     write_layer,
     write_report,
@@ -66,8 +67,54 @@ def test_silver_routing_reports_csv(spark, tmp_dir):
     assert spark.read.option("sep", ";").option("header", True).csv(os.path.join(tmp_dir, "csv")).count() == 2
 
 
-def test_shared_dir_uses_checkpoint_dir(spark):
-    assert shared_dir(spark, "x").startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+def put(path, text, encoding="utf-8"):
+    with open(path, "w", encoding=encoding, newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_quoted_cells(spark, tmp_dir):
+    p = put(os.path.join(tmp_dir, "q.csv"), 'a;b\n"x ""y"" z";1\n"two\nlines";2\n')
+    rows = [tuple(r) for r in read_delimited(spark, p, multi_line=True).collect()]
+    assert rows == [('x "y" z', "1"), ("two\nlines", "2")]
+    # without the option the broken record raises, whatever columns are read
+    for columns in (["a", "b"], ["a"], ["b"]):
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+            read_delimited(spark, p).select(*columns).collect()
+
+
+def test_files_keep_their_own_column_order(spark, tmp_dir):
+    p = [put(os.path.join(tmp_dir, "1.csv"), "a;b\n1;2\n"), put(os.path.join(tmp_dir, "2.csv"), "b;a;c\n20;10;30\n")]
+    got = sorted((r.a, r.b, r.c) for r in read_delimited(spark, p).collect())
+    assert got == [("1", "2", None), ("10", "20", "30")]
+    with pytest.raises(Exception):  # files of one folder have to share a header
+        read_delimited(spark, tmp_dir).collect()
+
+
+def test_csv_round_trip(spark, tmp_dir):
+    rows = [("plain", None), (' edge "quoted" ', " "), ("semi;colon", "two\nlines"), ("back\\slash", 'q"')]
+    df = spark.createDataFrame(rows, "a string, b string")
+    write_delimited(df, os.path.join(tmp_dir, "out"))
+    back = read_delimited(spark, os.path.join(tmp_dir, "out"), multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    assert read_delimited(spark, put(os.path.join(tmp_dir, "e.csv"), 'a;b\n"";1\n')).first()["a"] is None
+
+
+def test_cp1252_needs_the_session_flag(spark):
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    try:
+        with pytest.raises(ValueError, match="javaCharsets"):
+            read_delimited(spark, "/nowhere.csv", encoding="cp1252")
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
+def test_layer_of_feeds_with_different_columns_and_types(spark, tmp_dir):
+    write_layer(spark.createDataFrame([("a", "1", "05", 3.0)], "retailer string, product_id string, month string, v double"), tmp_dir)
+    write_layer(spark.createDataFrame([("b", "C1", "X", "3,5")], "retailer string, product_code string, brand_name string, v string"), tmp_dir)
+    got = {r.retailer: r.asDict() for r in read_layer(spark, tmp_dir).collect()}
+    assert (got["a"]["product_id"], got["a"]["month"], got["a"]["brand_name"], got["a"]["v"]) == ("1", "05", None, "3")
+    assert (got["b"]["product_code"], got["b"]["brand_name"], got["b"]["month"], got["b"]["v"]) == ("C1", "X", None, "3,5")
 
 
 def test_bronze_shaping(spark, tmp_dir):
@@ -91,26 +138,64 @@ def test_bronze_shaping(spark, tmp_dir):
 
 def test_run_model_writes_every_report(spark, tmp_dir):
     fx = Stages(spark, SF_SMALL).fx
+    stale = fx.feed.limit(1).select(F.lit("gone").alias("retailer"), F.lit("1").alias("product_id"), F.lit(9e9).alias("turnover"), F.lit("1990").alias("year"))
+    write_silver(stale, os.path.join(tmp_dir, "silver"), [])  # a feed that this run no longer has
     out = run_model(spark, fx.feed, fx.product_map, fx.customer_map, TEST_FEEDS, tmp_dir, model_id=4)
-    for name in ["silver", "match_rate", "kpis", "market_share", "misclassification", "misclassification_long",
-                 "unicity_code_levels", "unmatched_levels_pdt", "feeds"]:
+    for name in ["silver", "keys", "match_rate", "kpis", "market_share", "misclassification", "misclassification_long",
+                 "unicity_code_levels", "unmatched_levels_pdt", "unmatched_levels_customer", "feeds", "product_sample", "volume_units"]:
         assert os.path.isdir(out[name]), name
     kpis = spark.read.parquet(out["kpis"])
     assert kpis.select("grain").distinct().count() == len(MODELS[4].grains) == 20
+    assert "gone" not in {r[0] for r in kpis.select("retailer").distinct().collect()}
     feeds = {r.retailer: r.has_product_id for r in spark.read.parquet(out["feeds"]).collect()}
     assert feeds["middle_east"] is False and feeds["africa"] is True
-    silver = read_layer(spark, out["silver"])
+    silver = read_silver(spark, out["silver"], retailers=RETAILERS)
     total = silver.agg(F.sum("turnover")).collect()[0][0]
     l1 = kpis.filter("grain = 'l1'").agg(F.sum("turnover")).collect()[0][0]
     assert abs(total - l1) < 1e-6 * max(1.0, abs(total))
-
-
-def test_model_variants(spark, tmp_dir):
-    fx = Stages(spark, SF_SMALL).fx
-    out = run_model(spark, fx.feed, fx.product_map, None, TEST_FEEDS, tmp_dir, model_id=2)
+    assert read_silver(spark, out["silver"], "without_id", RETAILERS).select("retailer").distinct().collect() == [("middle_east",)]
+    units = read_delimited(spark, out["volume_units"])
+    assert units.columns == ["retailer", "volume_unit"] and units.count() == silver.select("retailer", "volume_unit").distinct().count()
+
+
+# Two native feeds, the second without ids; amounts as number and as text.
+NATIVE = [FeedSpec("metro", rename=FEEDS["metro"].rename, turnover_type="HT"),
+          FeedSpec("ducreux", rename=FEEDS["ducreux"].rename)]
+
+
+def native_layer(spark, root):
+    write_layer(spark.createDataFrame([("metro", "123", "M1", "Pâtes 500 G", "SEC", "PATES", "?S", 10.0, 1.0, "2024", "01"),
+                                       ("metro", "0", "M2", "x", "SEC", "RIZ", None, 5.0, 2.0, "2024", "01")],
+                                      "retailer string, gtin string, art_no string, art_name string, SA string, GA string, SGA string, CA_HT double, "
+                                      "Poids_volume double, annee string, departement string"), root)
+    write_layer(spark.createDataFrame([("ducreux", "D1", "Riz", "1", "SEC", "1 234,5678", "2024")],
+                                      "retailer string, `Article code` string, `Article lib` string, `Secteur code` string, `Secteur lib` string, CA string, `Année` string"), root)
+
+
+@pytest.mark.parametrize("model_id", [1, 2, 3, 4])
+def test_models_from_bronze_files(spark, tmp_dir, model_id):
+    bronze = os.path.join(tmp_dir, "bronze")
+    native_layer(spark, bronze)
+    model = MODELS[model_id]
+    if model_id == 1:  # one sheet per feed, under the feed's names
+        maps = {"metro": put(os.path.join(tmp_dir, "metro.csv"), "SA;GA;SGA;Modele 1 Niv 1 BIS;Modele 1 Niv 2 BIS\nSEC;PATES;?S;Épicerie;Pâtes\n"),
+                "ducreux": put(os.path.join(tmp_dir, "ducreux.csv"), "Secteur code;Secteur lib;Modele 1 Niv 1 BIS;Modele 1 Niv 2 BIS\n1;SEC;Épicerie;Riz\n")}
+    else:
+        standards = ";".join(f"level_{i}_standard" for i in range(1, 5))
+        text = f"ENTREPRISE;level_1;level_2;level_3;{standards}\nmetro;SEC;PATES;?S;Épicerie;Pâtes;P;P\nducreux;1;SEC;;Épicerie;Riz;R;R\n"
+        maps = put(os.path.join(tmp_dir, "map.csv"), text, model.map_encoding or "utf-8")
+    customers = put(os.path.join(tmp_dir, "customers.csv"), "ENSEIGNE;segment_1;segment_1_standard;segment_2_standard;segment_3_standard\nmetro;;PRO;A;B\n",
+                    model.map_encoding or "utf-8")
+    out = run_from_bronze(spark, bronze, maps, customers, NATIVE, os.path.join(tmp_dir, "out"), model_id=model_id)
     kpis = spark.read.parquet(out["kpis"])
-    assert sorted(r.grain for r in kpis.select("grain").distinct().collect()) == [
-        "l1", "l1Dep", "l2", "l2Dep", "l3", "l3Dep"]
+    assert {r[0] for r in kpis.select("grain").distinct().collect()} == {g.name for g in model.grains}
+    l1 = {(r.retailer, r.level_1_standard): r.turnover for r in kpis.filter("grain = 'l1'").collect()}
+    # the metro map's "?" is repaired to the letter that its feed does not have: no match;
+    # four decimals of an amount are kept; the placeholder id's line is gone
+    assert l1["ducreux", "Épicerie"] == 1234.5678
+    assert sum(v for (r, _), v in l1.items() if r == "metro") == 10.0
+    matched = {r.retailer: r.n_matched for r in spark.read.parquet(out["match_rate"]).collect()}
+    assert matched["ducreux"] == 1
 
 
 def test_silver_stream_matches_batch(spark, tmp_dir):

@@ -2,27 +2,33 @@
 
 import itertools
 import math
+import random
 
 from pyspark.sql import functions as F
 
-from gondola.config import CUSTOMER_SEGMENTS, PRODUCT_LEVELS, FeedSpec
+from gondola.config import AMOUNT_SCALE, CUSTOMER_SEGMENTS, PRODUCT_LEVELS, FeedSpec
 from gondola.operators.extracts import any_row_per_key, unit_inconsistency, volume_turnover_signs
-from gondola.operators.kpis import compute_kpis, incremental_sublists, kpi_grains, kpi_lattice
+from gondola.functions.agg import n_unique, sum_or_zero
+from gondola.operators.kpis import compute_kpis, incremental_sublists, kpi_grains, kpi_lattice, order_report
 from gondola.operators.mapping import build_silver, map_products
 from gondola.operators.market_share import market_share, market_share_lattice
 from gondola.operators.misclassification import (
     comparison_rows,
     conflicting_products,
     misclassification_long,
-    misclassification_wide,
+    misclassification_variants,
 )
-from gondola.operators.quality import check_unicity, match_rate, match_rate_by_keys, unmatched_products
+from gondola.operators.quality import check_unicity, distinct_keys, match_rate, unmatched_products
 from gondola.operators.shaping import (
     add_required_columns,
+    as_text,
+    columns_with_prefix,
     explode_list,
     rename_columns,
     split_exact,
+    strip_suffix,
     suffix_columns,
+    tag_retailer,
     union_all,
 )
 from gondola.operators.standardize import prepare_product_map, standardize_feed
@@ -116,15 +122,16 @@ def test_mapping_fan_out_and_quality(spark):
     assert len(rows) == 3  # C1 matches twice, C4 once
     assert sorted(r.level_2_standard for r in rows if r.product_code == "C1") == ["F1", "F2"]
     assert {r.classification for r in rows if r.product_code == "C1"} == {">".join(["A"] + ["NON RENSEIGNE"] * 6)}
-    mr = {r.retailer: tuple(r)[1:] for r in match_rate(std, silver).collect()}
-    assert mr == {"r1": (1, 2, 2), "r2": (1, 1, 0)}
     pm = prepare_product_map(product_map_frame(spark), retailers=["r1", "r2"],
                              standards=["level_1_standard", "level_2_standard"])
     cm = add_required_columns(spark.createDataFrame([("r1", "s", "PRO")],
                                                     "retailer string, segment_1 string, segment_1_standard string"),
                               {c: "NON RENSEIGNE" for c in CUSTOMER_SEGMENTS})
-    by_keys = {r.retailer: tuple(r)[1:] for r in match_rate_by_keys(std, pm, cm).collect()}
-    assert by_keys == mr
+    mr = {r.retailer: tuple(r)[1:] for r in match_rate(std, pm, cm).collect()}
+    counted = silver.groupBy("retailer").agg(F.count("level_1_standard"), F.count("segment_1_standard")).collect()
+    assert mr == {"r1": (1, 2, 2), "r2": (1, 1, 0)} == {r[0]: (1, r[1], r[2]) for r in counted}
+    keys = distinct_keys(std.unionByName(std))  # a key table carries its line counts
+    assert {r.retailer: tuple(r)[1:] for r in match_rate(keys, pm, cm, lines="n_lines").collect()} == {"r1": (2, 4, 4), "r2": (2, 2, 0)}
     assert unmatched_products(silver, standards=["level_1_standard", "level_2_standard"]).count() == 0
 
 
@@ -164,13 +171,15 @@ def lattice_input(spark):
     return spark.createDataFrame(rows, schema)
 
 
-def test_lattice_strategies_agree_and_sum(spark):
+def test_lattice_agrees_with_group_bys_and_sums(spark):
     df = lattice_input(spark)
     grains = kpi_grains(4)
     assert len(grains) == 20 and incremental_sublists([1, 2, 3]) == [[1], [1, 2], [1, 2, 3]]
-    a = kpi_lattice(df, grains, amount_scale=2, strategy="expand")
-    b = kpi_lattice(df, grains, amount_scale=2, strategy="union")
-    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    a = kpi_lattice(df, grains, amount_scale=2)
+    for g in grains:  # every grain against a group-by of its own, by the library's own aggregates
+        own = df.groupBy("retailer", *g.columns).agg(sum_or_zero("turnover", scale=2), n_unique("product_id"), n_unique("product_code"))
+        of = a.filter(F.col("grain") == g.name).select("retailer", *g.columns, "turnover", "nb_product_ids", "nb_product_codes")
+        assert sorted(map(tuple, of.collect()), key=str) == sorted(map(tuple, own.collect()), key=str)
     total = sum(r.turnover for r in df.collect())
     for g in grains:  # the turnover of every grain adds up to the silver total
         s = a.filter(F.col("grain") == g.name).agg(F.sum("turnover")).collect()[0][0]
@@ -237,13 +246,61 @@ def test_misclassification_matches_brute_force(spark):
     levels = ["level_1_standard", "level_2_standard"]
     got = {r.product_id for r in conflicting_products(df, levels=levels, min_present=2).collect()}
     assert got == brute_force_conflicts(rows, levels, 2) == {"p1", "p4", "p6"}
-    wide = {r.product_id: r for r in misclassification_wide(df, ["a", "b", "c"], columns=levels, levels=levels).collect()}
-    assert set(wide) == {"p1", "p4", "p6"}
-    assert wide["p6"].level_2_standard_a == ["F", "G"] and wide["p1"].level_1_standard_c is None
+    kept = sorted(tuple(r) for r in misclassification_variants(df, levels=levels).select("retailer", "product_id", *levels).collect())
+    assert kept == sorted(r for r in rows if r[1] in ("p1", "p4", "p6"))
     long = {(r.product_id, r.level, r.standard): r.retailers for r in misclassification_long(df, levels=levels).collect()}
     assert long[("p4", "level_2_standard", "G")] == "b,c"
 
 
+def test_misclassification_rule_on_random_rows(spark):
+    """Presence and conflict on the same combination, with null level 1 beside
+    filled lower levels, for every threshold."""
+    rng = random.Random(11)
+    rows = [("a", "case", None, "X"), ("a", "case", "L", "Y"), ("b", "case", "L", "Y")]
+    for p in range(400):
+        for r in "abcd"[:rng.randint(1, 4)]:
+            for _ in range(rng.randint(1, 3)):
+                rows.append((r, f"p{p}", rng.choice([None, None, "X", "Y"]), rng.choice([None, "F", "G", "H"])))
+    levels = ["level_1_standard", "level_2_standard"]
+    df = spark.createDataFrame(sorted(set(rows), key=str), MIS_SCHEMA)
+    for n in (1, 2, 3, 4):
+        got = {r.product_id for r in conflicting_products(df, levels=levels, min_present=n).collect()}
+        assert got == brute_force_conflicts(rows, levels, n)
+    assert "case" not in {r.product_id for r in conflicting_products(df, levels=levels, min_present=2).collect()}
+
+
+def test_fourth_level_as_the_source_has_it(spark):
+    df = spark.createDataFrame([("a", "p", "X", "F", "S", "I"), ("b", "p", "X", "F", "S", "J")],
+                               MIS_SCHEMA + ", level_3_standard string, level_4_standard string")
+    assert conflicting_products(df).count() == 1
+    assert conflicting_products(df, compat_level4=True).count() == 0
+
+
+def test_column_name_helpers(spark):
+    df = spark.createDataFrame([("p", "n", "l")], "product_id string, name string, level_1 string")
+    suffixed = suffix_columns(df, "metro", keep=["product_id"])
+    assert suffixed.columns == ["product_id", "name_metro", "level_1_metro"]
+    assert strip_suffix(suffixed, "metro").columns == df.columns
+    assert columns_with_prefix(suffixed, "level") == columns_with_prefix(suffixed, "l", "_metro") == ["level_1_metro"]
+    assert tag_retailer(df, "r").first()["retailer"] == "r"
+
+
+def test_text_of_mixed_types(spark):
+    df = spark.createDataFrame([(3012345678901.0, 2.5, None, 7)], "a double, b double, c double, d long")
+    assert [df.select(as_text(df, c)).first()[0] for c in df.columns] == ["3012345678901", "2.5", None, "7"]
+
+
+def test_order_report_puts_nulls_first(spark):
+    df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "k string, v int")
+    assert [r.v for r in order_report(df, ["k"]).collect()] == [2, 3, 1]
+
+
+def test_amounts_with_four_decimals(spark):
+    df = spark.createDataFrame([("r", "2024", "p", "c", 0.0001), ("r", "2024", "p", "c", 12.3456)],
+                               "retailer string, year string, product_id string, product_code string, turnover double")
+    assert compute_kpis(df, ["year"], amount_scale=AMOUNT_SCALE).first()["turnover"] == 12.3457
+
+
 def test_comparison_rows_drop_placeholder_and_null(spark):
     df = spark.createDataFrame([("a", "p", "A L'EAN"), ("a", "p", None), ("a", "p", "ITEM"), ("z", "p", "ITEM")],
                                "retailer string, product_id string, level_4_standard string")

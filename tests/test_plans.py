@@ -1,34 +1,48 @@
 """Plan shape of every registered query: no all-pairs joins, no Python
-evaluation, aggregations combined map-side before their shuffle."""
+evaluation, every aggregation combined map-side, the feed read no oftener than
+needed."""
 
 import re
 
 import pytest
 
-import __spark_entry__ as entry
+from gondola.queries import QUERIES
 
 from .conftest import SF_SMALL
 
-FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas"]
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow"]
 
 
-def physical_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+@pytest.fixture(scope="module")
+def plan_of(spark):
+    """Physical plans without adaptive execution, so that reuse shows."""
+    def plan(name):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return plan
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_plan_shape(spark, name):
-    plan = physical_plan(entry.queries()[name](spark, SF_SMALL))
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_shape(plan_of, name):
+    plan = plan_of(name)
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
-    # every hash aggregation that shuffles has a partial (map-side) step
-    if "Exchange hashpartitioning" in plan and "HashAggregate" in plan:
-        assert "partial_" in plan or "HashAggregate(keys=" in plan
+    # the stage below an aggregation's exchange has already combined its rows
+    lines = plan.splitlines()
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and "Reused" not in line and k and re.search(r"(Hash|Sort|ObjectHash)Aggregate\(keys", lines[k - 1]):
+            assert re.search(r"Aggregate\(keys", lines[k + 1]), f"{name}: {line}"
 
 
-def test_scan_reads_only_needed_columns(spark):
-    plan = physical_plan(entry.queries()["unit_inconsistency"](spark, SF_SMALL))
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
-    assert scans and all(len(s.split(",")) <= 5 for s in scans)
-    assert "PartitionFilters: [isnotnull(retailer" in plan
+# only the feed view reads l_linenumber of the fact table; the maps do not
+@pytest.mark.parametrize("name", ["kpi_lattice", "kpi_lattice_model3", "market_share_lattice", "volume_units_by_level", "match_rate", "product_sample"])
+def test_the_feed_is_read_once(plan_of, name):
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_linenumber", plan_of(name))) == 1
+
+
+def test_scan_reads_only_needed_columns(plan_of):
+    schemas = re.findall(r"/part\.parquet.*?ReadSchema: struct<([^>]*)>", plan_of("unit_inconsistency"))
+    assert schemas and all("p_retailprice" not in s and "p_container" not in s for s in schemas)
