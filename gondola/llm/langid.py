@@ -36,6 +36,10 @@ LABEL_WEIGHT = 5.0
 MIN_PROBABILITY = 0.5
 #: How much better (log, per trigram) a flat background must fit to reject a text.
 BACKGROUND_MARGIN = 1.0
+#: Count tables up to this many bytes are sent to the tasks whole; of larger ones
+#: only the keys with more than 1 / HOT_KEYS of all rows, the others by a shuffle.
+BROADCAST_BYTES = 32 << 20
+HOT_KEYS = 1024
 #: Most languages a model may have: it is sent to every task (64 kB each).
 MAX_LANGUAGES = 512
 
@@ -121,6 +125,25 @@ def _with_likelihoods(df: DataFrame, text: Column, model: TextModel) -> DataFram
     return df.withColumn("__text", text).mapInArrow(run, schema)
 
 
+def _attach(rows: DataFrame, table: DataFrame, key: str, name: str, n_langs: int) -> DataFrame:
+    """``rows`` with the counts ``name`` of their ``key`` (null where it has none).
+
+    However many rows a key has, they stay where they are: its counts come to
+    them.  Only a table over the size bound is joined by a shuffle, without its
+    hot keys, and rows that have nothing to find there are spread evenly.
+    """
+    if table.count() * n_langs * 8 <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), key, "left")
+    of = F.aggregate(F.col(name), F.lit(0.0), lambda s, x: s + x)
+    total = table.agg(F.sum(of)).first()[0]
+    hot = table.where(of > total / HOT_KEYS).select(key, F.col(name).alias("__hot"))
+    cold = table.where(of <= total / HOT_KEYS).select(F.col(key).alias("__key"), F.col(name).alias("__cold"))
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("__ll"), F.lit(HOT_KEYS)).cast("string"))
+    found = rows.join(F.broadcast(hot), key, "left").withColumn(
+        "__key", F.when(F.col(key).isNull() | F.col("__hot").isNotNull(), spread).otherwise(F.col(key)))
+    return found.join(cold, "__key", "left").withColumn(name, F.coalesce("__hot", "__cold")).drop("__key", "__hot", "__cold")
+
+
 def identify(df: DataFrame, model: TextModel, text: Column, host: Column | None = None, domain: Column | None = None,
              declared: Column | None = None, suffix: Column | None = None, carry: list[str] | None = None) -> DataFrame:
     """``df`` (its columns named in ``carry``, or all) with language, probability and kept.
@@ -157,8 +180,9 @@ def identify(df: DataFrame, model: TextModel, text: Column, host: Column | None
         totals[r["__first"]] = r["n"]
     every = F.array(*[F.lit(float(t)) for t in totals])
 
-    out = (seen.join(per_language("__host", "__hosts"), "__host", "left").join(per_language("__domain", "__domains"), "__domain", "left")
-           .join(per_language("__declared", "__declareds"), "__declared", "left").join(per_language("__suffix", "__suffixes"), "__suffix", "left"))
+    out = seen
+    for key, name in (("__host", "__hosts"), ("__domain", "__domains"), ("__declared", "__declareds"), ("__suffix", "__suffixes")):
+        out = _attach(out, per_language(key, name), key, name, n_langs)
     zeros = F.array(*[F.lit(0.0)] * n_langs)
     add = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 

@@ -42,6 +42,18 @@ def test_rejection_nulls_repeats_clashes_and_empty_tables(spark, model, make_doc
     assert [r["language"] for r in langid.identify_documents(make_docs([(1, "the")]), unlabelled).collect()] == ["und"]
 
 
+def test_joined_counts_equal_sent_counts(spark, model, monkeypatch):
+    rows = [(i, ["the of and", "le la des", "der die und", "x"][i % 4], f"h{i % 7}.{'ab'[i % 2]}.c", f"{'ab'[i % 2]}.c", ["en", None, "de"][i % 3], "c") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, host string, domain string, declared string, suffix string")
+    args = [F.col(c) for c in ("text", "host", "domain", "declared", "suffix")]
+    sent = sorted(map(tuple, langid.identify(df, model, *args).collect()))
+    monkeypatch.setattr(langid, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(langid, "HOT_KEYS", 6)
+    joined = sorted(map(tuple, langid.identify(df, model, *args).collect()))
+    assert [r[:-2] + r[-1:] for r in joined] == [r[:-2] + r[-1:] for r in sent]
+    assert [r[-2] for r in joined] == pytest.approx([r[-2] for r in sent])
+
+
 def test_markup_and_address(spark):
     df = spark.createDataFrame([("<!DOCTYPE html><HTML class='x' Lang = \"pt-BR\">", "https://u@news.Example.co.uk:80/a?b"), ("<html>", "nohost"), (None, None)],
                                "html string, url string")
