@@ -32,7 +32,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each whole copy that the mix takes, in training order."""
-    return mixing.in_training_order(mixing.mix(docs)).select(docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def resharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

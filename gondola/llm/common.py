@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +71,15 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns that clash with ``names`` under names of their own, and
+    the way back to exactly its columns."""
+    low = {n.lower() for n in names}
+    own = {c: f"__own_{i}" if c.lower() in low else c for i, c in enumerate(df.columns)}
+    renamed = df.select([F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    return renamed, lambda out: out.select([F.col(f"`{n}`").alias(c) for c, n in own.items()])
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

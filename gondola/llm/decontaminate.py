@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ALNUM, LOWER, cut, lower_ascii, shingle_hashes, ship, steps, text_bytes, without,
+from .common import (ALNUM, LOWER, cut, lower_ascii, set_aside, shingle_hashes, ship, steps, text_bytes, without,
                      word_hashes, word_spans)
 
 WINDOW = 13
@@ -32,6 +32,7 @@ SHINGLE = 5
 BLOCK_WINDOWS = 100_000
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FILTER_BITS = 20
+_ADDED = ["n_words", "n_hit", "items", "hit_spans"]
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -185,9 +186,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     nothing; a null item id counts as ''; an empty benchmark hits nothing.
     Incoming columns named like the added ones are replaced; all others pass.
     """
-    added = ["n_words", "n_hit", "items", "hit_spans"]
     ship(docs.sparkSession)
-    docs = without(docs, added)
+    docs = without(docs, _ADDED)
     texts = docs.select("text")
     found = cut(benchmark_windows(benchmark, window))
     n_blocks = -(-found.count() // block_windows)
@@ -242,9 +242,8 @@ def is_contaminated():
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
-    columns = docs.columns
-    kept = find_contamination(docs, benchmark).where(~is_contaminated())
-    return kept.select([f"`{c}`" for c in columns])
+    rows, back = set_aside(docs, _ADDED)
+    return back(find_contamination(rows, benchmark).where(~is_contaminated()))
 
 
 # ---------------------------------------------------------------- query

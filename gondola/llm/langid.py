@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, byte_table, cut, ship, steps, text_bytes, without
+from .common import LOWER, byte_table, cut, set_aside, ship, steps, text_bytes, without
 
 #: Hashed trigram table (entries a language).
 TABLE_BITS = 14
@@ -251,7 +251,8 @@ def identify_documents(docs: DataFrame, model: TextModel) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with a language, own columns."""
-    return identify_documents(docs, train(docs)).where("kept").select([F.col(f"`{c}`") for c in docs.columns])
+    rows, back = set_aside(docs, _ADDED)
+    return back(identify_documents(rows, train(rows)).where("kept"))
 
 
 # ---------------------------------------------------------------- query

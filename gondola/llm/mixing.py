@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, without
+from .common import cut, set_aside, without
 
 MAX_EPOCHS = 3
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -159,6 +159,13 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes it, with its own columns: a row for each whole
+    copy, in training order."""
+    rows, back = set_aside(docs, [*_ADDED, "position"])
+    return back(in_training_order(mix(rows)))
+
+
 # ---------------------------------------------------------------- query
 
 def query(spark, sf_dir: str) -> DataFrame:

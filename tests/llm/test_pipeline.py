@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from gondola.llm import langid
@@ -39,9 +41,13 @@ def test_run_against_brute_force(spark, documents):
 
 def test_stages_on_nulls_and_repeats(spark, make_docs):
     docs = make_docs([(1, None), (2, "the of and ing that thing"), (2, "the of and ing that thing"), (None, "the other words of that"), (4, "")])
+    # columns that clash with what the operators add come through as they are
+    own = {c: F.lit(c) for c in ("Kept", "language", "fp", "n_words", "items", "size", "taken", "position", "extra col")}
+    docs = docs.withColumns(own)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns
+        assert all(r[c] == c for r in out.collect() for c in own)
         docs = out
     # the copies and the texts without letters are gone
     assert {r["doc_id"] for r in docs.collect()} <= {2, None}
