@@ -22,7 +22,7 @@ from .common import cut, ship
 
 #: Counters of a Misra-Gries summary: it names every digest with more than
 #: 2 / (COUNTERS + 1) of all rows.
-COUNTERS = 255
+COUNTERS = 1023
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
