@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut
+from .common import cut, rank_within
 
 # The template's markers, and control strings of it and of other
 # common templates, which are escaped inside texts.
@@ -82,7 +82,7 @@ def ranked_paths(messages: DataFrame, most: int | None = None) -> DataFrame:
     """
     steps = root_to_leaf(messages).join(messages.select("tree", "msg", F.coalesce("score", F.lit(0.0)).alias("score")), ["tree", "msg"])
     scored = steps.groupBy("tree", "leaf").agg(F.sum("score").alias("path_score"))
-    ranked = scored.withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.col("path_score").desc(), "leaf")))
+    ranked = rank_within(scored, "tree", [F.col("path_score").desc(), "leaf"], "rank")
     if most is not None:
         ranked = ranked.where(F.col("rank") <= most)
     return steps.drop("score").join(ranked, ["tree", "leaf"])
@@ -98,15 +98,17 @@ def format_trees(messages: DataFrame, most: int | None = None) -> DataFrame:
     """
     messages = cut(messages.select("tree", "msg", "parent", "role", "text", "score"))
     steps = ranked_paths(messages, most).join(messages.select("tree", "msg", "role", "text"), ["tree", "msg"])
-    owner = F.row_number().over(W.partitionBy("tree", "msg").orderBy("rank"))
-    steps = steps.select("*", (F.coalesce(F.col("role"), F.lit("")) == "assistant").alias("mine"), owner.alias("owner"))
+    # the best path that holds a message trains on it
+    best = steps.groupBy("tree", "msg").agg(F.min("rank").alias("best"))
+    trained = (F.coalesce(F.col("role"), F.lit("")) == "assistant") & (F.col("rank") == F.col("best"))
+    steps = steps.join(best, ["tree", "msg"]).withColumn("trained", trained)
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    parts = steps.select("tree", "leaf", "rank", "path_score", "up", "mine", "owner", head.alias("head"), escape(F.col("text")).alias("body"))
+    parts = steps.select("tree", "leaf", "rank", "path_score", "up", "trained", head.alias("head"), escape(F.col("text")).alias("body"))
     parts = parts.select("*", F.concat("head", "body", F.lit(END + "\n")).alias("turn"))
     in_path = W.partitionBy("tree", "leaf").orderBy(F.col("up").desc())
     at = F.coalesce(F.sum(F.length("turn")).over(in_path.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     placed = parts.select("tree", "leaf", "rank", "path_score", "up", "turn", (at + F.length("head")).alias("first"),
-                          F.length("body").alias("n"), (F.col("mine") & (F.col("owner") == 1)).alias("trained"))
+                          F.length("body").alias("n"), "trained")
     turns = placed.groupBy("tree", "leaf").agg(
         F.first("rank").alias("rank"), F.first("path_score").alias("path_score"),
         F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("depth"), "turn", "first", "n", "trained"))).alias("turns"))
@@ -134,11 +136,10 @@ def conversations_as_trees(conversations: DataFrame) -> DataFrame:
 
     A null conv_id is a conversation of its own; repeated rows are repeated turns.
     """
-    w = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select("conv_id", "turn", "role", "text").select("*", F.row_number().over(w).alias("msg"))
     # the tree key tells a null conv_id from every text
     tree = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
-    return rows.select(tree.alias("tree"), "msg", F.when(F.col("msg") > 1, F.col("msg") - 1).alias("parent"), "role", "text",
+    rows = rank_within(conversations.select(tree.alias("tree"), "turn", "role", "text"), "tree", ["turn", "role", "text"], "msg")
+    return rows.select("tree", "msg", F.when(F.col("msg") > 1, F.col("msg") - 1).alias("parent"), "role", "text",
                        F.lit(1.0).alias("score"))
 
 

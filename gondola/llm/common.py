@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on (a longer text is one step).
@@ -90,6 +90,21 @@ def crc32(c: Column) -> Column:
     return F.crc32(F.coalesce(c, F.lit("")))
 
 
+def rank_within(df: DataFrame, group: str, order: list[Column | str], name: str) -> DataFrame:
+    """``df`` with each row's rank (from 1) in its group by ``order``.
+
+    ``group`` is never null.  The rows are range-sorted, so a group that holds a
+    third of them is spread over many partitions; a row's rank is its place in
+    its partition plus the group's rows in the partitions before.
+    """
+    at = cut(df.repartitionByRange(group, *order).sortWithinPartitions(group, *order)).select(
+        "*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at"))
+    pieces = at.groupBy(group, "__part").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    earlier = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select(group, "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__base"))
+    return at.join(starts, [group, "__part"]).withColumn(name, F.col("__at") + F.col("__base")).drop("__part", "__at", "__base")
+
+
 # ---------------------------------------------------------------- Arrow text
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
