@@ -43,8 +43,15 @@ BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
     "alert disclaimer popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu menus breadcrumb "
     "breadcrumbs pagination pager sidebar sidebars aside rail widget widgets footer header masthead topbar toolbar share sharing social "
-    "related recommended recommendations comment comments disqus respond reply replies search form skip".split())
+    "related recommended recommendations comment comments disqus respond reply replies responses discussion feedback search form skip "
+    "adbox adslot adsense promoted outbrain taboola announcement toast paywall infobar privacy side sidenav branding logo topnav colophon "
+    "copyright crumb crumbs".split())
+#: A header belongs to the text if it is named as the header of one of these.
+HEADERS = frozenset("header masthead".split())
+CONTENT_NAMES = frozenset("article post entry story content section".split())
 _CONTENT_TAGS = frozenset({"article", "main"})
+#: "has-sidebar" and the like tell of a layout, not of the element itself.
+_LAYOUT = re.compile(r"\b(?:has|with|without|no)[-_]?[A-Za-z]+", re.I)
 
 _TOKEN = re.compile(
     r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)""", re.S)
@@ -81,9 +88,11 @@ class _Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-        names = {w.lower() for w in _WORD.findall(f"{given.get('class', '')} {given.get('id', '')}")}
+        names = {w.lower() for w in _WORD.findall(_LAYOUT.sub(" ", f"{given.get('class', '')} {given.get('id', '')}"))}
         hidden = "hidden" in given or re.search(r"display\s*:\s*none", given.get("style", ""), re.I) is not None
         inside = self.inside[self._stack[-1]]
+        if inside or names & CONTENT_NAMES:
+            names -= HEADERS
         self.inside.append(inside or tag in _CONTENT_TAGS)
         self._opened[tag] += 1
         self.parent.append(self._stack[-1])
@@ -192,17 +201,18 @@ def main_text(source: str) -> str:
     """Main text of one page: blocks in page order joined by two line ends."""
     page = _Page(source)
     n = len(page.parent)
-    # an element named like boilerplate that wraps the article is a layout container
-    wraps = [False] * n
-    for e in range(n):
-        if page.tag[e] in _CONTENT_TAGS:
-            up = page.parent[e]
-            while up >= 0:
-                wraps[up] = True
-                up = page.parent[up]
+    # an element named like boilerplate that wraps the article is a layout
+    # container, and so is a form that wraps it or its title
+    wraps, titled = [False] * n, [False] * n
+    for e in range(n - 1, 0, -1):  # children come after their parents
+        up = page.parent[e]
+        wraps[up] |= wraps[e] or page.tag[e] in _CONTENT_TAGS
+        titled[up] |= titled[e] or page.tag[e] == "h1"
     out = [False] * n
     for e in range(1, n):
-        out[e] = out[page.parent[e]] or page.marked[e] or page.named[e] and not wraps[e]
+        layout = wraps[e] or page.tag[e] == "form" and titled[e]
+        marked = page.marked[e] and not (layout and page.tag[e] == "form")
+        out[e] = out[page.parent[e]] or marked or page.named[e] and not layout
     blocks = [b for b in page.blocks if not out[b[0]]]
     if not blocks:
         return ""

@@ -25,6 +25,12 @@ CASES = {
     "notices, roles, hidden": ('<body><div class="cookie-notice">We use cookies, accept. ok.</div><div class="post"><h1>T</h1><p>Body text, here. Good.</p><aside>Side, note.</aside>'
                                '<p hidden>no</p><p style="display: none">no</p></div><div role="navigation">x</div></body>', "T\n\nBody text, here. Good."),
     "wrapper named like a sidebar": ('<div class="has-sidebar"><article><h1>T</h1><p>Body, text.</p></article></div>', "T\n\nBody, text."),
+    "layout class": ('<div class="content with-sidebar no-comments"><h2>T</h2><p>Body, text.</p><p>More, text.</p></div>', "T\n\nBody, text.\n\nMore, text."),
+    "header of the article": ('<body><div class="site-header"><h2>Site</h2></div><article><div class="article-header"><h1>T</h1></div><p>Body, text.</p></article></body>',
+                              "T\n\nBody, text."),
+    "form around the page": ('<body><form id="f"><div class="menu">a</div><h1>T</h1><p>Body, text. More, text.</p><div class="search"><p>find</p></div></form></body>',
+                             "T\n\nBody, text. More, text."),
+    "discussion and adverts": ('<article><p>Body, text.</p><div class="adBox"><p>Buy, now.</p></div><section id="discussion"><p>I say, no.</p></section></article>', "Body, text."),
     "plain text": ("just text, here", "just text, here"),
     "menus only": ("<nav><a href=x>a</a></nav><footer>b</footer>", ""),
     "empty": ("", ""),
