@@ -16,7 +16,6 @@ from gondola.functions.text import (  # noqa: F401
     department_from_zip,
     extract_quantities,
     fill_empty,
-    fill_empty_expr,
     format_quantities,
     null_if,
     parse_amount,
@@ -24,7 +23,6 @@ from gondola.functions.text import (  # noqa: F401
     replace_first,
     replace_first_literal,
     strip_chars,
-    strip_chars_expr,
     strip_department_prefix,
     widen_year,
     zero_fill,

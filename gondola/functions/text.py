@@ -37,19 +37,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip_chars(c) -> Column:
-    """Cast to string and strip Unicode whitespace at both ends.
-
-    ``btrim`` with the White_Space set (no regex) runs only for the rare value
-    whose first or last character is whitespace; looking one character up in
-    the set is much cheaper than a multi-character trim on every value.
-    """
-    s = _col(c).cast("string")
-    ws = F.lit(UNICODE_WHITESPACE)
-    edge = (F.position(F.substring(s, 1, 1), ws) > 0) | (F.position(F.substring(s, -1, 1), ws) > 0)
-    return F.when(edge, F.btrim(s, ws)).otherwise(s)
-
-
 def _sql_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -58,11 +45,14 @@ def _sql_text(text: str) -> str:
     return "'" + "".join(f"\\u{ord(ch):04X}" for ch in text) + "'"
 
 
-def strip_chars_expr(name: str) -> Column:
-    """``strip_chars`` of a named column as one SQL expression.
+def strip_chars(name: str) -> Column:
+    """The named column as text without Unicode whitespace at both ends.
 
-    Same result; built with a single call into the JVM, which matters when a
-    projection strips dozens of columns.
+    ``btrim`` with the White_Space set (no regex) runs only for the rare value
+    whose first or last character is whitespace; looking one character up in
+    the set is much cheaper than a multi-character trim on every value.  Built
+    as one SQL expression: a projection that strips dozens of columns makes one
+    call into the JVM for each.
     """
     c, ws = _sql_name(name), _sql_text(UNICODE_WHITESPACE)
     s = f"CAST({c} AS STRING)"
@@ -70,18 +60,12 @@ def strip_chars_expr(name: str) -> Column:
                   f"THEN btrim({s}, {ws}) ELSE {s} END")
 
 
-def fill_empty_expr(name: str, value: str = NOT_FILLED) -> Column:
-    """``fill_empty`` of a named column as one SQL expression."""
+def fill_empty(name: str, value: str = NOT_FILLED) -> Column:
+    """The named column with null or empty text as ``value``."""
     c = _sql_name(name)
     return F.expr(f"CASE WHEN {c} IS NULL OR {c} = '' THEN {_sql_text(value)} ELSE {c} END")
 
 
-def fill_empty(c, value: str = NOT_FILLED) -> Column:
-    """Null or empty text becomes ``value``."""
-    c = _col(c)
-    return F.when(c.isNull() | (c == F.lit("")), F.lit(value)).otherwise(c)
-
-
 def _java_replacement(text: str) -> str:
     return text.replace("\\", "\\\\").replace("$", "\\$")
 

@@ -34,9 +34,9 @@ from gondola.functions.text import (
     amount_text,
     cast_amount,
     department_from_zip,
-    fill_empty_expr,
+    fill_empty,
     replace_first,
-    strip_chars_expr,
+    strip_chars,
     strip_department_prefix,
     zero_fill,
 )
@@ -47,13 +47,13 @@ RETAILER = "retailer"
 
 def strip_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """C1 on the listed columns that exist."""
-    cols = {c: strip_chars_expr(c) for c in columns if c in df.columns}
+    cols = {c: strip_chars(c) for c in columns if c in df.columns}
     return df.withColumns(cols) if cols else df
 
 
 def fill_empty_columns(df: DataFrame, columns: Sequence[str], value: str = NOT_FILLED) -> DataFrame:
     """C2 (``handle_empty``) on the listed columns."""
-    return df.withColumns({c: fill_empty_expr(c, value) for c in columns})
+    return df.withColumns({c: fill_empty(c, value) for c in columns})
 
 
 def valid_product_id(c: Column) -> Column:

@@ -35,12 +35,17 @@ def values(df, expr):
 
 def test_strip_unicode_whitespace(spark):
     df = one_col(spark, ["  a b\t", " x　", " y ", "plain", "", None, " \t "])
-    assert values(df, strip_chars(F.col("x"))) == ["a b", "x", "y", "plain", "", None, ""]
+    assert values(df, strip_chars("x")) == ["a b", "x", "y", "plain", "", None, ""]
+
+
+def test_names_are_taken_as_they_are(spark):
+    df = spark.createDataFrame([(" a ", "")], "`Mque comm.` string, `q``x` string")
+    assert df.select(strip_chars("Mque comm."), fill_empty("q`x")).first()[:] == ("a", "NON RENSEIGNE")
 
 
 def test_fill_empty(spark):
     df = one_col(spark, ["", None, " ", "v"])
-    assert values(df, fill_empty(F.col("x"))) == ["NON RENSEIGNE", "NON RENSEIGNE", " ", "v"]
+    assert values(df, fill_empty("x")) == ["NON RENSEIGNE", "NON RENSEIGNE", " ", "v"]
 
 
 def test_replace_first_only(spark):
@@ -154,11 +159,3 @@ def test_row_wise_counts(spark):
     df = spark.createDataFrame([("a", None, "a"), (None, None, None), ("a", "b", None)], "x string, y string, z string")
     assert values(df, null_count(["x", "y", "z"])) == [1, 3, 1]
     assert values(df, distinct_non_null_count(["x", "y", "z"])) == [1, 0, 2]
-
-
-def test_sql_forms_equal_column_forms(spark):
-    from gondola.functions.text import fill_empty_expr, strip_chars_expr
-
-    df = one_col(spark, ["  a b\t", " x　", "", None, " \t ", "`q`", "plain"])
-    assert values(df, strip_chars_expr("x")) == values(df, strip_chars(F.col("x")))
-    assert values(df, fill_empty_expr("x")) == values(df, fill_empty(F.col("x")))
