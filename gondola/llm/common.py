@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -107,6 +108,22 @@ def rank_within(df: DataFrame, group: str, order: list[Column | str], name: str)
 
 # ---------------------------------------------------------------- Arrow text
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema) -> DataFrame:
+    """``mapInArrow`` that gives a task's free memory back to the system at its
+    end: Python workers stay for later stages, beside the JVM's."""
+    def runs(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return df.mapInArrow(runs, schema)
+
+
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow text column and each row's offsets (null: empty)."""
     arr = arr.cast(pa.large_binary())

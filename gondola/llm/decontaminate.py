@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ALNUM, LOWER, cut, lower_ascii, set_aside, shingle_hashes, ship, steps, text_bytes, without,
+from .common import (ALNUM, LOWER, cut, lower_ascii, map_batches, set_aside, shingle_hashes, ship, steps, text_bytes, without,
                      word_hashes, word_spans)
 
 WINDOW = 13
@@ -125,7 +125,7 @@ def _corpus_counts(texts: DataFrame, windows: list[_Window]) -> dict[tuple[int,
                     [pa.array(np.full(len(some), k), pa.int32()), pa.array(f.values[some].view(np.int64)),
                      pa.array(totals[k][some])], names=["k", "h", "n"])
 
-    counts = (texts.mapInArrow(count, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n")))
+    counts = (map_batches(texts, count, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n")))
     # at most one row per distinct shingle of the block
     return {(r["k"], r["h"] % 2**64): r["n"] for r in counts.collect()}
 
@@ -200,7 +200,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         block = found.where(F.pmod(F.xxhash64("window"), F.lit(max(1, n_blocks))) == b)
         windows = _block(block.collect(), shingle)  # bounded by the block
         index = _prefix_index(windows, _corpus_counts(texts, windows)) if windows else {}
-        out = out.mapInArrow(_matcher(docs.sparkSession.sparkContext.broadcast(index), len(docs.columns), docs.columns.index("text")), schema)
+        match = _matcher(docs.sparkSession.sparkContext.broadcast(index), len(docs.columns), docs.columns.index("text"))
+        out = map_batches(out, match, schema)
     return out
 
 

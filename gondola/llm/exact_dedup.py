@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, ship
+from .common import cut, map_batches, ship
 
 #: Counters of a Misra-Gries summary: it names every digest with more than
 #: 2 / (COUNTERS + 1) of all rows.
@@ -54,7 +54,7 @@ def misra_gries(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*held, None], pa.binary()), pa.array([*held.values(), rows], pa.int64())], names=["digest", "n"])
 
-    sums = digests.mapInArrow(summarise, "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
+    sums = map_batches(digests, summarise, "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
     sums = cut(sums)  # at most counters + 1 rows for each partition
     total = sums.where("digest IS NULL").agg(F.sum("n")).first()[0] or 0
     return sums.where(F.col("digest").isNotNull() & (F.col("n") > total / (counters + 1))).select("digest", F.col("n").alias("at_least"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import ship, without
+from .common import map_batches, ship, without
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -263,7 +263,7 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(batch.columns[:width] + [pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())],
                                              names=batch.schema.names[:width] + ["text", "n_chars"])
 
-    return own.mapInArrow(run, T.StructType(own.schema.fields + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+    return map_batches(own, run, T.StructType(own.schema.fields + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
 
 
 # ---------------------------------------------------------------- query

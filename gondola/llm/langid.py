@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, byte_table, cut, set_aside, ship, steps, text_bytes, without
+from .common import LOWER, byte_table, cut, map_batches, set_aside, ship, steps, text_bytes, without
 
 #: Hashed trigram table (entries a language).
 TABLE_BITS = 14
@@ -86,7 +86,7 @@ def train(labelled: DataFrame) -> TextModel:
                                              names=["lang", "at", "n"])
 
     rows = labelled.where(F.col("lang").isNotNull()).select("text", "lang")
-    counts = cut(rows.mapInArrow(count, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")))
+    counts = cut(map_batches(rows, count, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")))
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -122,7 +122,7 @@ def _with_likelihoods(df: DataFrame, text: Column, model: TextModel) -> DataFram
             yield pa.RecordBatch.from_arrays(batch.columns[:width] + [ll, pa.array(n)], names=batch.schema.names[:width] + ["__ll", "__n"])
 
     schema = T.StructType(df.schema.fields + [T.StructField("__ll", T.ArrayType(T.DoubleType())), T.StructField("__n", T.LongType())])
-    return df.withColumn("__text", text).mapInArrow(run, schema)
+    return map_batches(df.withColumn("__text", text), run, schema)
 
 
 def _attach(rows: DataFrame, table: DataFrame, key: str, name: str, n_langs: int) -> DataFrame:

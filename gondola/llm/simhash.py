@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, ship, text_bytes, without
+from .common import cut, map_batches, ship, text_bytes, without
 from .components import connected_components, local_forest
 
 SHINGLE = 3
@@ -81,7 +81,8 @@ def with_fingerprint(docs: DataFrame, k: int = SHINGLE, keep: list[str] | None =
                                              names=batch.schema.names[:width] + ["fp"])
 
     schema = T.StructType(given.schema.fields + [T.StructField("fp", T.LongType())])
-    return docs.select(*[F.col(f"`{c}`") for c in given.columns], F.col("text").alias("__text")).mapInArrow(run, schema)
+    texts = docs.select(*[F.col(f"`{c}`") for c in given.columns], F.col("text").alias("__text"))
+    return map_batches(texts, run, schema)
 
 
 # ---------------------------------------------------------------- Gray-order index
@@ -211,12 +212,12 @@ def fingerprint_links(codes: DataFrame, distance: int = MAX_DISTANCE, block: int
     ranked = codes.select("fp", _signed_rank(F.col("fp")).alias("rank"))
     # the bounds between blocks, at most ``max_blocks``
     bounds = ranked.agg(F.percentile_approx("rank", [i / n_blocks for i in range(1, n_blocks)], 20 * n_blocks)).first()[0] if n_blocks > 1 else []
-    placed = cut(ranked.mapInArrow(_place(np.unique(np.array(bounds or [], np.int64))), "fp long, block long"))
+    placed = cut(map_batches(ranked, _place(np.unique(np.array(bounds or [], np.int64))), "fp long, block long"))
     # at most ``max_blocks`` rows
     nodes = [(r["block"], ~(r["a"] ^ r["o"]), r["a"]) for r in
              placed.groupBy("block").agg(F.bit_and("fp").alias("a"), F.bit_or("fp").alias("o")).collect()]
     deals = max(1, -(-n // (n_blocks * task_codes)))
-    routed = placed.mapInArrow(_route(nodes, distance), "block long, fp long") if nodes else placed.select("block", "fp")
+    routed = map_batches(placed, _route(nodes, distance), "block long, fp long") if nodes else placed.select("block", "fp")
     deal = F.pmod(F.xxhash64("fp"), F.lit(deals))
     own = placed.select("block", "fp", deal.alias("home"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
     rows = (own.select("block", "fp", F.col("deal").cast("long"), F.when(F.col("home") == F.col("deal"), 0).otherwise(2).alias("role"))
