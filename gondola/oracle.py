@@ -160,6 +160,7 @@ SQL["feed_assembly"] = with_views() + " UNION ALL ".join([
     _assembled("ducreux", "africa", "product_id", "brand_name", "zip_code", "segment_2", "segment_3"),
     _assembled("relais_dor", "asia", "product_id", "department", "volume_unit"),
     _assembled("metro", "europe", "zip_code", "segment_2", "segment_3", "turnover"),
+    _assembled("sysco", "middle_east", "brand_name", "zip_code", "volume_unit", "segment_3"),
 ])
 
 SQL["feed_required_columns"] = with_views() + (

@@ -167,7 +167,8 @@ def q_feed_assembly(spark, sf_dir):
     """Feeds whose columns differ (no month; no ids or brand; zip code), united as text."""
     feed = Stages(spark, sf_dir).feed.withColumn("volume", F.col("volume").cast("int"))
     lacks = {"pomona": ("america", ["month", "zip_code", "volume_unit"]), "ducreux": ("africa", ["product_id", "brand_name", "zip_code", "segment_2", "segment_3"]),
-             "relais_dor": ("asia", ["product_id", "department", "volume_unit"]), "metro": ("europe", ["zip_code", "segment_2", "segment_3", "turnover"])}
+             "relais_dor": ("asia", ["product_id", "department", "volume_unit"]), "metro": ("europe", ["zip_code", "segment_2", "segment_3", "turnover"]),
+             "sysco": ("middle_east", ["brand_name", "zip_code", "volume_unit", "segment_3"])}
     frames = {n: as_delivered(feed.filter(F.col("retailer") == r).drop("retailer", *gone), n) for n, (r, gone) in lacks.items()}
     return assemble_feeds(frames, FEEDS)
 
