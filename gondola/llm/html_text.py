@@ -5,9 +5,11 @@ tag path the text length (outside links) and the punctuation of its blocks are
 added up; length and punctuation per block are the path's two ratios.  Each
 block takes its path's ratios, which are smoothed over neighbouring blocks and
 fused by multiplication; blocks above the page's threshold are the seeds.  The
-content is the deepest element that holds nearly all of the seeds' weight,
-without the paths that are menus, headers, footers, sidebars, notices, adverts,
-forms or reader comments by their tag, role, class or id.
+content is the deepest element that holds nearly all of the seeds' weight, at
+most down to the article or main element and to what holds all text of a page
+without one, less the paths that are menus, headers, footers, sidebars, notices,
+adverts, forms or reader comments by their tag, role, class or id.  A block
+beside the content is kept if its own path's ratios are those of the content.
 """
 
 from __future__ import annotations
@@ -177,24 +179,35 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return (padded[:-2] + 2 * padded[1:-1] + padded[2:]) / 4
 
 
-def _content_element(page: _Page, weights: np.ndarray, blocks: list[tuple[int, str, int]]) -> int:
-    """The deepest element that holds nearly all weight."""
-    held = [0.0] * len(page.parent)
-    for (element, _, _), w in zip(blocks, weights):
+def _content_element(page: _Page, weights: np.ndarray, blocks: list[tuple[int, str, int]], menus: list[bool]) -> int:
+    """The deepest element that holds nearly all weight.
+
+    It is no deeper than the article or main element, and without one no deeper
+    than the element that holds all blocks besides menus.
+    """
+    held, texts = [0.0] * len(page.parent), [0] * len(page.parent)
+    encloses = [tag in _CONTENT_TAGS for tag in page.tag]
+    for (element, _, _), w, menu in zip(blocks, weights, menus):
         held[element] += w
+        texts[element] += not menu
     heaviest: dict[int, int] = {}
     for e in range(len(held) - 1, 0, -1):  # children come after their parents
         up = page.parent[e]
         held[up] += held[e]
+        texts[up] += texts[e]
+        encloses[up] |= encloses[e]
         if up not in heaviest or held[e] >= held[heaviest[up]]:
             heaviest[up] = e
     at = 0
-    while True:
+    while page.tag[at] not in _CONTENT_TAGS:
         best = heaviest.get(at)
         # a paragraph alone is no container: its neighbours belong to the text
         if best is None or held[best] < HOLDS * held[0] or page.tag[best] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote"):
             return at
+        if texts[best] < texts[at] and not encloses[best]:
+            return at
         at = best
+    return at
 
 
 def main_text(source: str) -> str:
@@ -234,14 +247,19 @@ def main_text(source: str) -> str:
     weights = np.where(fused >= THRESHOLD * fused.mean(), fused, 0.0) * np.array([len(b[1]) - b[2] for b in blocks])
     if not weights.any():
         weights = np.array([float(len(b[1])) for b in blocks])
-    content = _content_element(page, weights, blocks)
+    menus = [count[p] >= 3 and linked[p] >= 0.8 * (chars[p] + linked[p]) and linked[p] / count[p] < 40 for p in paths]
+    content = _content_element(page, weights, blocks, menus)
     under = [e == content for e in range(n)]
     for e in range(content + 1, n):
         under[e] = under[page.parent[e]]
+    # blocks beside the content stay by the ratios of their own paths, and a title if the content has none
+    own = np.array([chars[p] / count[p] * (0.5 + points[p] / count[p]) for p in paths])
+    least = THRESHOLD * own[[under[b[0]] for b in blocks]].mean()
+    untitled = not any(under[e] and page.tag[e] == "h1" for e, _, _ in blocks)
     kept = []
-    for path, (element, text, _) in zip(paths, blocks):
-        menu = count[path] >= 3 and linked[path] >= 0.8 * (chars[path] + linked[path]) and linked[path] / count[path] < 40
-        if under[element] and not menu:
+    for path, (element, text, _), ratio, menu in zip(paths, blocks, own, menus):
+        beside = ratio >= least and linked[path] <= chars[path] or untitled and page.tag[element] == "h1"
+        if (under[element] or beside) and not menu:
             kept.append(text)
     return "\n\n".join(kept)
 

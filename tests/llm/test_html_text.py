@@ -43,6 +43,25 @@ def test_cases(name):
     assert html_text.main_text(source) == text
 
 
+LONG = "A long paragraph, with many words, and more of them. It goes on, and on, until it ends. Then it ends."
+FIVE = f"<p>{LONG}</p>" * 5
+ALL = "\n\n".join([LONG] * 5)
+WHOLE = {
+    "body in an inner div": (f'<article><h1>Title</h1><div class="entry">{FIVE}</div><ul><li>One</li><li>Two</li></ul></article>', f"Title\n\n{ALL}\n\nOne\n\nTwo"),
+    "lead, table and second section": (
+        f"<body><main><div><h1>Title</h1></div><div>Lead</div><div><section>{FIVE}</section><section><h2>More</h2><p>Short.</p></section></div>"
+        "<table><tr><td>a</td><td>b</td></tr></table></main></body>", f"Title\n\nLead\n\n{ALL}\n\nMore\n\nShort.\n\na b"),
+    "no article, body in an inner div": (f'<body><div class="post"><h1>Title</h1><div class="entry">{FIVE}</div><ul><li>One</li></ul></div></body>', f"Title\n\n{ALL}\n\nOne"),
+    "beside the article": (f"<body><div>Slogan</div><h1>Title</h1><article>{FIVE}</article><div><p>{LONG}</p></div></body>", f"Title\n\n{ALL}\n\n{LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_nothing_but_boilerplate_is_dropped(name):
+    source, text = WHOLE[name]
+    assert html_text.main_text(source) == text
+
+
 @pytest.mark.parametrize("source", ["<div>" * 30_000 + "x", '<a "' * 100_000, "<div>" * 30_000 + "</section>" * 30_000, "<button>" * 30_000, "<!--" * 50_000,
                                     "<blockquote>a" * 20_000, "<p>a" * 30_000])
 def test_time_is_linear_in_the_page(source):
