@@ -52,6 +52,25 @@ BOILERPLATE_NAMES = frozenset(
 HEADERS = frozenset("header masthead".split())
 CONTENT_NAMES = frozenset("article post entry story content section".split())
 _CONTENT_TAGS = frozenset({"article", "main"})
+#: Words that say nothing of their own beside a name ("site-footer", "comments-area").
+STRUCTURE = frozenset(
+    "area article articles bar block blog body bottom box btn button buttons center col column container content count cta desktop element "
+    "entry extra first fixed global grid group holder home icon icons id info inner item items last layer left link links list main message "
+    "meta mobile module new news number outer page panel pane post posts primary recent region right row secondary section site slot small "
+    "sticky stories story text thread title toggle top trail unit user wp wrap wrapper zone".split())
+#: Names that are also words of texts: they count only where the whole token is known.
+AMBIGUOUS = frozenset(
+    "ad ads advertising alert announcement banner branding copyright crumb crumbs disclaimer discussion feedback form login logo menu menus "
+    "notice notices overlay modal navigation privacy promotion promo rail reply respond responses search share sharing side signup skip social "
+    "subscription toast widget widgets".split())
+#: Names of services and legal notes, also before a word that is not known.
+SERVICES = frozenset("adsense breadcrumb breadcrumbs consent cookie cookies disqus gdpr newsletter outbrain taboola".split())
+#: Parts of a page builder, overruled where the path ratios find the text in them.
+PARTS = frozenset("form modal overlay rail side widget widgets".split())
+#: Ids of sections that follow a text, also under a heading of their own.
+FOLLOWING = frozenset("ad ads adverts comment comments disqus newsletter recommendations recommended related replies reply respond share sharing "
+                      "signup sponsored subscribe taboola outbrain".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: "has-sidebar" and the like tell of a layout, not of the element itself.
 _LAYOUT = re.compile(r"\b(?:has|with|without|no)[-_]?[A-Za-z]+", re.I)
 
@@ -67,6 +86,23 @@ HOLDS = 0.8
 THRESHOLD = 0.5
 
 
+def _boilerplate_names(token: str, slug: bool) -> set[str]:
+    """Boilerplate names in a class or, as a ``slug``, an id.
+
+    All other words of the token have to be structure; a class may also end in
+    an unambiguous name ("theme-footer") or start with a service's.
+    """
+    words = [w.lower() for w in _WORD.findall(token)]
+    found = BOILERPLATE_NAMES.intersection(words)
+    if not found or all(w in found or w in STRUCTURE for w in words):
+        return found
+    if slug:
+        return set()
+    while words[-1] in STRUCTURE:
+        words.pop()
+    return (found - AMBIGUOUS).intersection(words[-1:]) | SERVICES.intersection(words[:1])
+
+
 class _Page:
     """Elements (parent, label, boilerplate) and blocks (element, text, link characters)."""
 
@@ -74,6 +110,8 @@ class _Page:
         self.parent, self.tag, self.label, self.marked, self.named = [-1], [""], [""], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self.inside = [False]  # of an article or main element
+        self.part = [False]  # named as a part of a page builder only
+        self.unheaded = [False]  # boilerplate only without a heading of its own
         self._stack = [0]
         self._opened: Counter[str] = Counter()
         self._endless: set[str] = set()
@@ -90,11 +128,19 @@ class _Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-        names = {w.lower() for w in _WORD.findall(_LAYOUT.sub(" ", f"{given.get('class', '')} {given.get('id', '')}"))}
+        classes, own_id = (_LAYOUT.sub(" ", given.get(k, "")) for k in ("class", "id"))
         hidden = "hidden" in given or re.search(r"display\s*:\s*none", given.get("style", ""), re.I) is not None
         inside = self.inside[self._stack[-1]]
-        if inside or names & CONTENT_NAMES:
+        names = set().union(*(_boilerplate_names(x, False) for x in classes.split()))
+        named_by_id = _boilerplate_names(own_id, True)
+        if tag in _HEADINGS or inside and tag in ("p", "pre", "blockquote", "figure", "table"):
+            named_by_id = set()
+        if inside or CONTENT_NAMES.intersection(w.lower() for w in _WORD.findall(f"{classes} {own_id}")):
             names -= HEADERS
+            named_by_id -= HEADERS
+        self.unheaded.append(inside and tag == "section" and not names and not named_by_id & FOLLOWING)
+        names |= named_by_id
+        self.part.append(bool(names) and names <= PARTS)
         self.inside.append(inside or tag in _CONTENT_TAGS)
         self._opened[tag] += 1
         self.parent.append(self._stack[-1])
@@ -102,7 +148,7 @@ class _Page:
         self.label.append(".".join([tag, *given.get("class", "").lower().split()]))
         self.marked.append(tag in BOILERPLATE_TAGS or tag == "header" and not inside or hidden
                            or given.get("role", "").lower() in BOILERPLATE_ROLES)
-        self.named.append(bool(names & BOILERPLATE_NAMES) and tag not in _CONTENT_TAGS | {"html", "body"})
+        self.named.append(bool(names) and tag not in _CONTENT_TAGS | {"html", "body"})
         self._stack.append(len(self.tag) - 1)
 
     def _close(self, tags: set[str], barrier: frozenset) -> None:
@@ -210,36 +256,62 @@ def _content_element(page: _Page, weights: np.ndarray, blocks: list[tuple[int, s
     return at
 
 
+def _paths(page: _Page, blocks: list[tuple[int, str, int]]) -> tuple[list[int], dict, dict, dict, dict]:
+    """Tag path of each block, and each path's text characters, punctuation, blocks and link characters."""
+    number: dict[tuple[int, str], int] = {}  # of each tag path, by its parent path and label
+    path_of = [0] * len(page.parent)
+    for e in range(1, len(page.parent)):
+        path_of[e] = number.setdefault((path_of[page.parent[e]], page.label[e]), len(number) + 1)
+    paths = [path_of[element] for element, _, _ in blocks]
+    chars, points, count, linked = (defaultdict(float) for _ in range(4))
+    for path, (_, text, in_links) in zip(paths, blocks):
+        chars[path] += len(text) - in_links
+        linked[path] += in_links
+        points[path] += len(_PUNCTUATION.findall(text))
+        count[path] += 1
+    return paths, chars, points, count, linked
+
+
+def _path_weights(page: _Page, blocks: list[tuple[int, str, int]]) -> list[float]:
+    """Each block's text characters by its own path's ratios."""
+    paths, chars, points, count, _ = _paths(page, blocks)
+    return [chars[p] / count[p] * (0.5 + points[p] / count[p]) * (len(b[1]) - b[2]) for p, b in zip(paths, blocks)]
+
+
 def main_text(source: str) -> str:
     """Main text of one page: blocks in page order joined by two line ends."""
     page = _Page(source)
     n = len(page.parent)
     # an element named like boilerplate that wraps the article is a layout
     # container, and so is a form that wraps it or its title
-    wraps, titled = [False] * n, [False] * n
+    wraps, titled, headed = [False] * n, [False] * n, [False] * n
     for e in range(n - 1, 0, -1):  # children come after their parents
         up = page.parent[e]
         wraps[up] |= wraps[e] or page.tag[e] in _CONTENT_TAGS
         titled[up] |= titled[e] or page.tag[e] == "h1"
-    out = [False] * n
-    for e in range(1, n):
-        layout = wraps[e] or page.tag[e] == "form" and titled[e]
-        marked = page.marked[e] and not (layout and page.tag[e] == "form")
-        out[e] = out[page.parent[e]] or marked or page.named[e] and not layout
+        headed[up] |= headed[e] or page.tag[e] in _HEADINGS
+
+    def outside(parts: bool) -> list[bool]:
+        """Boilerplate elements, with or without those named as parts of a page."""
+        out = [False] * n
+        for e in range(1, n):
+            layout = wraps[e] or page.tag[e] == "form" and titled[e]
+            marked = page.marked[e] and not (layout and page.tag[e] == "form")
+            named = page.named[e] and not layout and not (page.unheaded[e] and headed[e]) and (parts or not page.part[e])
+            out[e] = out[page.parent[e]] or marked or named
+        return out
+
+    out = outside(True)
     blocks = [b for b in page.blocks if not out[b[0]]]
+    if any(page.part):
+        wide = outside(False)
+        more = [b for b in page.blocks if not wide[b[0]]]
+        weights = _path_weights(page, more)
+        if sum(w for w, b in zip(weights, more) if out[b[0]]) >= HOLDS * sum(weights):
+            blocks = more
     if not blocks:
         return ""
-    number: dict[tuple[int, str], int] = {}  # of each tag path, by its parent path and label
-    path_of = [0] * n
-    for e in range(1, n):
-        path_of[e] = number.setdefault((path_of[page.parent[e]], page.label[e]), len(number) + 1)
-    paths = [path_of[element] for element, _, _ in blocks]
-    chars, points, count, linked = (defaultdict(float) for _ in range(4))
-    for path, (_, text, in_links) in zip(paths, blocks):
-        chars[path] += len(text) - in_links
-        linked[path] += in_links
-        points[path] += len(_PUNCTUATION.findall(text))
-        count[path] += 1
+    paths, chars, points, count, linked = _paths(page, blocks)
     inside = np.array([10.0 if page.inside[b[0]] else 1.0 for b in blocks])
     length = _smooth(np.array([chars[p] / count[p] for p in paths]))
     marks = _smooth(np.array([points[p] / count[p] for p in paths]))

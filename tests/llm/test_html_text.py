@@ -52,6 +52,15 @@ WHOLE = {
         f"<body><main><div><h1>Title</h1></div><div>Lead</div><div><section>{FIVE}</section><section><h2>More</h2><p>Short.</p></section></div>"
         "<table><tr><td>a</td><td>b</td></tr></table></main></body>", f"Title\n\nLead\n\n{ALL}\n\nMore\n\nShort.\n\na b"),
     "no article, body in an inner div": (f'<body><div class="post"><h1>Title</h1><div class="entry">{FIVE}</div><ul><li>One</li></ul></div></body>', f"Title\n\n{ALL}\n\nOne"),
+    "ids that are slugs": (
+        f'<article><h1>T</h1><h2 id="search-and-rescue">Rescue</h2>{FIVE}<section id="side-effects"><h2 id="privacy-law">Law</h2><p id="notice">Mild.</p></section>'
+        '<section id="discussion"><h2>Discussion</h2><p>We say, no.</p></section><section id="comments"><h2>Comments</h2><p>I say, no.</p></section></article>',
+        f"T\n\nRescue\n\n{ALL}\n\nLaw\n\nMild.\n\nDiscussion\n\nWe say, no."),
+    "page builder": (
+        f'<body><div class="elementor-widget elementor-widget-heading"><h1>T</h1></div><div class="elementor-widget elementor-widget-text-editor">'
+        f'<div class="elementor-widget-container">{FIVE}</div></div><div class="theme-footer">Foot</div><div class="cookie-law-info">We use them.</div></body>', f"T\n\n{ALL}"),
+    "everything in widgets": (f'<body><div class="logo">x</div><div class="widget"><h1>T</h1></div><div class="widget">{FIVE}</div></body>', f"T\n\n{ALL}"),
+    "a widget beside the text": (f'<body><div>{FIVE}</div><div class="widget"><p>Recent, posts.</p></div><div class="widget-area"><p>Old, posts.</p></div></body>', ALL),
     "beside the article": (f"<body><div>Slogan</div><h1>Title</h1><article>{FIVE}</article><div><p>{LONG}</p></div></body>", f"Title\n\n{ALL}\n\n{LONG}"),
 }
 
