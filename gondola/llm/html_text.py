@@ -72,7 +72,7 @@ FOLLOWING = frozenset("ad ads adverts comment comments disqus newsletter recomme
                       "signup sponsored subscribe taboola outbrain".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: "has-sidebar" and the like tell of a layout, not of the element itself.
-_LAYOUT = re.compile(r"\b(?:has|with|without|no)[-_]?[A-Za-z]+", re.I)
+_LAYOUT = re.compile(r"(?<![^\W_])(?:(?i:has|with|without|no)[-_]+|(?:[Hh]as|[Ww]ith|[Ww]ithout|[Nn]o)(?=[A-Z]))[\w-]+")
 
 _TOKEN = re.compile(
     r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)""", re.S)
@@ -128,7 +128,7 @@ class _Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-        classes, own_id = (_LAYOUT.sub(" ", given.get(k, "")) for k in ("class", "id"))
+        classes, own_id = _LAYOUT.sub(" ", given.get("class", "")), given.get("id", "")
         hidden = "hidden" in given or re.search(r"display\s*:\s*none", given.get("style", ""), re.I) is not None
         inside = self.inside[self._stack[-1]]
         names = set().union(*(_boilerplate_names(x, False) for x in classes.split()))

@@ -59,6 +59,9 @@ WHOLE = {
     "page builder": (
         f'<body><div class="elementor-widget elementor-widget-heading"><h1>T</h1></div><div class="elementor-widget elementor-widget-text-editor">'
         f'<div class="elementor-widget-container">{FIVE}</div></div><div class="theme-footer">Foot</div><div class="cookie-law-info">We use them.</div></body>', f"T\n\n{ALL}"),
+    "notice": (f'<article><div class="notice">Closed, today.</div>{FIVE}<div class="notices"><p>Closed, too.</p></div><div class="site-notice">Shut.</div>'
+               f'<div class="NOTICE">Shut.</div><div id="siteNotice">Shut.</div></article>', ALL),
+    "layout classes": (f'<body><div class="page_has_sidebar hasSidebar noComments no-search-form" id="search-with-care">{FIVE}</div></body>', ALL),
     "everything in widgets": (f'<body><div class="logo">x</div><div class="widget"><h1>T</h1></div><div class="widget">{FIVE}</div></body>', f"T\n\n{ALL}"),
     "a widget beside the text": (f'<body><div>{FIVE}</div><div class="widget"><p>Recent, posts.</p></div><div class="widget-area"><p>Old, posts.</p></div></body>', ALL),
     "beside the article": (f"<body><div>Slogan</div><h1>Title</h1><article>{FIVE}</article><div><p>{LONG}</p></div></body>", f"Title\n\n{ALL}\n\n{LONG}"),
