@@ -70,6 +70,8 @@ PARTS = frozenset("form modal overlay rail side widget widgets".split())
 #: Ids of sections that follow a text, also under a heading of their own.
 FOLLOWING = frozenset("ad ads adverts comment comments disqus newsletter recommendations recommended related replies reply respond share sharing "
                       "signup sponsored subscribe taboola outbrain".split())
+#: Names of what readers and other pages add: they mark an article element too and never wrap the text.
+ADDED = frozenset("comment comments disqus recommendations recommended related replies reply respond".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: "has-sidebar" and the like tell of a layout, not of the element itself.
 _LAYOUT = re.compile(r"(?<![^\W_])(?:(?i:has|with|without|no)[-_]+|(?:[Hh]as|[Ww]ith|[Ww]ithout|[Nn]o)(?=[A-Z]))[\w-]+")
@@ -110,6 +112,8 @@ class _Page:
         self.parent, self.tag, self.label, self.marked, self.named = [-1], [""], [""], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self.inside = [False]  # of an article or main element
+        self.added = [False]  # named as added by readers or other pages
+        self.form = [False]
         self.part = [False]  # named as a part of a page builder only
         self.unheaded = [False]  # boilerplate only without a heading of its own
         self._stack = [0]
@@ -146,9 +150,11 @@ class _Page:
         self.parent.append(self._stack[-1])
         self.tag.append(tag)
         self.label.append(".".join([tag, *given.get("class", "").lower().split()]))
-        self.marked.append(tag in BOILERPLATE_TAGS or tag == "header" and not inside or hidden
-                           or given.get("role", "").lower() in BOILERPLATE_ROLES)
-        self.named.append(bool(names) and tag not in _CONTENT_TAGS | {"html", "body"})
+        role = given.get("role", "").lower()
+        self.form.append(tag == "form" and not hidden and (role == "form" or role not in BOILERPLATE_ROLES))
+        self.marked.append(not self.form[-1] and (tag in BOILERPLATE_TAGS or tag == "header" and not inside or hidden or role in BOILERPLATE_ROLES))
+        self.added.append(bool(names & ADDED))
+        self.named.append(bool(names & ADDED if tag in _CONTENT_TAGS else names) and tag not in ("main", "html", "body"))
         self._stack.append(len(self.tag) - 1)
 
     def _close(self, tags: set[str], barrier: frozenset) -> None:
@@ -278,33 +284,63 @@ def _path_weights(page: _Page, blocks: list[tuple[int, str, int]]) -> list[float
     return [chars[p] / count[p] * (0.5 + points[p] / count[p]) * (len(b[1]) - b[2]) for p, b in zip(paths, blocks)]
 
 
-def main_text(source: str) -> str:
-    """Main text of one page: blocks in page order joined by two line ends."""
-    page = _Page(source)
+def _boilerplate(page: _Page, parts: bool) -> list[bool]:
+    """Boilerplate elements, with or without those named as parts of a page.
+
+    An element named like boilerplate is a layout container if it wraps the
+    article that outweighs all text outside such elements; so is a form that
+    wraps an article or holds nearly all of the page's text.
+    """
     n = len(page.parent)
-    # an element named like boilerplate that wraps the article is a layout
-    # container, and so is a form that wraps it or its title
-    wraps, titled, headed = [False] * n, [False] * n, [False] * n
+    headed, wraps = [False] * n, [False] * n
     for e in range(n - 1, 0, -1):  # children come after their parents
+        headed[page.parent[e]] |= headed[e] or page.tag[e] in _HEADINGS
+    named = [page.named[e] and not (page.unheaded[e] and headed[e]) and (parts or not page.part[e]) for e in range(n)]
+    marked, under, added = [False] * n, [False] * n, [False] * n  # by tag or role, name, name of an addition; each with its subtree
+    article = [0] * n  # outermost article or main element, without those outside a named element around it
+    for e in range(1, n):
         up = page.parent[e]
-        wraps[up] |= wraps[e] or page.tag[e] in _CONTENT_TAGS
-        titled[up] |= titled[e] or page.tag[e] == "h1"
-        headed[up] |= headed[e] or page.tag[e] in _HEADINGS
-
-    def outside(parts: bool) -> list[bool]:
-        """Boilerplate elements, with or without those named as parts of a page."""
-        out = [False] * n
+        marked[e] = marked[up] or page.marked[e]
+        under[e] = under[up] or named[e]
+        added[e] = added[up] or named[e] and page.added[e]
+        article[e] = 0 if named[e] else article[up] or (e if page.tag[e] in _CONTENT_TAGS else 0)
+    exempt: set[int] = set()
+    if any(under[a] and not added[a] for a in article):
+        blocks = [b for b in page.blocks if not marked[b[0]]]
+        held, rest = defaultdict(float), 0.0
+        for (element, _, _), w in zip(blocks, _path_weights(page, blocks)):
+            if not under[element]:
+                rest += w
+            elif article[element] and not added[element]:
+                held[article[element]] += w
+        at = max(held, key=held.__getitem__, default=0)
+        if held[at] > rest:
+            while at > 0:
+                exempt.add(at)
+                at = page.parent[at]
+    out = [False] * n
+    for e in range(1, n):
+        out[e] = out[page.parent[e]] or page.marked[e] or named[e] and e not in exempt
+    if any(page.form):
+        chars = [0] * n
+        for element, text, in_links in page.blocks:
+            if not out[element]:
+                chars[element] += len(text) - in_links
+        for e in range(n - 1, 0, -1):
+            chars[page.parent[e]] += chars[e]
+            wraps[page.parent[e]] |= wraps[e] or page.tag[e] in _CONTENT_TAGS and not out[e]
         for e in range(1, n):
-            layout = wraps[e] or page.tag[e] == "form" and titled[e]
-            marked = page.marked[e] and not (layout and page.tag[e] == "form")
-            named = page.named[e] and not layout and not (page.unheaded[e] and headed[e]) and (parts or not page.part[e])
-            out[e] = out[page.parent[e]] or marked or named
-        return out
+            out[e] = out[page.parent[e]] or out[e] or page.form[e] and not wraps[e] and chars[e] < HOLDS * chars[0]
+    return out
+
 
-    out = outside(True)
+def main_text(source: str) -> str:
+    """Main text of one page: blocks in page order joined by two line ends."""
+    page = _Page(source)
+    out = _boilerplate(page, True)
     blocks = [b for b in page.blocks if not out[b[0]]]
     if any(page.part):
-        wide = outside(False)
+        wide = _boilerplate(page, False)
         more = [b for b in page.blocks if not wide[b[0]]]
         weights = _path_weights(page, more)
         if sum(w for w, b in zip(weights, more) if out[b[0]]) >= HOLDS * sum(weights):
@@ -321,8 +357,8 @@ def main_text(source: str) -> str:
         weights = np.array([float(len(b[1])) for b in blocks])
     menus = [count[p] >= 3 and linked[p] >= 0.8 * (chars[p] + linked[p]) and linked[p] / count[p] < 40 for p in paths]
     content = _content_element(page, weights, blocks, menus)
-    under = [e == content for e in range(n)]
-    for e in range(content + 1, n):
+    under = [e == content for e in range(len(page.parent))]
+    for e in range(content + 1, len(under)):
         under[e] = under[page.parent[e]]
     # blocks beside the content stay by the ratios of their own paths, and a title if the content has none
     own = np.array([chars[p] / count[p] * (0.5 + points[p] / count[p]) for p in paths])

@@ -62,6 +62,13 @@ WHOLE = {
     "notice": (f'<article><div class="notice">Closed, today.</div>{FIVE}<div class="notices"><p>Closed, too.</p></div><div class="site-notice">Shut.</div>'
                f'<div class="NOTICE">Shut.</div><div id="siteNotice">Shut.</div></article>', ALL),
     "layout classes": (f'<body><div class="page_has_sidebar hasSidebar noComments no-search-form" id="search-with-care">{FIVE}</div></body>', ALL),
+    "comments as articles": (
+        f'<body><article><h1>T</h1><p>{LONG}</p></article><div id="comments"><ol><li class="comment"><article class="comment-body">{FIVE}</article></li></ol></div>'
+        f'<div class="related"><article class="card">{FIVE}</article></div><article class="comment">{FIVE}</article></body>', f"T\n\n{LONG}"),
+    "teasers beside a page without article": (f'<body><div>{FIVE}</div><div class="sidebar"><article><p>Other, page.</p></article></div></body>', ALL),
+    "article in an element named like a sidebar": (f'<body><div>Slogan</div><div class="sidebar"><div class="search">x</div><article>{FIVE}</article></div></body>', ALL),
+    "form around a page without h1": (f'<body><form action="/"><div class="logo">x</div><h2>T</h2>{FIVE}</form></body>', f"T\n\n{ALL}"),
+    "form with a title": (f'<body><div>{FIVE}</div><form><h1>Sign up</h1><p>Now, please.</p></form></body>', ALL),
     "everything in widgets": (f'<body><div class="logo">x</div><div class="widget"><h1>T</h1></div><div class="widget">{FIVE}</div></body>', f"T\n\n{ALL}"),
     "a widget beside the text": (f'<body><div>{FIVE}</div><div class="widget"><p>Recent, posts.</p></div><div class="widget-area"><p>Old, posts.</p></div></body>', ALL),
     "beside the article": (f"<body><div>Slogan</div><h1>Title</h1><article>{FIVE}</article><div><p>{LONG}</p></div></body>", f"Title\n\n{ALL}\n\n{LONG}"),
