@@ -1,4 +1,8 @@
-"""Texts of common licences and of their short notices."""
+"""Texts of common licences and of their short notices; long ones are files of ``texts``."""
+
+from __future__ import annotations
+
+from pathlib import Path
 
 _AS_IS = (
     "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
@@ -60,12 +64,6 @@ FULL = [
              "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
              "software.\n"
              "3. This notice may not be removed or altered from any source distribution."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at\n"
-                   "http://www.apache.org/licenses/LICENSE-2.0\n"
-                   "Unless required by applicable law or agreed to in writing, software distributed under the License is "
-                   "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
-                   "See the License for the specific language governing permissions and limitations under the License."),
 ]
 
 #: Titles that may stand before a full text.
@@ -80,6 +78,12 @@ TITLES = {
 
 #: (licence, short notice); several notices may name one licence.
 NOTICES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at\n"
+                   "http://www.apache.org/licenses/LICENSE-2.0\n"
+                   "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                   "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+                   "See the License for the specific language governing permissions and limitations under the License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -99,3 +103,25 @@ SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("authorised", "authorized"), ("favour", "favor"),
     ("wilful", "willful"), ("whilst", "while"), ("noncommercial", "non commercial"), ("https", "http"), ("v 2 0", "version 2 0"),
 ]
+
+#: Licences that an SPDX line can name, beside those of ``NOTICES``.
+SPDX = (
+    "0BSD Artistic-1.0-Perl Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 "
+    "CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 ISC MIT-0 MPL-1.1 MPL-2.0 PSF-2.0 Unlicense WTFPL Zlib").split()
+#: Those that an SPDX line names as they stand, with -only or with -or-later.
+SPDX_GNU = "AGPL-3.0 GFDL-1.2 GFDL-1.3 GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0".split()
+#: Where the terms end and advice on applying them begins.
+_ENDS = "END OF TERMS AND CONDITIONS"
+
+
+def more_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the long licences, also without what follows their terms, and of SPDX lines."""
+    out = [(x, f"SPDX-License-Identifier: {x}") for x in SPDX]
+    out += [(x, f"SPDX-License-Identifier: {x}{end}") for x in SPDX_GNU for end in ("", "-only", "-or-later", "+")]
+    for path in sorted((Path(__file__).parent / "texts").glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        out.append((path.stem, text))
+        if _ENDS in text:
+            terms = text[:text.rindex(_ENDS)]
+            out += [(path.stem, terms), (path.stem, terms + _ENDS)]
+    return out

@@ -7,7 +7,8 @@ texts meet exactly when they agree word for word after normalisation.  Whole
 texts are looked up, and each line of a text as a text of its own (licence
 notices are often one line of a longer document).
 
-The known digests are a fixed list (``license_texts``), so they are broadcast.
+The known digests are those of ``license_texts`` and of a table that the caller
+may add; a list of licences is small, so they are broadcast.
 Everything runs in DataFrame functions, row by row: nothing is shuffled.
 """
 
@@ -19,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, without
-from .license_texts import FULL, NOTICES, SPELLINGS, TITLES
+from .license_texts import FULL, NOTICES, SPELLINGS, TITLES, more_texts
 
-#: Every known text: the full ones also under their titles.
+#: The short known texts: the full ones also under their titles.  ``more_texts`` has the long ones.
 KNOWN = (FULL + NOTICES
          + [(name, f"{title}\n{text}") for name, text in FULL for title in TITLES.get(name, [])])
 #: A copyright statement, as opposed to a sentence about copyright.
@@ -59,23 +60,26 @@ def _digest(words: Column, starts: list[str]) -> Column:
     return F.when(_first_word(words).isin(starts), F.sha2(_spelled(words), 256))
 
 
-def known_digests(spark) -> DataFrame:
-    """(digest, license, first): one row for each known canonical form."""
-    form = canonical(F.col("text"))
-    rows = spark.createDataFrame(KNOWN, "license string, text string").select("license", form.alias("form"))
+def known_digests(spark, more: DataFrame | None = None) -> DataFrame:
+    """(digest, license, first): one row for each known canonical form, those of ``more`` (license, text) too."""
+    texts = spark.createDataFrame(KNOWN + more_texts(), "license string, text string")
+    if more is not None:
+        texts = texts.unionByName(more.select("license", "text"))
+    rows = texts.select("license", canonical(F.col("text")).alias("form")).where("license IS NOT NULL AND form != ''")
     return rows.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"), F.min(F.substring_index("form", " ", 1)).alias("first"))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """``docs`` with license (of the entire text, null if none), notices (sorted
     licences of its lines) and n_notices (lines that are a known text).
 
+    ``more`` (license, text) are licences and notices to know beside the fixed ones.
     Null and empty texts have no licence, nor has a text of copyright lines
     alone; repeated rows come back repeated.  Incoming columns named like the
     added ones are replaced.
     """
     own = without(docs, ["license", "notices", "n_notices"])
-    known = known_digests(docs.sparkSession).collect()  # the fixed list
+    known = known_digests(docs.sparkSession, more).collect()  # a row for each known text
     starts = sorted({r["first"] for r in known})
     table = F.create_map(*[F.lit(x) for r in known for x in (r["digest"], r["license"])])
     lines = F.filter(F.split(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), "\n"), lambda x: ~F.rlike(x, F.lit(COPYRIGHT_LINE)))

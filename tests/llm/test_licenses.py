@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from gondola.llm import licenses
+from gondola.llm import license_texts, licenses
 from gondola.llm.license_texts import FULL
 from tools.check_oracle import rows_of
 
@@ -33,6 +33,23 @@ def test_normalisation(spark, make_docs):
     assert licenses.scan(make_docs([])).collect() == []
 
 
+def test_long_licences_spdx_lines_and_a_table_of_more(spark, make_docs):
+    texts = dict(sorted(license_texts.more_texts(), key=lambda x: len(x[1])))  # the whole files
+    gpl, apache = texts["GPL-3.0"], texts["Apache-2.0"]
+    assert "How to Apply" in gpl and "Apache-2.0" not in dict(FULL)
+    rows = [
+        (1, apache.upper(), "Apache-2.0", 0), (2, "Copyright 2020 A B\n" + gpl, "GPL-3.0", 0), (3, gpl[:gpl.index("END OF TERMS")], "GPL-3.0", 0),
+        (4, texts["MPL-2.0"], "MPL-2.0", 0), (5, "x\nSPDX-License-Identifier: GPL-3.0-or-later\n# SPDX-License-Identifier: BSD-3-Clause", None, 2),
+        (6, "My  licence: do as you like!", None, 0), (7, "", None, 0), (8, "gnu general public license", None, 0),
+    ]
+    docs = make_docs([r[:2] for r in rows])
+    got = {r["doc_id"]: (r["license"], r["n_notices"]) for r in licenses.scan(docs).collect()}
+    assert got == {r[0]: r[2:] for r in rows}
+    more = spark.createDataFrame([("Own-1.0", "my license, do as you like"), ("No", None), ("No", ""), (None, "x")], "license string, text string")
+    got = {r["doc_id"]: (r["license"], r["n_notices"]) for r in licenses.scan(docs, more).collect()}
+    assert got == {r[0]: r[2:] for r in rows} | {6: ("Own-1.0", 1)}
+
+
 @pytest.mark.parametrize("name", sorted(k for k in entry.oracle_sql() if k.startswith("op")))
 def test_queries_against_their_sql(spark, name):
     con = duckdb.connect()
