@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, class_lm, decontaminate, exact_dedup, filter_audit, html_text, langid, licenses, mixing, sharding, simhash, url_filter
+from . import chat, class_lm, decontaminate, exact_dedup, filter_audit, html_text, langid, licenses, mixing, sharding, simhash, token_align, url_filter
 
 QUERIES = {
     "op1_language_id": langid.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_main_text": html_text.query,
     "op9_licenses": licenses.query,
     "op10_mixing": mixing.query,
+    "op11_token_align": token_align.query,
     "op12_filter_audit": filter_audit.query,
     "op13_url_filter": url_filter.query,
 }
