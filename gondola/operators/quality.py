@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.config import (
@@ -118,6 +118,24 @@ def match_rate(std: DataFrame, product_map: DataFrame, customer_map: DataFrame,
         F.sum(F.col("_n") * F.coalesce("_p_rows", one) * F.coalesce("_c_matched", zero)).alias("n_matched_customer"))
 
 
+def match_metrics(retailers: Sequence[str], *, product_flag: str = "level_1_standard",
+                  customer_flag: str = "segment_1_standard") -> dict[str, Column]:
+    """A10 as aggregates to observe while silver is written: per retailer its
+    lines with a product standard and with a customer standard."""
+    of = lambda r, flag: F.count_if((F.col(RETAILER) == r) & F.col(flag).isNotNull())
+    return {f"{name}_{i}": of(r, flag) for i, r in enumerate(retailers)
+            for name, flag in (("n_matched", product_flag), ("n_matched_customer", customer_flag))}
+
+
+def observed_match_rate(std: DataFrame, retailers: Sequence[str], metrics: dict, *, lines: str | None = None) -> DataFrame:
+    """A10 from the values of ``match_metrics``: the feed's lines are counted
+    (from column ``lines`` if it carries counts), no map is joined again."""
+    n = F.count(F.lit(1)) if lines is None else F.sum(lines)
+    rows = [(r, metrics[f"n_matched_{i}"], metrics[f"n_matched_customer_{i}"]) for i, r in enumerate(retailers)]
+    counted = std.sparkSession.createDataFrame(rows, f"{RETAILER} string, n_matched long, n_matched_customer long")
+    return std.groupBy(RETAILER).agg(n.alias("n_rows")).join(counted, RETAILER)
+
+
 def distinct_keys(std: DataFrame, *, levels: Sequence[str] = PRODUCT_LEVELS, segments: Sequence[str] = CUSTOMER_SEGMENTS,
                   keys: Sequence[str] = ("product_id", "product_code")) -> DataFrame:
     """The feed's distinct mapping and product keys with their number of lines

@@ -3,9 +3,11 @@
 Silver is written by product-id route and retailer and read back before the
 reports: that cuts the lineage, so an executor lost while computing the
 twenty-grain lattice re-reads silver files instead of recomputing the mapping
-from raw feeds.  The distinct keys of the feed are written once too; match
-rate, unmatched keys and unicity checks all run from that table.  All feeds run
-as one job keyed by ``retailer``; the driver only loops over feeds and reports.
+from raw feeds.  Match counts are observed by that write.  The distinct keys of
+the feed are written once too; unmatched keys and unicity checks run from that
+table.  All feeds run as one job keyed by ``retailer``; the driver only loops
+over feeds and reports.  A run on a folder that has an earlier run's results
+reads nothing of it and leaves none of its reports standing.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from gondola.operators.misclassification import (
     misclassification_long,
     misclassification_variants,
 )
-from gondola.operators.quality import distinct_keys, match_rate, unicity_checks, unmatched_by_keys
+from gondola.operators.quality import distinct_keys, match_metrics, observed_match_rate, unicity_checks, unmatched_by_keys
 from gondola.operators.shaping import add_required_columns, assemble_feeds, feed_catalog
 from gondola.operators.standardize import (
     prepare_customer_map,
@@ -50,11 +52,16 @@ from gondola.sources.io import (
     layer_feeds,
     read_delimited,
     read_silver,
+    remove,
     write_delimited,
     write_report,
     write_silver,
 )
 
+#: Every report that some run writes.
+REPORTS = ("match_rate", "unmatched_levels_pdt", "unmatched_levels_customer", "unicity_id_levels", "unicity_code_levels",
+           "unicity_code_ids", "misclassification", "misclassification_long", "feeds", "kpis", "market_share")
+
 #: With n feeds that have product ids, a misclassified product is shown by at
 #: least n - 5 of them, and by two.
 PRESENT_SLACK = 5
@@ -87,9 +94,11 @@ def run_from_bronze(spark: SparkSession, bronze_root: str, product_map: str | Ma
                      out_root, model_id=model_id, **options)
 
 
-def key_reports(keys: DataFrame, product_map: DataFrame, customer_map: DataFrame, feeds: Sequence[FeedSpec], model: Model) -> dict[str, DataFrame]:
-    """Reports on classification (A6-A10) from the feed's distinct keys, in order."""
-    reports = {"match_rate": match_rate(keys, product_map, customer_map, lines="n_lines"),
+def key_reports(keys: DataFrame, product_map: DataFrame, customer_map: DataFrame, feeds: Sequence[FeedSpec], model: Model,
+                matched: dict) -> dict[str, DataFrame]:
+    """Reports on classification (A6-A10) from the feed's distinct keys, in order;
+    ``matched`` are the counts observed while silver was written."""
+    reports = {"match_rate": observed_match_rate(keys, [f.name for f in feeds], matched, lines="n_lines"),
                "unmatched_levels_pdt": unmatched_by_keys(keys, product_map, PRODUCT_LEVELS, model.standards)}
     if model.customer_mapping:
         reports["unmatched_levels_customer"] = unmatched_by_keys(keys, customer_map, CUSTOMER_SEGMENTS, CUSTOMER_STANDARDS)
@@ -129,12 +138,12 @@ def run_model(spark: SparkSession, feed: DataFrame, product_map: DataFrame, cust
     else:
         cmap = _empty_customer_map(spark)
     out = {"silver": os.path.join(out_root, "silver"), "keys": os.path.join(out_root, "keys")}
-    write_silver(build_silver(std, pmap, cmap, product_standards=model.standards), out["silver"], feeds_without_id(feeds))
-    # only this run's feeds: other partitions may be left from earlier runs
-    silver = read_silver(spark, out["silver"], retailers=names)
+    built = build_silver(std, pmap, cmap, product_standards=model.standards)
+    run = write_silver(built, out["silver"], feeds_without_id(feeds), metrics=match_metrics(names))
+    silver = read_silver(spark, out["silver"], run=run.run)
     distinct_keys(std).write.mode("overwrite").parquet(out["keys"])
     report_root = os.path.join(out_root, "reports")
-    for name, df in key_reports(spark.read.parquet(out["keys"]), pmap, cmap, feeds, model).items():
+    for name, df in key_reports(spark.read.parquet(out["keys"]), pmap, cmap, feeds, model, run.metrics).items():
         if write_report(df, report_root, name, skip_empty=True):
             out[name] = os.path.join(report_root, name)
     reports = misclassification_reports(silver, feeds, model, min_present=min_present, compat_level4=compat)
@@ -148,6 +157,9 @@ def run_model(spark: SparkSession, feed: DataFrame, product_map: DataFrame, cust
     for name, df in reports.items():
         write_report(df, report_root, name)
         out[name] = os.path.join(report_root, name)
+    for name in REPORTS:
+        if name not in out:
+            remove(spark, os.path.join(report_root, name))
     extracts = {"product_sample": product_sample(silver), "volume_units": volume_units(silver)}
     for name, df in extracts.items():
         out[name] = os.path.join(out_root, "extracts", name)

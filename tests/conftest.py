@@ -16,7 +16,6 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.legacy.javaCharsets", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # tests set their own shared folder; a cluster session names one already

@@ -2,19 +2,28 @@
 
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from gondola.config import FEEDS, FeedSpec
 from gondola.operators.bronze import build_bronze, shape_bronze
+from gondola.operators.quality import match_rate
+from gondola.operators.standardize import prepare_customer_map, prepare_product_map, standardize_feed
 from gondola.plans.models import MODELS
 from gondola.plans.run import run_from_bronze, run_model
 from gondola.queries import Stages
 from gondola.sources.io import (
+    decode_cp1252,
+    format_lines,
+    parse_lines,
     read_delimited,
+    read_folder,
     read_layer,
     read_silver,
     read_tsv,
+    silver_files,
     write_delimited,
     write_layer,
     write_report,
@@ -100,13 +109,118 @@ def test_csv_round_trip(spark, tmp_dir):
     assert read_delimited(spark, put(os.path.join(tmp_dir, "e.csv"), 'a;b\n"";1\n')).first()["a"] is None
 
 
-def test_cp1252_needs_the_session_flag(spark):
-    spark.conf.set("spark.sql.legacy.javaCharsets", "false")
-    try:
-        with pytest.raises(ValueError, match="javaCharsets"):
-            read_delimited(spark, "/nowhere.csv", encoding="cp1252")
-    finally:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+def test_cp1252_over_all_bytes(spark, tmp_dir):
+    """An ordinary session reads windows-1252; bytes it leaves undefined become U+FFFD."""
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "false"
+    cells = [b for b in range(256) if b not in b'\n\r;"\x00']
+    path = os.path.join(tmp_dir, "all.csv")
+    with open(path, "wb") as f:
+        f.write("code;prix_€\n".encode("cp1252") + b"".join(b"%d;x%cx\n" % (b, b) for b in cells))
+    rows = read_delimited(spark, path, encoding="Windows-1252")
+    assert rows.columns == ["code", "prix_€"]
+    assert {int(r[0]): r[1] for r in rows.collect()} == {b: "x" + bytes([b]).decode("cp1252", "replace") + "x" for b in cells}
+    raw = spark.createDataFrame([(bytearray(bytes(range(256))),)], "b binary").select(decode_cp1252(F.col("b"))).first()[0]
+    assert raw == bytes(range(256)).decode("cp1252", "replace")
+
+
+def test_lines_of_a_frame(spark, tmp_dir):
+    rows = [("a;b", 'say "x"', None), (" edge ", "", "2"), ("back\\slash", "tab\there", '"')]
+    df = spark.createDataFrame(rows, "a string, `b.c` string, d string")
+    for sep in (";", "\t"):
+        lines = format_lines(df, sep=sep)
+        back = parse_lines(lines.withColumn("n", F.lit(1)), "line", ["a", "b.c", "d"], sep=sep)
+        assert back.columns == ["n", "a", "b.c", "d"]
+        expected = {(1, *(x or None for x in r)) for r in rows}
+        assert {tuple(r) for r in back.collect()} == expected
+        # the same rules as files
+        write_delimited(df, os.path.join(tmp_dir, f"s{ord(sep)}"), sep=sep)
+        files = spark.read.text(os.path.join(tmp_dir, f"s{ord(sep)}")).where("value NOT LIKE 'a%b.c%d'")
+        assert {r[0] for r in files.collect()} == {r[0] for r in lines.collect()}
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        parse_lines(spark.createDataFrame([("1;2;3",)], "line string"), "line", ["a", "b"]).collect()
+
+
+def test_flat_folder_of_one_file_for_each_retailer(spark, tmp_dir):
+    frames = {"metro": pa.table({"product_id": ["1", "2"], "v": [1.0, 2.5]}), "sysco": pa.table({"product_code": ["C"], "v": ["3,5"], "brand_name": ["X"]}),
+              "relais d'or": pa.table({"product_id": [7], "v": [4]})}
+    for name, table in frames.items():
+        pq.write_table(table, os.path.join(tmp_dir, f"{name}.parquet"))
+    spark.createDataFrame([("C2", 9.0)], "product_code string, v double").write.parquet(os.path.join(tmp_dir, "even.parquet"))
+    put(os.path.join(tmp_dir, "notes.txt"), "x")
+    got = {(r.retailer, r.product_id, r.product_code, r.v, r.brand_name) for r in read_folder(spark, tmp_dir).collect()}
+    assert got == {("metro", "1", None, "1", None), ("metro", "2", None, "2.5", None), ("sysco", None, "C", "3,5", "X"),
+                   ("relais d'or", "7", None, "4", None), ("even", None, "C2", "9", None)}
+    assert {r.retailer for r in read_folder(spark, tmp_dir, ["metro", "even"]).collect()} == {"metro", "even"}
+
+
+def lines_of(spark, root, **kw):
+    return sorted((r.retailer, r.product_id, r.t) for r in read_silver(spark, root, **kw).collect())
+
+
+def test_silver_runs_do_not_mix(spark, tmp_dir):
+    """The second run's feeds: a is empty, b has ids now, c is gone, d is new."""
+    make = lambda rows: spark.createDataFrame(rows, "retailer string, product_id string, t double, year string")
+    first = [("a", "1", 1.0, "2024"), ("b", None, 2.0, "2024"), ("c é/d", "3", 3.0, "2024")]
+    second = [("b", "9", 5.0, "2024"), ("d", "4", 6.0, "2023"), ("d", "4", 6.0, "2024")]
+    one = write_silver(make(first), tmp_dir, ["b"], metrics={"total": F.sum("t")})
+    assert one.n_rows == 3 and one.metrics == {"total": 6.0}
+    assert lines_of(spark, tmp_dir) == [(r, p, t) for r, p, t, _ in first]
+    two = write_silver(make(second), tmp_dir, [])
+    assert lines_of(spark, tmp_dir) == lines_of(spark, tmp_dir, retailers=["a", "b", "c é/d", "d"]) == [(r, p, t) for r, p, t, _ in second]
+    assert read_silver(spark, tmp_dir, "without_id").count() == 0
+    assert lines_of(spark, tmp_dir, run=one.run) == [(r, p, t) for r, p, t, _ in first]  # a reader that began before
+    files = silver_files(spark, tmp_dir, two.run).groupBy("route", "retailer").agg(F.sum("n_rows")).collect()
+    assert sorted(map(tuple, files)) == [("with_id", "b", 1), ("with_id", "d", 2)]
+    none = write_silver(make(second).limit(0), tmp_dir, [])
+    assert none.n_rows == 0 and read_silver(spark, tmp_dir).count() == 0
+    assert read_silver(spark, tmp_dir).columns == ["product_id", "t", "year", "retailer"]
+    assert sorted(os.listdir(os.path.join(tmp_dir, "data"))) == [f"run={r}" for r in (two.run, none.run)]  # older ones are gone
+    with pytest.raises(ValueError, match="no committed run"):
+        read_silver(spark, tmp_dir, run="x")
+
+
+def test_killed_run_leaves_the_old_silver(spark, tmp_dir):
+    good = spark.createDataFrame([("a", "1", 1.0)], "retailer string, product_id string, t double")
+    write_silver(good, tmp_dir, [])
+    broken = good.withColumn("t", F.when(F.col("t") > 0, F.raise_error(F.lit("lost"))).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_silver(broken, tmp_dir, [])
+    # files of a run that never came to its manifest
+    good.withColumn("route", F.lit("with_id")).write.partitionBy("route", "retailer").parquet(os.path.join(tmp_dir, "data", "run=9"))
+    assert lines_of(spark, tmp_dir) == [("a", "1", 1.0)]
+
+
+def test_report_is_one_query_and_replaces_the_last(spark, tmp_dir):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        ran.add(1)
+        return x
+
+    slow = df.withColumn("v", F.udf(count, "int")("v"))
+    assert write_report(slow, tmp_dir, "r", skip_empty=True) is True and ran.value == 2
+    assert write_report(slow.where("v > 5"), tmp_dir, "r", skip_empty=True) is False and ran.value == 4
+    assert not os.path.exists(os.path.join(tmp_dir, "r"))
+    assert write_report(df.limit(0), tmp_dir, "kept") is True and spark.read.parquet(os.path.join(tmp_dir, "kept")).count() == 0
+
+
+def test_second_run_of_a_model(spark, tmp_dir):
+    """Its numbers are a fresh folder's, and no report of the first run is left."""
+    fx = Stages(spark, SF_SMALL).fx
+    run_model(spark, fx.feed, fx.product_map, fx.customer_map, TEST_FEEDS, tmp_dir, model_id=4)
+    some = fx.feed.where("retailer IN ('africa', 'europe')")
+    out = run_model(spark, some, fx.product_map, None, TEST_FEEDS, tmp_dir, model_id=3)
+    fresh = run_model(spark, some, fx.product_map, None, TEST_FEEDS, os.path.join(tmp_dir, "fresh"), model_id=3)
+    assert out.keys() == fresh.keys() and "unmatched_levels_customer" not in out
+    assert sorted(os.listdir(os.path.join(tmp_dir, "reports"))) == sorted(os.listdir(os.path.join(tmp_dir, "fresh", "reports")))
+    for name in ("match_rate", "kpis", "misclassification"):
+        a, b = (spark.read.parquet(o[name]) for o in (out, fresh))
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0, name
+    std = standardize_feed(some, TEST_FEEDS)
+    pmap = prepare_product_map(fx.product_map, retailers=RETAILERS)
+    cmap = prepare_customer_map(fx.customer_map.limit(0), retailers=RETAILERS)
+    assert sorted(map(tuple, spark.read.parquet(out["match_rate"]).collect())) == sorted(map(tuple, match_rate(std, pmap, cmap).collect()))
 
 
 def test_layer_of_feeds_with_different_columns_and_types(spark, tmp_dir):
