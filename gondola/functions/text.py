@@ -48,16 +48,11 @@ def _sql_text(text: str) -> str:
 def strip_chars(name: str) -> Column:
     """The named column as text without Unicode whitespace at both ends.
 
-    ``btrim`` with the White_Space set (no regex) runs only for the rare value
-    whose first or last character is whitespace; looking one character up in
-    the set is much cheaper than a multi-character trim on every value.  Built
-    as one SQL expression: a projection that strips dozens of columns makes one
-    call into the JVM for each.
+    One call of ``btrim`` with the White_Space set: a projection strips dozens of
+    columns, and code of more than a few calls for each makes the generated method
+    too long for the JVM's compiler.
     """
-    c, ws = _sql_name(name), _sql_text(UNICODE_WHITESPACE)
-    s = f"CAST({c} AS STRING)"
-    return F.expr(f"CASE WHEN position(substring({s}, 1, 1), {ws}) > 0 OR position(substring({s}, -1, 1), {ws}) > 0 "
-                  f"THEN btrim({s}, {ws}) ELSE {s} END")
+    return F.expr(f"btrim(CAST({_sql_name(name)} AS STRING), {_sql_text(UNICODE_WHITESPACE)})")
 
 
 def fill_empty(name: str, value: str = NOT_FILLED) -> Column:

@@ -3,10 +3,12 @@
 A grain is ``year`` (+ department, + customer standards) x a prefix of the
 product standards.  The lattice reads silver once: every line gives one row for
 its product id (with the turnover) and one for its product code, reduced to
-distinct ids and codes at the finest grain (combined map-side), then each of
-those is emitted once per grain (unused dimensions null, the grain name in the
-key) and two aggregations count them, so the plan is one chain of stages
-whatever the number of grains.
+distinct ids and codes at the finest grain (combined map-side).  These are dealt
+by id, and each is flagged for the grains in whose cell it is the first of its
+id; the flags are added up by finest cell.  Only finest cells are emitted once
+per grain (unused dimensions null, the grain name in the key) and added up, so
+the plan is one chain of stages, and no row of an id is multiplied by the
+number of grains.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gondola.config import PRODUCT_STANDARDS
@@ -96,6 +98,43 @@ def _ids_and_codes(df: DataFrame, cell: Sequence[str], amount: Column) -> DataFr
         F.struct(F.lit(1).alias("_kind"), F.col("product_code").alias("_value"), nothing.alias("turnover")))))
 
 
+def _chains(grains: Sequence[Grain], every: Sequence[str]) -> list[list[tuple[Grain, list[str]]]]:
+    """Grains in chains whose columns beyond ``every`` are nested, each with the
+    columns that it adds to the one before."""
+    chains: list[list[tuple[Grain, list[str]]]] = []
+    for g in sorted(grains, key=lambda g: (g.levels, len(g.columns))):
+        own = [c for c in [*g.levels, *g.dims] if c not in every]
+        held = [c for _, added in chains[-1] for c in added] if chains else []
+        if chains and chains[-1][-1][0].levels == g.levels and set(held) <= set(own):
+            chains[-1].append((g, [c for c in own if c not in held]))
+        else:
+            chains.append([(g, own)])
+    return chains
+
+
+def _first_seen(rows: DataFrame, within: Sequence[str], chains) -> tuple[DataFrame, dict[str, str]]:
+    """``rows`` with a flag (0 or 1) for each grain: the first row of its cell
+    within the columns ``within``.
+
+    Sorted by a chain's columns in the order in which its grains add them, the
+    rows of a cell lie together for every grain of the chain, so a row begins a
+    cell where it differs from the row before.
+    """
+    flags = {}
+    for i, chain in enumerate(chains):
+        order = [c for _, added in chain for c in added]
+        w = Window.partitionBy(*within).orderBy(*order) if order else Window.partitionBy(*within).orderBy(F.lit(0))
+        rows = rows.withColumns({f"_p{k}": F.lag(c).over(w) for k, c in enumerate(order)} | {"_p": F.lag(F.lit(True)).over(w)})
+        new, k = F.col("_p").isNull(), 0
+        for j, (g, added) in enumerate(chain):
+            for c in added:
+                new, k = new | ~F.col(c).eqNullSafe(F.col(f"_p{k}")), k + 1
+            flags[g.name] = f"_n{i}_{j}"
+            rows = rows.withColumn(flags[g.name], new.cast("long"))
+        rows = rows.drop("_p", *[f"_p{k}" for k in range(len(order))])
+    return rows, flags
+
+
 def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str] = (RETAILER,),
                 amount_scale: int | None = None) -> DataFrame:
     """A4/A5: every grain in one long table.
@@ -104,22 +143,28 @@ def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str
     does not use it), ``turnover``, ``nb_product_ids``, ``nb_product_codes``.
     """
     dims = lattice_columns(grains)
+    every = [c for c in dims if all(c in g.columns for g in grains)]
     lines = _ids_and_codes(_with_product_id(silver), [*key, *dims], _as_amount(F.col("turnover"), amount_scale))
     fine = lines.groupBy(*key, *dims, "_kind", "_value").agg(F.sum("turnover").alias("turnover"))
-    # one row per (fine row, grain); ``grain`` in the key keeps a rolled-up
+    # All rows of an id (a null id or code is a value too, as n_unique counts it)
+    # within what every grain keeps apart lie in one partition, so an id is
+    # counted in each of its cells there, once, and cells add up from then on.
+    within = [*key, *every, "_kind", "_value"]
+    flagged, flags = _first_seen(fine.repartition(*within), within, _chains(grains, every))
+    # both counts of a grain in one number: ids above, codes below
+    counts = {f: F.sum(F.when(F.col("_kind") == 0, F.col(f) * F.lit(1 << 32)).otherwise(F.col(f))).alias(f) for f in flags.values()}
+    cells = flagged.groupBy(*key, *dims).agg(F.sum("turnover").alias("turnover"), *counts.values())
+    # one row per (finest cell, grain); ``grain`` in the key keeps a rolled-up
     # null apart from a real null
     per_grain = F.inline(F.array(*[
         F.struct(F.lit(g.name).alias("grain"),
-                 *[(F.col(c).cast("string") if c in g.columns else F.lit(None).cast("string")).alias(c) for c in dims])
+                 *[(F.col(c).cast("string") if c in g.columns else F.lit(None).cast("string")).alias(c) for c in dims],
+                 F.col(flags[g.name]).alias("_n"))
         for g in grains]))
-    cell = ["grain", *key, *dims]
-    # a null id or code is a value too, as n_unique counts it
-    values = (fine.select(*key, "_kind", "_value", "turnover", per_grain)
-              .groupBy(*cell, "_kind", "_value").agg(F.sum("turnover").alias("turnover")))
-    out = values.groupBy(*cell).agg(
+    out = cells.select(*key, "turnover", per_grain).groupBy("grain", *key, *dims).agg(
         F.sum("turnover").alias("turnover"),
-        F.count_if(F.col("_kind") == 0).cast("int").alias("nb_product_ids"),
-        F.count_if(F.col("_kind") == 1).cast("int").alias("nb_product_codes"))
+        F.sum(F.shiftright("_n", 32)).cast("int").alias("nb_product_ids"),
+        F.sum(F.col("_n").bitwiseAND(F.lit((1 << 32) - 1))).cast("int").alias("nb_product_codes"))
     total = F.coalesce(F.col("turnover").cast("double"), F.lit(0.0))
     return out.select("grain", *key, *dims, total.alias("turnover"), "nb_product_ids", "nb_product_codes")
 
@@ -127,3 +172,29 @@ def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str
 def order_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """O1: ascending multi-column order, nulls first."""
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in cols])
+
+
+def ordered_positions(df: DataFrame, cols: Sequence[str], name: str = "position", parts: int = 64) -> DataFrame:
+    """O1 with a proof of order: each row's place (from 0) in ``order_report``'s
+    order, ties broken by the other columns.
+
+    Borders from a sample of keys (bounded, and the same in every run) cut the
+    order into ranges; the rows of a range are numbered from the number of rows in
+    the ranges before, so no task sorts the whole table.
+    """
+    full = [*cols, *[c for c in df.columns if c not in cols]]
+    key = F.struct(*[F.col(c) for c in full])
+    # at most a hundred keys for each part, whatever the table's size: the smallest by hash
+    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(100 * parts)
+    ranked = [r["k"] for r in sample.orderBy("k").collect()]
+    kind = df.select(key.alias("k")).schema
+    borders = df.sparkSession.createDataFrame([(ranked[len(ranked) * i // parts],) for i in range(1, parts)] if ranked else [], kind)
+    borders = borders.distinct().agg(F.sort_array(F.collect_list("k")).alias("b")).first()["b"]
+    literal = F.array(*[F.struct(*[F.lit(v).cast(kind["k"].dataType[c].dataType).alias(c) for c, v in zip(full, b)]) for b in borders]) if borders else None
+    part = F.size(F.filter(literal, lambda b: b <= key)) if borders else F.lit(0)
+    dealt = df.withColumn("_part", part)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))
+    order = Window.partitionBy("_part").orderBy(*[F.col(c).asc_nulls_first() for c in full])
+    placed = dealt.withColumn("_i", F.row_number().over(order) - 1).join(F.broadcast(starts), "_part")  # a row for each part
+    return placed.select(*df.columns, (F.col("_at") + F.col("_i")).cast("long").alias(name))

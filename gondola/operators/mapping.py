@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gondola.config import (
     CUSTOMER_SEGMENTS,
@@ -21,6 +22,7 @@ from gondola.config import (
     PRODUCT_STANDARDS,
     SILVER_COLUMNS,
 )
+from gondola.functions.agg import any_null
 from gondola.functions.text import classification_path
 from gondola.operators.shaping import select_existing
 
@@ -32,6 +34,17 @@ def _map_side(mapping: DataFrame, keys: Sequence[str], standards: Sequence[str])
     return mapping.select(*keys, *[c for c in standards if c in mapping.columns])
 
 
+def _left_join(feed: DataFrame, mapping: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left equi-join.  A line whose key holds a null matches nothing; such lines
+    get a number of their own as one more key, so that a join by shuffle spreads
+    them instead of meeting them all in one partition."""
+    spread = F.when(any_null(keys), F.xxhash64(*[F.col(f"`{c}`") for c in feed.columns])).otherwise(F.lit(0).cast("long"))
+    # always zero, but no literal: the planner would take that out of the keys
+    zero = F.xxhash64(*keys) % 1
+    out = feed.withColumn("__spread", spread).join(mapping.withColumn("__spread", zero), [*keys, "__spread"], "left")
+    return out.drop("__spread")
+
+
 def map_products(
     feed: DataFrame,
     product_map: DataFrame,
@@ -41,7 +54,7 @@ def map_products(
 ) -> DataFrame:
     """Left join on retailer + native levels; duplicate map keys fan out."""
     keys = [RETAILER, *levels]
-    return feed.join(_map_side(product_map, keys, standards), keys, "left")
+    return _left_join(feed, _map_side(product_map, keys, standards), keys)
 
 
 def map_customers(
@@ -53,7 +66,7 @@ def map_customers(
 ) -> DataFrame:
     """Left join on retailer + native segments."""
     keys = [RETAILER, *segments]
-    return feed.join(_map_side(customer_map, keys, standards), keys, "left")
+    return _left_join(feed, _map_side(customer_map, keys, standards), keys)
 
 
 def build_silver(

@@ -167,3 +167,8 @@ def feed_catalog(spark, feeds) -> DataFrame:
     rows = [(f.name, f.turnover_type, f.with_product_id, f.department_from_zip) for f in feeds]
     return spark.createDataFrame(
         rows, "retailer string, turnover_type string, has_product_id boolean, department_from_zip boolean")
+
+
+def with_feed_metadata(report: DataFrame, feeds, columns: Sequence[str] = ("turnover_type",)) -> DataFrame:
+    """P15 on request: a report's rows with their feed's metadata."""
+    return report.join(F.broadcast(feed_catalog(report.sparkSession, feeds).select("retailer", *columns)), "retailer", "left")

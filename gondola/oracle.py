@@ -114,10 +114,20 @@ def with_views() -> str:
     return "WITH " + duckdb_views() + "\n"
 
 
-# ---------------------------------------------------------------- shaping
+# ---------------------------------------------------------------- scans and sinks
 
 SQL: dict[str, str] = {}
 
+_NAME = "' a;' || chr(9) || '\"' || level_3 || '\" ' || product_name"
+_CELLS = f"SELECT product_code AS code, {_NAME} AS name, CASE WHEN volume_unit <> 'L' THEN volume_unit END AS unit FROM feed"
+SQL["csv_scan"] = SQL["tsv_scan"] = with_views() + _CELLS
+SQL["cp1252_scan"] = with_views() + "SELECT product_code AS code, translate(product_code, '0123456789', '€‚œŽ™éüß–Ÿ') AS text FROM feed"
+SQL["csv_sink"] = with_views() + (f"SELECT code || ';\"' || replace(name, '\"', '\"\"') || '\";' || coalesce(unit, '') AS line FROM ({_CELLS})")
+SQL["folder_scan"] = " UNION ALL BY NAME ".join(f"SELECT *, '{t}' AS retailer FROM {t}" for t in ("region", "nation", "supplier"))
+SQL["feed_drop"] = "SELECT *, 'even' AS retailer FROM nation UNION ALL SELECT *, 'even' AS retailer FROM nation"
+
+# ---------------------------------------------------------------- shaping
+
 # two of the ten rename maps on each retailer's rows, in the order of the maps
 FEED_ORDER = ["coup_de_pates", "ds_restauration", "ducreux", "even", "metro", "pomona", "pro_a_pro", "relais_dor", "sysco", "transgourmet"]
 SQL["feed_rename"] = with_views() + " UNION ALL ".join(
@@ -201,8 +211,17 @@ SELECT retailer, product_code,
   CASE WHEN segment_3 = 'P' OR segment_3 = '-' THEN NULL ELSE segment_3 END AS segment_3
 FROM feed"""
 
+SQL["suffix_columns"] = with_stages() + """
+SELECT DISTINCT product_id, product_name AS product_name_africa, volume_unit AS volume_unit_africa FROM std WHERE retailer = 'africa'"""
+SQL["strip_suffix"] = with_stages() + f"""
+SELECT DISTINCT retailer, {', '.join(f"{c} AS {c.replace('_standard', '')}" for c in PRODUCT_STANDARDS)} FROM pmap"""
+
 # ---------------------------------------------------------------- scalar cleaning
 
+SQL["row_counts"] = with_views() + """
+SELECT retailer, n_null, n_distinct, count(*) AS count FROM (
+  SELECT retailer, CAST((level_1 IS NULL)::INT + (level_2 IS NULL)::INT + (level_3 IS NULL)::INT + (product_id IS NULL)::INT AS INTEGER) AS n_null,
+    CAST(len(list_distinct([level_1, level_2, level_3, product_id])) AS INTEGER) AS n_distinct FROM feed) GROUP BY ALL"""
 SQL["strip_whitespace"] = with_views() + f"SELECT retailer, product_code, {strip('level_1')} AS level_1 FROM feed"
 
 SQL["fill_empty"] = with_views() + (
@@ -235,6 +254,9 @@ SQL["classification_path"] = with_views() + (
 SQL["standardize_feed"] = with_stages() + "SELECT * FROM std"
 SQL["prepare_product_map"] = with_stages() + "SELECT * FROM pmap"
 SQL["prepare_customer_map"] = with_stages() + "SELECT * FROM cmap"
+_plain_map = [f"{fill(c)} AS {c}" for c in PRODUCT_LEVELS[:3]] + [f"{NR} AS {c}" for c in PRODUCT_LEVELS[3:]]
+SQL["prepare_product_map_no_strip"] = with_views() + f"""
+SELECT ENTREPRISE AS retailer, {', '.join(_plain_map)}, {cols(PRODUCT_STANDARDS[:2])} FROM product_map WHERE ENTREPRISE IN ({ALL_RETAILERS})"""
 SQL["map_products"] = with_stages() + f"""
 SELECT s.retailer, s.product_id, s.product_code, {cols(PRODUCT_LEVELS, 's.')}, {cols(PRODUCT_STANDARDS, 'p.')}
 FROM std s LEFT JOIN pmap p ON {_pjoin}"""
@@ -296,6 +318,13 @@ SELECT retailer, year, level_1_standard, {dec_sum('turnover')} AS turnover, CAST
 FROM silver WHERE retailer = 'middle_east' GROUP BY retailer, year, level_1_standard"""
 
 
+_L2 = ["retailer", "year", *PRODUCT_STANDARDS[:2]]
+SQL["kpis_ordered"] = with_stages(f"k AS ({_kpis(_L2[1:])})") + (
+    f"SELECT *, row_number() OVER (ORDER BY {', '.join(c + ' NULLS FIRST' for c in _L2)}) - 1 AS position FROM k")
+SQL["kpis_turnover_type"] = with_stages(f"k AS ({_kpis(['year', 'level_1_standard'])})") + """
+SELECT *, CASE retailer WHEN 'africa' THEN 'net' WHEN 'america' THEN 'brut' WHEN 'asia' THEN 'HT' ELSE 'unknown' END AS turnover_type FROM k"""
+
+
 def _lattice(grains) -> str:
     dims = lattice_columns(grains)
     parts = []

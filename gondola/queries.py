@@ -35,8 +35,9 @@ from gondola.functions.text import (
     parse_amount,
     remove_first_space,
 )
+from gondola.functions.agg import distinct_non_null_count, null_count
 from gondola.operators import extracts as ex
-from gondola.operators.kpis import compute_kpis, kpi_grains, kpi_lattice
+from gondola.operators.kpis import compute_kpis, kpi_grains, kpi_lattice, ordered_positions
 from gondola.operators.mapping import build_silver, map_customers, map_products, mapped_product_keys
 from gondola.operators.market_share import market_share, market_share_lattice
 from gondola.operators.misclassification import (
@@ -45,7 +46,7 @@ from gondola.operators.misclassification import (
     misclassification_variants,
 )
 from gondola.operators.quality import match_rate, unicity_checks, unmatched_by_keys
-from gondola.operators.bronze import shape_bronze
+from gondola.operators.bronze import build_bronze, shape_bronze
 from gondola.operators.shaping import (
     add_required_columns,
     assemble_feeds,
@@ -54,8 +55,11 @@ from gondola.operators.shaping import (
     rename_columns,
     slice_period,
     split_exact,
+    strip_suffix,
+    suffix_columns,
     union_all,
     widen_years,
+    with_feed_metadata,
 )
 from gondola.operators.standardize import (
     fill_empty_columns,
@@ -66,6 +70,7 @@ from gondola.operators.standardize import (
     valid_product_id,
 )
 from gondola.plans.models import MODELS, Model
+from gondola.sources.io import CP1252_HIGH, LATIN1_HIGH, decode_cp1252, format_lines, parse_lines, read_folder
 from gondola.testfeed import (
     RETAILERS,
     RETAILERS_WITH_ID,
@@ -105,6 +110,52 @@ class Stages:
         return build_silver(self.std, self.pmap, self.cmap)
 
 
+# ---------------------------------------------------------------- scans and sinks
+
+# A product name with a separator, a tab, quotes and a space at the edge; an empty unit.
+CELLS = {"code": "product_code", "name": "concat(' a;', chr(9), '\"', level_3, '\" ', product_name)", "unit": "nullif(volume_unit, 'L')"}
+# Signs of windows-1252 that ISO-8859-1 has not, and some that both have, for the ten digits.
+CP1252_WORDS = "€‚œŽ™éüß–Ÿ"
+
+
+def cells(spark, sf_dir) -> DataFrame:
+    return Stages(spark, sf_dir).feed.selectExpr(*[f"{e} AS {c}" for c, e in CELLS.items()])
+
+
+def _lines(df: DataFrame, sep: str) -> DataFrame:
+    """Delimited lines put together by hand: the name always quoted."""
+    quoted = F.concat(F.lit('"'), F.replace("name", F.lit('"'), F.lit('""')), F.lit('"'))
+    return df.select(F.concat_ws(sep, "code", quoted, F.coalesce("unit", F.lit(""))).alias("line"))
+
+
+def q_csv_scan(spark, sf_dir):
+    return parse_lines(_lines(cells(spark, sf_dir), ";"), "line", list(CELLS), sep=";")
+
+
+def q_tsv_scan(spark, sf_dir):
+    return parse_lines(_lines(cells(spark, sf_dir), "\t"), "line", list(CELLS), sep="\t")
+
+
+def q_cp1252_scan(spark, sf_dir):
+    accented = F.translate("code", "0123456789", CP1252_WORDS)
+    latin = F.translate(accented, CP1252_HIGH.replace("\ufffd", ""), "".join(a for a, b in zip(LATIN1_HIGH, CP1252_HIGH) if b != "\ufffd"))
+    return cells(spark, sf_dir).select("code", decode_cp1252(F.encode(latin, "ISO-8859-1")).alias("text"))
+
+
+def q_csv_sink(spark, sf_dir):
+    return format_lines(cells(spark, sf_dir))
+
+
+def q_folder_scan(spark, sf_dir):
+    """S5 on the given tables' own flat folder: three of its files as feeds."""
+    return read_folder(spark, sf_dir, ["region", "nation", "supplier"])
+
+
+def q_feed_drop(spark, sf_dir):
+    """Two deliveries of a feed that land as files."""
+    return build_bronze(spark, "even", [f"{sf_dir}/nation.parquet", f"{sf_dir}/nation.parquet"], fmt="parquet")
+
+
 # ---------------------------------------------------------------- shaping
 
 # Two distributors' rename maps are tried on each test retailer's rows, ten in all.
@@ -225,8 +276,25 @@ def q_placeholder_null(spark, sf_dir):
     return nullify_placeholder(df, ["level_1", "level_2", "segment_3"], "-")
 
 
+def q_suffix_columns(spark, sf_dir):
+    """P5: one retailer's rows for a comparison beside others."""
+    rows = Stages(spark, sf_dir).std.filter(F.col("retailer") == "africa").select("product_id", "product_name", "volume_unit").distinct()
+    return suffix_columns(rows, "africa", keep=["product_id"])
+
+
+def q_strip_suffix(spark, sf_dir):
+    """The standard levels under the plain names."""
+    return strip_suffix(Stages(spark, sf_dir).pmap.select("retailer", *PRODUCT_STANDARDS).distinct(), "standard")
+
+
 # ---------------------------------------------------------------- scalar cleaning
 
+def q_row_counts(spark, sf_dir):
+    """C10, C11 over the native levels of each line."""
+    levels = ["level_1", "level_2", "level_3", "product_id"]
+    return Stages(spark, sf_dir).feed.groupBy("retailer", null_count(levels).alias("n_null"), distinct_non_null_count([*levels, "level_1"]).alias("n_distinct")).count()
+
+
 def q_strip_whitespace(spark, sf_dir):
     feed = Stages(spark, sf_dir).feed
     return strip_columns(feed.select("retailer", "product_code", "level_1"), ["level_1"])
@@ -287,6 +355,12 @@ def q_prepare_customer_map(spark, sf_dir):
     return Stages(spark, sf_dir).cmap
 
 
+def q_prepare_product_map_no_strip(spark, sf_dir):
+    """The oldest model's preparation."""
+    model = MODELS[1]
+    return prepare_product_map(Stages(spark, sf_dir).fx.product_map, retailers=RETAILERS, standards=model.standards, strip=model.strip_map)
+
+
 def q_map_products(spark, sf_dir):
     s = Stages(spark, sf_dir)
     return map_products(s.std, s.pmap).select("retailer", "product_id", "product_code", *PRODUCT_LEVELS,
@@ -346,6 +420,22 @@ def q_kpis_without_id(spark, sf_dir):
     return compute_kpis(no_id, KPI_LEVEL_COLS[1], amount_scale=AMOUNT_SCALE)
 
 
+def q_kpis_ordered(spark, sf_dir):
+    """O1: the rows of a report with their places in its order."""
+    kpis = compute_kpis(Stages(spark, sf_dir).silver, KPI_LEVEL_COLS[2], amount_scale=AMOUNT_SCALE)
+    return ordered_positions(kpis, ["retailer", *KPI_LEVEL_COLS[2]])
+
+
+# What each test feed's amounts are
+TURNOVER_TYPES = dict(zip(RETAILERS, ["net", "brut", "HT"]))
+TYPED_FEEDS = [replace(f, turnover_type=TURNOVER_TYPES.get(f.name, f.turnover_type)) for f in TEST_FEEDS]
+
+
+def q_kpis_turnover_type(spark, sf_dir):
+    kpis = compute_kpis(Stages(spark, sf_dir).silver, KPI_LEVEL_COLS[1], amount_scale=AMOUNT_SCALE)
+    return with_feed_metadata(kpis, TYPED_FEEDS)
+
+
 LATTICE = kpi_grains(4)
 LATTICE_MODEL3 = kpi_grains(4, ["", "Dep"])
 
@@ -461,6 +551,12 @@ def q_unit_inconsistency(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "csv_scan": q_csv_scan,
+    "tsv_scan": q_tsv_scan,
+    "cp1252_scan": q_cp1252_scan,
+    "folder_scan": q_folder_scan,
+    "feed_drop": q_feed_drop,
+    "csv_sink": q_csv_sink,
     "feed_rename": q_feed_rename,
     "bronze_feeds": q_bronze_feeds,
     "feed_assembly": q_feed_assembly,
@@ -469,16 +565,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gtin_explode": q_gtin_explode,
     "period_split": q_period_split,
     "placeholder_null": q_placeholder_null,
+    "suffix_columns": q_suffix_columns,
+    "strip_suffix": q_strip_suffix,
     "strip_whitespace": q_strip_whitespace,
     "fill_empty": q_fill_empty,
     "amount_parse": q_amount_parse,
     "department_clean": q_department_clean,
     "char_repair": q_char_repair,
+    "row_counts": q_row_counts,
     "valid_product_filter": q_valid_product_filter,
     "classification_path": q_classification_path,
     "standardize_feed": q_standardize_feed,
     "prepare_product_map": q_prepare_product_map,
     "prepare_customer_map": q_prepare_customer_map,
+    "prepare_product_map_no_strip": q_prepare_product_map_no_strip,
     "map_products": q_map_products,
     "map_customers": q_map_customers,
     "silver": q_silver,
@@ -493,6 +593,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpis_l3": _kpis(3),
     "kpis_l4": _kpis(4),
     "kpis_without_id": q_kpis_without_id,
+    "kpis_ordered": q_kpis_ordered,
+    "kpis_turnover_type": q_kpis_turnover_type,
     "kpi_lattice": q_kpi_lattice,
     "kpi_lattice_model3": q_kpi_lattice_model3,
     "market_share_l1": _share("market_share_l1"),

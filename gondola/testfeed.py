@@ -97,6 +97,30 @@ SELECT DISTINCT retailer AS ENSEIGNE, c_mktsegment AS segment_1,
 FROM {base} WHERE o_orderpriority <> '5-LOW'
 """
 
+# What the two maps need of BASE_SQL: the parts and the kinds of order that each
+# retailer sells.  Every line has its part, order and customer, so the joins that
+# these leave out would drop nothing; the fact table is reduced to pairs of keys
+# before any join.
+PRODUCT_BASE_SQL = """
+SELECT lower(replace(r_name, ' ', '_')) AS retailer, p.p_name, p.p_brand, p.p_type, p.p_size
+FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {lineitem}) l
+JOIN {part} p ON l.l_partkey = p.p_partkey
+JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+JOIN {region} r ON n.n_regionkey = r.r_regionkey
+"""
+
+CUSTOMER_BASE_SQL = """
+SELECT l.retailer, o.o_orderpriority, o.o_orderstatus, c.c_mktsegment
+FROM (SELECT DISTINCT lower(replace(r_name, ' ', '_')) AS retailer, l_orderkey
+      FROM {lineitem} l
+      JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+      JOIN {nation} n ON s.s_nationkey = n.n_nationkey
+      JOIN {region} r ON n.n_regionkey = r.r_regionkey) l
+JOIN {orders} o ON l.l_orderkey = o.o_orderkey
+JOIN {customer} c ON o.o_custkey = c.c_custkey
+"""
+
 # The five test retailers: middle_east has no product ids, asia gives a zip
 # code instead of a department, africa gets a constant unit column.
 TEST_FEEDS = [
@@ -131,10 +155,9 @@ class FixtureFeed:
         # The fact table is hash-partitioned on the orders key: a file with a
         # single row group would otherwise be read (and joined, and cleaned)
         # by one task, and at scale this is the partitioning the sort-merge
-        # join with ``orders`` needs anyway.  The three views below share the
-        # exchange, so the table is read once per query.
-        self.tables["lineitem"] = self.tables["lineitem"].repartition("l_orderkey")
-        self.base = spark.sql(BASE_SQL, **self.tables)
+        # join with ``orders`` needs anyway.  The maps read two columns of it
+        # each, reduced to distinct pairs where they are read.
+        self.base = spark.sql(BASE_SQL, **{**self.tables, "lineitem": self.tables["lineitem"].repartition("l_orderkey")})
 
     @property
     def feed(self) -> DataFrame:
@@ -142,8 +165,10 @@ class FixtureFeed:
 
     @property
     def product_map(self) -> DataFrame:
-        return self.spark.sql(PRODUCT_MAP_SQL, base=self.base)
+        base = self.spark.sql(PRODUCT_BASE_SQL, **{t: self.tables[t] for t in ("lineitem", "part", "supplier", "nation", "region")})
+        return self.spark.sql(PRODUCT_MAP_SQL, base=base)
 
     @property
     def customer_map(self) -> DataFrame:
-        return self.spark.sql(CUSTOMER_MAP_SQL, base=self.base)
+        base = self.spark.sql(CUSTOMER_BASE_SQL, **{t: self.tables[t] for t in DRIVER_TABLES if t != "part"})
+        return self.spark.sql(CUSTOMER_MAP_SQL, base=base)

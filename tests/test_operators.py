@@ -3,13 +3,14 @@
 import itertools
 import math
 import random
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from gondola.config import AMOUNT_SCALE, CUSTOMER_SEGMENTS, PRODUCT_LEVELS, FeedSpec
+from gondola.config import AMOUNT_SCALE, CUSTOMER_SEGMENTS, PRODUCT_LEVELS, PRODUCT_STANDARDS, FeedSpec
 from gondola.operators.extracts import any_row_per_key, unit_inconsistency, volume_turnover_signs
 from gondola.functions.agg import n_unique, sum_or_zero
-from gondola.operators.kpis import compute_kpis, incremental_sublists, kpi_grains, kpi_lattice, order_report
+from gondola.operators.kpis import Grain, compute_kpis, incremental_sublists, kpi_grains, kpi_lattice, lattice_columns, order_report, ordered_positions
 from gondola.operators.mapping import build_silver, map_products
 from gondola.operators.market_share import market_share, market_share_lattice
 from gondola.operators.misclassification import (
@@ -362,3 +363,52 @@ def test_union_feed_maps_renames_per_sheet(spark):
     out = union_feed_maps({"coup_de_pates": coup, "metro": metro}, list(FEEDS.values()))
     got = sorted((r.ENTREPRISE, r.level_1, r.level_1_standard) for r in out.collect())
     assert got == [("coup_de_pates", "F", "Std1"), ("metro", "SA1", "Std2")]
+
+
+def test_lines_without_a_key_are_spread_by_a_map_join(spark):
+    """With broadcast off, a third of the lines with a null level lie in many partitions; the result is the plain join's."""
+    feed = spark.range(3000).select(F.lit("a").alias("retailer"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("L"), F.col("id") % 7)).alias("level_1"),
+                                    F.col("id").alias("line"))
+    mapping = spark.createDataFrame([("a", f"L{i}", f"S{i}") for i in range(5)] + [("a", None, "never")], "retailer string, level_1 string, level_1_standard string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = map_products(feed, mapping, levels=["level_1"], standards=["level_1_standard"])
+        assert got.columns == ["retailer", "level_1", "line", "level_1_standard"]
+        parts = {p for level, p in got.select("level_1", F.spark_partition_id()).collect() if level is None}
+        plain = feed.join(mapping, ["retailer", "level_1"], "left").select(got.columns)
+        assert len(parts) > 3 and got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_ordered_positions(spark):
+    rows = [(None, 3, "x"), ("b", None, "y"), ("a", 1, "z"), ("b", 2, "q"), ("a", 1, "z"), ("a", 1, None), ("", 5, "w")] * 40
+    df = spark.createDataFrame(rows, "k string, v int, t string").repartition(7)
+    for parts in (1, 3, 64):
+        got = sorted(ordered_positions(df, ["k", "v"], parts=parts).collect(), key=lambda r: r["position"])
+        assert [r["position"] for r in got] == list(range(len(rows)))
+        assert [tuple(r)[:3] for r in got] == sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+    assert ordered_positions(df.limit(0), ["k"]).count() == 0
+
+
+def test_lattice_counts_repeated_and_null_ids(spark):
+    """Every grain against a plain count of distinct ids and codes, nulls counted as a value."""
+    rng = random.Random(1)
+    pick = lambda *x: rng.choice(x)
+    rows = [(pick("r", "s"), pick("2023", "2024"), pick("01", None), pick("P", None), pick("H", "N"), "T", pick("A", "B", None), pick("a", "b"), pick("x", None),
+             "i", pick("1", "2", "3", None), pick("c", "d", None), float(rng.randrange(-5, 9))) for _ in range(300)]
+    dims = ["year", "department", "segment_1_standard", "segment_2_standard", "segment_3_standard", *PRODUCT_STANDARDS]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ["retailer", *dims, "product_id", "product_code"]) + ", turnover double")
+    for grains in (kpi_grains(4), kpi_grains(2, ["", "Dep"]), [Grain("one", ("year",), ("level_2_standard",)), Grain("two", ("department",), ("level_1_standard",))]):
+        used = lattice_columns(grains)
+        expected = {}
+        for g in grains:
+            cells = defaultdict(list)
+            for r in rows:
+                d = dict(zip(["retailer", *dims, "product_id", "product_code", "turnover"], r))
+                cells[(g.name, d["retailer"], *[d[c] if c in g.columns else None for c in used])].append(d)
+            expected |= {k: (sum(d["turnover"] for d in v), len({d["product_id"] for d in v}), len({d["product_code"] for d in v})) for k, v in cells.items()}
+        got = {tuple(r)[:-3]: tuple(r)[-3:] for r in kpi_lattice(df, grains).collect()}
+        assert got == expected

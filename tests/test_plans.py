@@ -37,10 +37,20 @@ def test_plan_shape(plan_of, name):
             assert re.search(r"Aggregate\(keys", lines[k + 1]), f"{name}: {line}"
 
 
-# only the feed view reads l_linenumber of the fact table; the maps do not
+# Scans of the fact table, all of them: the feed's, which alone reads l_linenumber,
+# and two columns for each map.
 @pytest.mark.parametrize("name", ["kpi_lattice", "kpi_lattice_model3", "market_share_lattice", "volume_units_by_level", "match_rate", "product_sample"])
 def test_the_feed_is_read_once(plan_of, name):
-    assert len(re.findall(r"FileScan parquet \[[^\]]*l_linenumber", plan_of(name))) == 1
+    scans = re.findall(r"FileScan parquet \[([^\]]*l_suppkey[^\]]*)\]", plan_of(name))
+    assert len([s for s in scans if "l_linenumber" in s]) == 1
+    assert all(s.count(",") == 1 for s in scans if "l_linenumber" not in s) and len(scans) <= 3
+
+
+def test_no_id_is_shuffled_once_per_grain(plan_of):
+    """Rows are emitted per grain only after the ids have been counted."""
+    plan = plan_of("kpi_lattice")
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert not [e for e in exchanges if "grain#" in e and "_value#" in e]
 
 
 def test_scan_reads_only_needed_columns(plan_of):
