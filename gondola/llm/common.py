@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -43,11 +44,15 @@ def ship(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints: the session's ``spark.checkpoint.dir``.
 
-    A private folder is made only where the session names none (tests).
+    A private folder is made only where the session names none and has no
+    executors on other machines (a ``local`` master, as in tests).
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ckpt-"))
     return sc.getCheckpointDir()
 
 
