@@ -23,12 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
-from .common import cut, map_batches, ship, text_bytes, without
+from .common import cut, map_batches, set_aside, ship, stored, text_bytes, without
 from .components import connected_components, local_forest
 
 SHINGLE = 3
@@ -225,34 +224,47 @@ def fingerprint_links(codes: DataFrame, distance: int = MAX_DISTANCE, block: int
     return rows.groupBy("block", "deal").applyInArrow(_block_links(distance), "u long, v long")
 
 
+def _labelled(marked: DataFrame, distance: int, best: Column) -> DataFrame:
+    """(fp, best, label): each fingerprint with the smallest ``best`` of its rows
+    and the label of its component."""
+    groups = cut(marked.groupBy("fp").agg(F.min(best).alias("best")))
+    labels = connected_components(fingerprint_links(groups.select("fp"), distance))
+    return groups.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) per row of ``docs``; links join fingerprints
     that differ in at most ``distance`` bits.
 
     ``component_id`` is the smallest doc_id reachable.  A null or empty text
-    has fingerprint zero and links like any other.  Repeated rows come back
-    repeated.  Rows without doc_id take part in linking but cannot name a
-    component (null only if no row of the component has a doc_id).
+    has fingerprint zero and links like any other; a very long text is
+    fingerprinted whole.  Repeated rows come back repeated, and so do equal
+    fingerprints, which tie in everything.  Rows without doc_id take part in
+    linking but cannot name a component (null only if no row of the component has
+    a doc_id).  An empty table gives an empty one; other columns are not carried.
     """
     marked = cut(with_fingerprint(docs, k, ["doc_id"]))
-    groups = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    labels = connected_components(fingerprint_links(groups, distance))
-    rooted = groups.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    names = rooted.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    rooted = _labelled(marked, distance, F.col("doc_id"))
+    names = rooted.groupBy("label").agg(F.min("best").alias("component_id"))
     of = rooted.join(names, "label").select("fp", "component_id")
     return marked.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row of ``docs`` for each component: the one whose doc_id names it.
+    """One row of ``docs`` for each component, with its own columns: the one with
+    the smallest doc_id (null last), of several the earliest row.
 
-    Repeated rows of that doc_id are reduced to one (the smallest text).  Rows
-    without a doc_id cannot be named as copies and are kept.
+    Rows are told apart by a key of their own, so a component is never lost where
+    one doc_id stands on unlike texts, and copies without doc_id go like others.
+    Null and empty texts are copies of each other; an empty table gives an empty one.
     """
-    kept = near_duplicates(docs, k, distance).where("doc_id = component_id").select("doc_id").distinct()
-    ranked = docs.join(kept, "doc_id", "left_semi").withColumn(
-        "__copy", F.row_number().over(W.partitionBy("doc_id").orderBy(F.length("text"), "text")))
-    return ranked.where("__copy = 1").drop("__copy").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    rows, back = set_aside(docs, ["__row"])
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()))
+    marked = cut(with_fingerprint(rows.select("doc_id", "__row", "text"), k, ["doc_id", "__row"]))
+    rooted = _labelled(marked, distance, F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))
+    first = rooted.groupBy("label").agg(F.min("best").alias("best")).select(F.col("best.__row").alias("__row"))
+    copies = marked.select("__row").join(first, "__row", "left_anti")
+    return back(rows.join(copies, "__row", "left_anti"))
 
 
 # ---------------------------------------------------------------- query

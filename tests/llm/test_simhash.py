@@ -84,7 +84,25 @@ def test_nulls_copies_and_empty_tables(spark, make_docs):
 
 
 def test_one_document_of_each_group_stays(spark, make_docs):
-    docs = make_docs([(4, "a b c d"), (2, "a b c d"), (2, "a b c d"), (8, "entirely different words here"), (None, "x")]).withColumn("fp", F.lit("own"))
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert sorted(((r["doc_id"], r["fp"]) for r in kept.collect()), key=repr) == sorted([(2, "own"), (8, "own"), (None, "own")], key=repr)
+    """Rows, not ids, are kept or dropped: reused, null and repeated ids."""
+    docs = make_docs([(4, "a b c d"), (2, "a b c d"), (2, "a b c d"), (8, "entirely different words here"), (8, "nothing like the other text of that id"),
+                      (None, "x"), (None, "x"), (None, "a b c d"), (None, "only without id"), (1, ""), (0, None)]).withColumn("fp", F.lit("own"))
+    kept = simhash.keep_one(docs.withColumn("__ROW", F.lit(1)))
+    assert kept.columns == [*docs.columns, "__ROW"]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [(2, "a b c d"), (8, "entirely different words here"), (8, "nothing like the other text of that id"), (None, "x"), (None, "only without id"), (0, None)], key=repr)
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_kept_rows_against_brute_force(spark, make_docs, documents):
+    """One row of each component, its smallest id, on documents with ids taken away or used twice."""
+    rows = [(None if i % 5 == 0 else i // 2, t) for i, (_, t, *_) in enumerate(documents)] + [(3, documents[3][1]), (None, "q " * 12_000)]
+    comp = brute.components({i: brute.fingerprint(t) for i, (_, t) in enumerate(rows)})
+    best = {}
+    for i, (doc, _) in enumerate(rows):
+        best.setdefault(comp[i], []).append((doc is None, doc))
+    got = simhash.keep_one(make_docs(rows).repartition(3)).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted((n, d or 0) for n, d in (min(v, key=lambda x: (x[0], x[1] or 0)) for v in best.values()))
+    left = {i: brute.fingerprint(r["text"]) for i, r in enumerate(got)}
+    assert len(set(brute.components(left).values())) == len(left) == len(best)
+
