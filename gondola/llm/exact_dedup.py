@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut, map_batches, ship
+from .common import cut, map_batches, set_aside, ship, stored
 
 #: Counters of a Misra-Gries summary: it names every digest with more than
 #: 2 / (COUNTERS + 1) of all rows.
@@ -60,17 +60,10 @@ def misra_gries(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     return sums.where(F.col("digest").isNotNull() & (F.col("n") > total / (counters + 1))).select("digest", F.col("n").alias("at_least"))
 
 
-def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of ``docs``.
-
-    Of equal texts the row with the most code points in the original text
-    stays, then the smallest doc_id (null last).  Of repeated rows with the
-    same doc_id and text, which tie in everything, each shows keep_id as its
-    doc_id but only one is ``kept``.  Null texts are empty ones.
-    """
-    rows = cut(docs.select("doc_id", F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"),
-                           F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
-               .withColumn("__row", F.monotonically_increasing_id()))
+def _grouped(rows: DataFrame, counters: int) -> DataFrame:
+    """(__row, doc_id, keep_id, group_size, kept, text_sha256) from rows with a key ``__row``."""
+    rows = cut(rows.select("doc_id", F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"),
+                           F.coalesce(F.length("text"), F.lit(0)).alias("chars"), "__row"))
     hot = misra_gries(rows.select("digest"), counters).select("digest")
 
     # verified winners: exact counts of the candidates, combined map-side
@@ -84,14 +77,30 @@ def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     shuffled = rest.select("*", F.count("*").over(whole).alias("group_size"), F.first("doc_id").over(whole).alias("keep_id"),
                            (F.row_number().over(w) == 1).alias("kept"))
-    columns = ["doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")]
+    columns = ["__row", "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")]
     return settled.select(columns).unionByName(shuffled.select(columns))
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` (doc_id must be unique among them), own columns."""
-    kept = exact_groups(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+def exact_groups(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of ``docs``.
+
+    Of equal texts the row with the most code points in the original text
+    stays, then the smallest doc_id (null last).  Of repeated rows with the
+    same doc_id and text, which tie in everything, each shows keep_id as its
+    doc_id but only one is ``kept``.  Null texts are empty ones; very long texts
+    are compared whole; an empty table gives an empty one; other columns are not
+    carried, so their names cannot clash.
+    """
+    return _grouped(docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), counters).drop("__row")
+
+
+def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
+    """The kept rows of ``docs``, own columns.  Rows are told apart by a key of
+    their own, so null, reused and repeated ids lose no text and leave no copy."""
+    rows, back = set_aside(docs, ["__row"])
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()))
+    copies = _grouped(rows, counters).where("NOT kept").select("__row")
+    return back(rows.join(copies, "__row", "left_anti"))
 
 
 # ---------------------------------------------------------------- query

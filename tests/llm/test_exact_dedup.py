@@ -53,3 +53,11 @@ def test_dropping_copies_keeps_the_columns(spark, make_docs):
     kept = exact_dedup.drop_copies(make_docs([(1, "a b"), (2, "ab"), (3, "c")]))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_rows_are_dropped_not_ids(spark, make_docs):
+    docs = make_docs([(1, "a b"), (1, "ab"), (1, "other"), (1, "other"), (None, "c"), (None, "c"), (None, "unique"), (2, None), (3, " ")]).withColumn("__row", F.lit("own"))
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(1, "a b"), (1, "other"), (None, "c"), (None, "unique"), (3, " ")], key=repr)
+    assert exact_dedup.drop_copies(make_docs([])).count() == 0
