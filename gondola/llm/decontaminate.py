@@ -184,7 +184,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     Every document row comes back once, repeated rows too.  A null or empty
     text has no words and no hits.  Benchmark items without words match
     nothing; a null item id counts as ''; an empty benchmark hits nothing.
-    Incoming columns named like the added ones are replaced; all others pass.
+    An empty table of documents gives an empty one; very long texts are searched
+    whole.  Incoming columns named like the added ones are replaced; all others pass.
     """
     ship(docs.sparkSession)
     docs = without(docs, _ADDED)
@@ -197,7 +198,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("hit_spans", span)])
     out = docs
     for b in range(max(1, n_blocks)):
-        block = found.where(F.pmod(F.xxhash64("window"), F.lit(max(1, n_blocks))) == b)
+        # dealt by item too, so a window that many items share is in several blocks
+        block = found.where(F.pmod(F.xxhash64("window", "item"), F.lit(max(1, n_blocks))) == b)
         windows = _block(block.collect(), shingle)  # bounded by the block
         index = _prefix_index(windows, _corpus_counts(texts, windows)) if windows else {}
         match = _matcher(docs.sparkSession.sparkContext.broadcast(index), len(docs.columns), docs.columns.index("text"))

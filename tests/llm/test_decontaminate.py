@@ -75,3 +75,15 @@ def test_query_on_the_smallest_scale(spark, documents):
 def test_words(spark, text, words):
     bench = spark.createDataFrame([(1, text)], "item_id long, text string")
     assert decontaminate.benchmark_windows(bench).first()["window"] == " ".join(words)
+
+
+def test_a_window_that_many_items_share_is_dealt_over_blocks(spark, make_docs, monkeypatch):
+    """No block holds more than its share of a window's items; the result is whole."""
+    items = spark.range(100_000).select(F.col("id").alias("item_id"), F.lit(" ".join(WORDS[:13])).alias("text"))
+    sizes, block = [], decontaminate._block
+    monkeypatch.setattr(decontaminate, "_block", lambda rows, k: (sizes.append(len(rows)), block(rows, k))[1])
+    docs = make_docs([(1, " ".join(WORDS)), (2, " ".join(WORDS[:12])), (3, "x " * 10_000 + " ".join(WORDS[:13]))])
+    got = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, items, block_windows=30_000).collect()}
+    assert sum(sizes) == 100_000 and max(sizes) < 30_000
+    ids = sorted(str(i) for i in range(100_000))
+    assert [(d, got[d]["n_words"], got[d]["n_hit"], got[d]["items"] == ids) for d in (1, 2, 3)] == [(1, 40, 13, True), (2, 12, 0, False), (3, 10_013, 13, True)]
