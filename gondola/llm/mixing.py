@@ -78,7 +78,8 @@ def _source_key(c: Column) -> Column:
 
 def _ordered(docs: DataFrame, seed: str) -> DataFrame:
     """``docs`` with size, source key, order key and bucket."""
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("="), F.md5(F.col("text"))), F.lit(""))
+    key = F.md5(F.concat(F.lit(seed), named))
     return docs.select("*", word_count(F.col("text")).alias("size"), _source_key(F.col("source")).alias("__source"),
                        key.alias("__key")).withColumn("__bucket", F.substring("__key", 1, _BUCKET_DIGITS))
 
@@ -123,8 +124,8 @@ def mix(docs: DataFrame, schedule=rising_and_falling, max_epochs: int = MAX_EPOC
     the document's copies, a part of one counting as a copy.
 
     A null or empty text has no words and takes no part (0 copies); a null
-    source is a source of its own, the last; rows with the same doc_id share an
-    order key and are placed one after the other; an empty table gives an empty
+    source is a source of its own, the last; rows with the same doc_id, or without
+    one and with the same text, share an order key and are placed one after the other; an empty table gives an empty
     one.  Incoming columns named like the added ones are replaced.
     """
     docs = without(docs, _ADDED)
@@ -178,7 +179,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-                  md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+                  md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '=' || md5(text), '')) AS k FROM documents),
      s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                   row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source),
      w AS (SELECT *, CAST(rank % 3 + 1 AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS cap,

@@ -70,3 +70,12 @@ def test_training_order_holds_each_copy(spark, make_docs):
     assert [r["position"] for r in ordered] == sorted(r["position"] for r in ordered)
     assert mixing.mix(make_docs([])).collect() == []
     assert mixing.mix(make_docs([(1, None), (2, " ")])).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_rows_without_id_are_spread(spark):
+    """A source whose rows have no id is not one bucket; reruns agree."""
+    docs = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"))
+    sizes = [r["count"] for r in mixing._ordered(docs, "mix").groupBy("__bucket").count().collect()]
+    assert len(sizes) > 4000 and max(sizes) < 100
+    once, again = (sorted((r["text"], r["taken"], r["positions"]) for r in mixing.mix(d).collect()) for d in (docs.limit(500), docs.limit(500).repartition(5)))
+    assert once == again
