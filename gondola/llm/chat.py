@@ -88,15 +88,25 @@ def ranked_paths(messages: DataFrame, most: int | None = None) -> DataFrame:
     return steps.drop("score").join(ranked, ["tree", "leaf"])
 
 
-def format_trees(messages: DataFrame, most: int | None = None) -> DataFrame:
+def one_of_each(messages: DataFrame) -> DataFrame:
+    """One row for each (tree, msg): of repeated or contradicting rows the
+    smallest by parent, role, text and score (null first); without tree or msg none."""
+    rest = F.min(F.struct("parent", "role", "text", "score")).alias("m")
+    return messages.where("tree IS NOT NULL AND msg IS NOT NULL").groupBy("tree", "msg").agg(rest).select("tree", "msg", "m.*")
+
+
+def format_trees(messages: DataFrame, most: int | None = None, unique: bool = False) -> DataFrame:
     """(tree, leaf, rank, path_score, formatted, loss) from tree, msg, parent, role, text, score.
 
     ``loss`` lists the spans (first code point from 0, code points) of the
     assistant texts in ``formatted``.  Null roles, texts and scores count as
-    empty and zero; an empty table gives an empty one; other columns are not
-    carried.
+    empty and zero; repeated messages count once (``one_of_each``, left out if
+    ``unique`` says that there are none); branches of one score are ranked by
+    their leaf; very long texts stay whole; an empty table gives an empty one; other
+    columns are not carried.
     """
-    messages = cut(messages.select("tree", "msg", "parent", "role", "text", "score"))
+    messages = messages.select("tree", "msg", "parent", "role", "text", "score")
+    messages = cut(messages if unique else one_of_each(messages))
     steps = ranked_paths(messages, most).join(messages.select("tree", "msg", "role", "text"), ["tree", "msg"])
     # the best path that holds a message trains on it
     best = steps.groupBy("tree", "msg").agg(F.min("rank").alias("best"))
@@ -150,7 +160,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
-    done = format_trees(conversations_as_trees(given.unionByName(extra)))
+    done = format_trees(conversations_as_trees(given.unionByName(extra)), unique=True)  # numbered by rank
     back = done.select(F.nullif(F.substring("tree", 2, 40), F.lit("")).cast("long").alias("conv_id"), "formatted",
                        read_back(F.col("formatted")).alias("turns"), trained_text(F.col("formatted"), F.col("loss")).alias("trained"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))

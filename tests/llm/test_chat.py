@@ -73,3 +73,11 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark, node):
     plan = chat.query(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert f"{node}Eval" not in plan and f"MapIn{node}" not in plan
+
+
+def test_repeated_messages_count_once(spark):
+    rows = [("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 2, 1, "assistant", "a", 1.0), ("t", 2, 1, "assistant", "b", 0.5),
+            ("t", 3, 2, "user", "more", 0.0), ("t", 3, 2, "user", "more", 0.0), (None, 4, None, "user", "x", 0.0), ("t", None, 1, "user", "y", 0.0)]
+    once = [r for i, r in enumerate(rows) if i in (0, 1, 4)]
+    many, one = (chat.format_trees(spark.createDataFrame(x, TREE)).collect() for x in (rows, once))
+    assert many == one and len(one) == 1 and one[0]["formatted"].count("<|im_start|>") == 3
