@@ -29,7 +29,7 @@ from .common import map_batches, ship, without
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of the page.
-SILENT = frozenset("script style noscript template iframe object svg math canvas audio video title textarea select".split())
+SILENT = frozenset("script style noscript template iframe object svg annotation annotation-xml canvas audio video title textarea select".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol optgroup option p pre search section summary table tbody "
@@ -199,6 +199,8 @@ class _Page:
                 elif tag in ("td", "th"):
                     self._pieces.append((" ", False))
                 continue
+            if tag == "label" and not self._opened["form"]:
+                continue  # words of the text, as any inline element's
             if tag in SILENT and not m[3].endswith("/>"):
                 at = self._end_of(tag, source, at) or len(source)
                 continue
@@ -364,19 +366,28 @@ def main_text(source: str) -> str:
     own = np.array([chars[p] / count[p] * (0.5 + points[p] / count[p]) for p in paths])
     least = THRESHOLD * own[[under[b[0]] for b in blocks]].mean()
     untitled = not any(under[e] and page.tag[e] == "h1" for e, _, _ in blocks)
+    # links inside an article are part of it: menus are judged where no article is marked
+    whole = page.tag[content] in _CONTENT_TAGS
+    article = [0] * len(page.parent)  # outermost article or main element
+    for e in range(1, len(article)):
+        article[e] = article[page.parent[e]] or (e if page.tag[e] in _CONTENT_TAGS else 0)
     kept = []
-    for path, (element, text, _), ratio, menu in zip(paths, blocks, own, menus):
+    for path, (element, _, _), ratio, menu in zip(paths, blocks, own, menus):
         beside = ratio >= least and linked[path] <= chars[path] or untitled and page.tag[element] == "h1"
-        if (under[element] or beside) and not menu:
-            kept.append(text)
-    return "\n\n".join(kept)
+        kept.append(under[element] and (whole or article[element] > 0 or not menu) or beside and not menu)
+    # and an article of which a paragraph stays keeps its headings
+    stay = {article[b[0]] for b, k in zip(blocks, kept) if k and page.tag[b[0]] not in _HEADINGS} - {0}
+    kept = [k or page.tag[b[0]] in _HEADINGS and article[b[0]] in stay for b, k in zip(blocks, kept)]
+    return "\n\n".join(b[1] for b, k in zip(blocks, kept) if k)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with text (main text of the whole ``html``) and n_chars.
 
     Null and empty html give an empty text; markup that never closes is read to
-    its end; repeated rows come back repeated.  Incoming text and n_chars
+    its end; very long pages are read whole; repeated rows come back repeated; of
+    elements that hold equal weight the first is the content; an empty table gives
+    an empty one.  Incoming text and n_chars
     columns are replaced.
     """
     ship(pages.sparkSession)

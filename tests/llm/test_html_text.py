@@ -71,6 +71,19 @@ WHOLE = {
     "form with a title": (f'<body><div>{FIVE}</div><form><h1>Sign up</h1><p>Now, please.</p></form></body>', ALL),
     "everything in widgets": (f'<body><div class="logo">x</div><div class="widget"><h1>T</h1></div><div class="widget">{FIVE}</div></body>', f"T\n\n{ALL}"),
     "a widget beside the text": (f'<body><div>{FIVE}</div><div class="widget"><p>Recent, posts.</p></div><div class="widget-area"><p>Old, posts.</p></div></body>', ALL),
+    "a list of linked sources in an article": (
+        f'<article><h1>T</h1>{FIVE}<ul><li><a href="a">One</a></li><li><a href="b">Two</a></li><li><a href="c">Three</a></li></ul></article>',
+        f"T\n\n{ALL}\n\nOne\n\nTwo\n\nThree"),
+    "linked headlines in main": (
+        "<main>" + "".join(f'<h2><a href="{i}">Headline {i}</a></h2><p>{LONG}</p>' for i in range(4)) + '</main><nav><a href="x">Home</a></nav>',
+        "\n\n".join(f"Headline {i}\n\n{LONG}" for i in range(4))),
+    "a menu beside the article": (
+        f'<body><div><p><a href="a">One</a></p><p><a href="b">Two</a></p><p><a href="c">Three</a></p></div><article>{FIVE}</article></body>', ALL),
+    "two articles": (
+        f"<body><article><h1>First</h1>{FIVE}{FIVE}</article><article><h1>Second</h1><h2>Part</h2><p>{LONG}</p></article></body>",
+        f"First\n\n{ALL}\n\n{ALL}\n\nSecond\n\nPart\n\n{LONG}"),
+    "labels outside a form": (f"<article>{FIVE}<p>Use the <label>red</label> one.</p><form><label>Name</label><input></form></article>", f"{ALL}\n\nUse the red one."),
+    "formulas": (f'<article>{FIVE}<p>The value <math><mi>x</mi><annotation encoding="tex">\\x</annotation></math> is 2.</p></article>', f"{ALL}\n\nThe value x is 2."),
     "beside the article": (f"<body><div>Slogan</div><h1>Title</h1><article>{FIVE}</article><div><p>{LONG}</p></div></body>", f"Title\n\n{ALL}\n\n{LONG}"),
 }
 
