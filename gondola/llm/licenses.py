@@ -7,9 +7,10 @@ texts meet exactly when they agree word for word after normalisation.  Whole
 texts are looked up, and each line of a text as a text of its own (licence
 notices are often one line of a longer document).
 
-The known digests are those of ``license_texts`` and of a table that the caller
-may add; a list of licences is small, so they are broadcast.
-Everything runs in DataFrame functions, row by row: nothing is shuffled.
+The known digests of ``license_texts``, a fixed list, are looked up row by row:
+nothing is shuffled.  Where the caller adds a table of licences, of any size, the
+digests of texts and lines are joined with all known ones by equality instead.
+Everything runs in DataFrame functions.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, without
+from .common import cut, lower_ascii, stored, without
 from .license_texts import FULL, NOTICES, SPELLINGS, TITLES, more_texts
 
 #: The short known texts: the full ones also under their titles.  ``more_texts`` has the long ones.
@@ -39,10 +40,14 @@ def _spelled(c: Column) -> Column:
     return reduce(lambda x, p: F.regexp_replace(x, rf"\b{p[0]}\b", p[1]), SPELLINGS, c)
 
 
+def _lines(text: Column) -> Column:
+    """Lower-case lines of a text without its copyright lines."""
+    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), "\n"), lambda x: ~F.rlike(x, F.lit(COPYRIGHT_LINE)))
+
+
 def _plain(text: Column) -> Column:
     """Words of a text without its copyright lines."""
-    lines = F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), "\n"), lambda x: ~F.rlike(x, F.lit(COPYRIGHT_LINE)))
-    return _words(F.array_join(lines, " "))
+    return _words(F.array_join(_lines(text), " "))
 
 
 def canonical(text: Column) -> Column:
@@ -73,17 +78,20 @@ def scan(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """``docs`` with license (of the entire text, null if none), notices (sorted
     licences of its lines) and n_notices (lines that are a known text).
 
-    ``more`` (license, text) are licences and notices to know beside the fixed ones.
+    ``more`` (license, text) are licences and notices to know beside the fixed ones;
+    of two names for one text the smaller counts.
     Null and empty texts have no licence, nor has a text of copyright lines
-    alone; repeated rows come back repeated.  Incoming columns named like the
-    added ones are replaced.
+    alone; very long texts are hashed whole; repeated rows come back repeated; an
+    empty table gives an empty one.  Incoming columns named like the added ones are
+    replaced.
     """
     own = without(docs, ["license", "notices", "n_notices"])
-    known = known_digests(docs.sparkSession, more).collect()  # a row for each known text
+    if more is not None:
+        return _scan_joined(own, cut(known_digests(docs.sparkSession, more).select("digest", "license")))
+    known = known_digests(docs.sparkSession).collect()  # a row for each text of the fixed list
     starts = sorted({r["first"] for r in known})
     table = F.create_map(*[F.lit(x) for r in known for x in (r["digest"], r["license"])])
-    lines = F.filter(F.split(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), "\n"), lambda x: ~F.rlike(x, F.lit(COPYRIGHT_LINE)))
-    rows = docs.select(*[F.col(f"`{c}`") for c in own.columns], F.transform(lines, _words).alias("__lines"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in own.columns], F.transform(_lines(F.col("text")), _words).alias("__lines"))
     rows = (rows.withColumn("__digest", _digest(F.trim(F.array_join(F.filter("__lines", lambda x: x != ""), " ")), starts))
             .withColumn("__hits", F.filter(F.transform("__lines", lambda x: table[_digest(x, starts)]),
                                            lambda x: x.isNotNull())))
@@ -93,6 +101,22 @@ def scan(docs: DataFrame, more: DataFrame | None = None) -> DataFrame:
         F.size("__hits").cast("long").alias("n_notices"))
 
 
+def _scan_joined(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``scan`` by a join on digest; the planner broadcasts a small list."""
+    rows = stored(without(docs, ["__row"]).withColumn("__row", F.monotonically_increasing_id()))
+    lines = F.filter(F.transform(_lines(F.col("text")), _words), lambda x: x != "")
+    whole = F.struct(F.lit(True).alias("whole"), F.sha2(_spelled(F.trim(F.array_join(lines, " "))), 256).alias("digest"))
+    each = F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), F.sha2(_spelled(x), 256).alias("digest")))
+    digests = rows.select("__row", F.inline(F.concat(F.array(whole), each)))
+    line = F.when(~F.col("whole"), F.col("license"))
+    found = digests.join(known, "digest").groupBy("__row").agg(
+        F.min(F.when(F.col("whole"), F.col("license"))).alias("license"), F.sort_array(F.collect_set(line)).alias("notices"),
+        F.count(line).alias("n_notices"))
+    out = rows.join(found, "__row", "left").withColumns({
+        "notices": F.coalesce("notices", F.array().cast("array<string>")), "n_notices": F.coalesce("n_notices", F.lit(0).cast("long"))})
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns if c != "__row"], "license", "notices", "n_notices")
+
+
 # ---------------------------------------------------------------- query
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -120,7 +144,7 @@ def _sql_lines(c: str) -> str:
 
 SQL = f"""
 WITH k AS (SELECT sha256({_sql_spelled(_sql_words(f"array_to_string({_sql_lines('t')}, ' ')"))}) AS digest, min(license) AS license
-           FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}) AS v(license, t) GROUP BY 1),
+           FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN + more_texts())}) AS v(license, t) GROUP BY 1),
      d AS (SELECT row_number() OVER () AS r, doc_id, {_sql_lines('text')} AS lines FROM documents),
      w AS (SELECT r, doc_id, {_sql_words("array_to_string(lines, ' ')")} AS words FROM d),
      n AS (SELECT r, license FROM (SELECT r, sha256({_sql_spelled(_sql_words('line'))}) AS digest

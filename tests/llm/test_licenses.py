@@ -50,10 +50,22 @@ def test_long_licences_spdx_lines_and_a_table_of_more(spark, make_docs):
     assert got == {r[0]: r[2:] for r in rows} | {6: ("Own-1.0", 1)}
 
 
+def test_a_table_of_ten_thousand_more_licences(spark, make_docs):
+    """Joined by digest: no literal of the plan and nothing on the driver grows with the table."""
+    more = spark.range(10_000).select(F.concat(F.lit("L-"), "id").alias("license"), F.concat(F.lit("terms of licence number "), "id", F.lit(" are as follows")).alias("text"))
+    docs = make_docs([(i, f"Terms of License number {i} are as follows!") for i in range(0, 10_000, 500)]
+                     + [(-1, "x\nterms of licence number 7 are as follows\nterms of licence number 7 are as follows."), (-2, None), (-3, MIT), (-3, MIT)])
+    out = licenses.scan(docs.withColumn("__row", F.lit("own")), more)
+    assert len(out._jdf.queryExecution().analyzed().toString()) < 50_000
+    got = sorted((r["doc_id"], r["license"], r["notices"], r["n_notices"]) for r in out.collect())
+    assert got == sorted([(i, f"L-{i}", [f"L-{i}"], 1) for i in range(0, 10_000, 500)] + [(-1, None, ["L-7"], 2), (-2, None, [], 0)]
+                         + [(-3, "MIT", [], 0)] * 2, key=lambda r: r[0])
+
+
 @pytest.mark.parametrize("name", sorted(k for k in entry.oracle_sql() if k.startswith("op")))
 def test_queries_against_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "labels", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = entry.queries()[name](spark, SF)
     res = con.sql(entry.oracle_sql()[name])
