@@ -14,13 +14,15 @@ shard, and a group of equal texts is spread over all blocks.
 
 from __future__ import annotations
 
-from collections import deque
+from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import crc32, cut, without
+from gondola.sources.io import remove
+
+from .common import crc32, cut, stored, without
 
 SHARDS = 16
 #: Shards of the layout that the query's documents come from.
@@ -44,40 +46,87 @@ def even_capacities(total: int, shards: int) -> list[int]:
 def min_cost_flow(supply: dict[int, int], capacity: dict[int, int]) -> dict[tuple[int, int], int]:
     """Bytes from each old to each new shard; moves the fewest bytes.
 
-    Successive shortest augmenting paths over the residual graph of
-    source -> old shards -> new shards -> sink.  Capacities must cover the
-    supply.  The graph has a node for each shard, nothing for rows.
+    Bytes that stay go straight from an old shard to the new one of its number,
+    at no cost; all others pass one transit node, at cost one, so the graph has as
+    many edges as shards.  Primal-dual: shortest distances from the source give
+    node potentials, and every path of reduced cost zero is filled before the next
+    distances.  Capacities must cover the supply.
     """
     if sum(supply.values()) > sum(capacity.values()):
         raise ValueError("the new capacities cannot hold the old shards")
-    flow: dict[tuple[int, int], int] = {}
-    left, room = dict(supply), dict(capacity)
-    cost = lambda i, j: 0 if i == j else 1
-    while any(left.values()):
-        # cheapest way from an old shard with bytes left to a new one with room
-        best = {("old", i): (0, None) for i, b in left.items() if b}
-        queue = deque(best)
+    source, sink, transit = range(3)
+    old = {i: 3 + k for k, i in enumerate(supply)}
+    new = {j: 3 + len(old) + k for k, j in enumerate(capacity)}
+    n = 3 + len(old) + len(new)
+    to, room, cost, edges = [], [], [], [[] for _ in range(n)]
+
+    def edge(u: int, v: int, most: int, price: int) -> int:
+        for a, b, r, c in ((u, v, most, price), (v, u, 0, -price)):
+            edges[a].append(len(to))
+            to.append(b)
+            room.append(r)
+            cost.append(c)
+        return len(to) - 2
+
+    out = {i: edge(old[i], transit, b, 1) for i, b in supply.items()}
+    into = {j: edge(transit, new[j], b, 0) for j, b in capacity.items()}
+    home = {i: edge(old[i], new[i], b, 0) for i, b in supply.items() if i in new}
+    for i, b in supply.items():
+        edge(source, old[i], b, 0)
+    for j, b in capacity.items():
+        edge(new[j], sink, b, 0)
+    potential, left = [0] * n, sum(supply.values())
+    while left:
+        distance, queue = {source: 0}, [(0, source)]
         while queue:
-            kind, x = node = queue.popleft()
-            steps = ([(("new", j), cost(x, j)) for j in capacity] if kind == "old"
-                     else [(("old", i), -cost(i, x)) for i in supply if flow.get((i, x), 0)])
-            for to, c in steps:
-                if to not in best or best[node][0] + c < best[to][0]:
-                    best[to] = (best[node][0] + c, node)
-                    queue.append(to)
-        end = min((n for n in best if n[0] == "new" and room[n[1]]), key=lambda n: (best[n][0], n[1]))
-        path = [end]
-        while best[path[-1]][1] is not None:
-            path.append(best[path[-1]][1])
-        path.reverse()
-        backward = [(b[1], a[1]) for a, b in zip(path, path[1:]) if a[0] == "new"]
-        amount = min([left[path[0][1]], room[end[1]], *(flow[e] for e in backward)])
-        for a, b in zip(path, path[1:]):
-            edge, sign = ((a[1], b[1]), 1) if a[0] == "old" else ((b[1], a[1]), -1)
-            flow[edge] = flow.get(edge, 0) + sign * amount
-        left[path[0][1]] -= amount
-        room[end[1]] -= amount
-    return {e: f for e, f in flow.items() if f}
+            d, u = heappop(queue)
+            if d > distance[u]:
+                continue
+            for e in edges[u]:
+                step = d + cost[e] + potential[u] - potential[to[e]]
+                if room[e] and step < distance.get(to[e], step + 1):
+                    distance[to[e]] = step
+                    heappush(queue, (step, to[e]))
+        far = max(distance.values())
+        potential = [p + distance.get(u, far) for u, p in enumerate(potential)]
+        at, path, on_path = [0] * n, [], {source}
+        u = source
+        while True:
+            if u == sink:
+                amount = min(room[e] for e in path)
+                for e in path:
+                    room[e] -= amount
+                    room[e ^ 1] += amount
+                left -= amount
+                u, path, on_path = source, [], {source}
+                continue
+            while at[u] < len(edges[u]):
+                e = edges[u][at[u]]
+                if room[e] and to[e] not in on_path and cost[e] + potential[u] == potential[to[e]]:
+                    break
+                at[u] += 1
+            else:  # no way on
+                if u == source:
+                    break
+                on_path.discard(u)
+                u = to[path.pop() ^ 1]
+                at[u] += 1
+                continue
+            path.append(e)
+            u = to[e]
+            on_path.add(u)
+    sent = lambda e: room[e ^ 1]
+    flow = {(i, i): sent(e) for i, e in home.items() if sent(e)}
+    takers = [[j, sent(e)] for j, e in into.items() if sent(e)]
+    for i, e in out.items():  # what leaves goes to the takers in turn
+        rest = sent(e)
+        while rest:
+            j, wants = takers[-1]
+            flow[i, j] = flow.get((i, j), 0) + min(rest, wants)
+            rest, takers[-1][1] = rest - min(rest, wants), wants - min(rest, wants)
+            if not takers[-1][1]:
+                takers.pop()
+    return flow
 
 
 def _ranges(supply: dict[int, int], flow: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int]]:
@@ -138,12 +187,19 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = SHARDS, capacities
 def rewrite_affected(resharded: DataFrame, folder: str) -> list[int]:
     """Write the shards that give or receive rows under ``folder``/shard=N.
 
-    Returns their numbers; every other shard's files stay as they are.
+    Returns their numbers; every other shard's files stay as they are.  ``folder``
+    may hold the layout that ``resharded`` was read from: the affected rows are
+    stored first, then each shard's files are replaced, and a shard that gave all
+    its rows away loses its folder.  No affected shard, no write.
     """
     moves = resharded.where("old_shard != shard").select("old_shard", "shard").distinct().collect()  # pairs of shards
     affected = sorted({s for r in moves for s in r})
-    (resharded.where(F.col("shard").isin(affected)).repartition("shard", F.floor(F.col("slot") / 1_000_000))
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder))
+    if affected:
+        rows = stored(resharded.where(F.col("shard").isin(affected)))
+        (rows.repartition("shard", F.floor(F.col("slot") / 1_000_000)).sortWithinPartitions("shard", "slot")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder))
+        for shard in set(affected) - {r["shard"] for r in rows.select("shard").distinct().collect()}:
+            remove(resharded.sparkSession, f"{folder}/shard={shard}")
     return affected
 
 

@@ -1,5 +1,7 @@
 import itertools
 import os
+import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -79,3 +81,38 @@ def test_only_affected_shards_are_rewritten(spark, make_docs, tmp_dir):
     assert sorted(d for d in os.listdir(f"{tmp_dir}/new") if d.startswith("shard=")) == ["shard=1", "shard=3"]
     back = spark.read.parquet(f"{tmp_dir}/new")
     assert back.groupBy("shard").count().orderBy("shard").collect() == [(1, 15), (3, 35)]
+
+
+def test_flow_of_many_shards_is_fast():
+    """A thousand shards to twelve hundred; moved bytes are the least possible."""
+    rng = random.Random(2)
+    supply = {i: rng.randrange(10**9) for i in range(1000)}
+    capacity = dict(enumerate(sharding.even_capacities(sum(supply.values()), 1200)))
+    began = time.time()
+    flow = sharding.min_cost_flow(supply, capacity)
+    assert time.time() - began < 60
+    assert all(sum(f for (i, _), f in flow.items() if i == k) == b for k, b in list(supply.items())[:50])
+    assert sum(flow.values()) == sum(supply.values())
+    got = defaultdict(int)
+    for (_, j), f in flow.items():
+        got[j] += f
+    assert all(got[j] <= capacity[j] for j in got)
+    assert sum(f for (i, j), f in flow.items() if i != j) == sum(max(0, b - capacity.get(i, 0)) for i, b in supply.items())
+
+
+def test_an_existing_layout_is_rewritten_in_place(spark, make_docs, tmp_dir):
+    """Only affected shards change; a shard that gives all its rows away is gone; doing it again changes nothing."""
+    old = make_docs([(i, "x" * 10) for i in range(40)]).withColumn("shard", (F.col("doc_id") % 4).cast("int"))
+    old.write.partitionBy("shard").parquet(f"{tmp_dir}/layout")
+    untouched = {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(f"{tmp_dir}/layout/shard=0") for f in names}
+    docs = spark.read.parquet(f"{tmp_dir}/layout").withColumnRenamed("shard", "was")
+    size = 11 * 10
+    out = sharding.reshard(docs, F.col("was"), 3, [size, 2 * size, size]).drop("was")
+    assert sharding.rewrite_affected(out, f"{tmp_dir}/layout") == [1, 3]
+    now = spark.read.parquet(f"{tmp_dir}/layout")
+    assert {r["shard"]: r["n"] for r in now.groupBy("shard").agg(F.count("*").alias("n")).collect()} == {0: 10, 1: 20, 2: 10}
+    assert sorted(r["doc_id"] for r in now.collect()) == list(range(40))
+    assert not os.path.exists(f"{tmp_dir}/layout/shard=3")
+    assert untouched == {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(f"{tmp_dir}/layout/shard=0") for f in names}
+    again = sharding.reshard(now.select("doc_id", "text", F.col("shard").alias("was")), F.col("was"), 3, [size, 2 * size, size])
+    assert sharding.rewrite_affected(again, f"{tmp_dir}/layout") == []
