@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -93,3 +94,36 @@ def test_nulls_repeats_clashes_and_empty_tables(spark, make_docs):
     assert class_lm.score(make_docs([]), make_docs([])).collect() == []
     alone = class_lm.score(make_docs([(1, "a b")]), make_docs([])).first()
     assert (alone["n_tokens"], alone["n_known"], alone["train_tokens"]) == (3, 0, 0) and math.isfinite(alone["score"])
+
+
+def test_class_score_against_plain_python(spark, documents, make_docs, monkeypatch):
+    """P(class | class before) and P(word | class), counted in plain Python from the classes of the words."""
+    monkeypatch.setattr(class_lm, "CLUSTERED", 60)
+    rows = [(d, t) for d, t, *_ in documents][:120] + [(-1, None), (-2, "neverseen xyzzyqq the")]
+    docs = make_docs(rows)
+    training = docs.where("doc_id >= 0 AND doc_id % 3 > 0")
+    counts = class_lm.word_counts(training.select("text"))
+    texts = [brute.spaced_words(t) for d, t in rows if d >= 0 and d % 3 > 0]
+    m = class_lm.train(training.select("text"), counts, len(texts))
+    named = {bytes(w.as_py()).decode(): int(c) for w, c in zip(m.frequent, m.frequent_class)}
+
+    def class_of(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return named[word] if word in named else int(m.ending_class[class_lm._endings(data, np.array([0]), np.array([len(data)]))[0]])
+
+    count = Counter(w for t in texts for w in t)
+    grid = np.zeros((class_lm.CLASSES, class_lm.CLASSES))
+    for t in texts:
+        chain = [0, *map(class_of, t), 0]
+        for a, b in zip(chain, chain[1:]):
+            grid[a, b] += 1
+    tokens = grid.sum(axis=0)
+    distinct = Counter(class_of(w) for w in count)
+    share = (tokens + 1) / (tokens.sum() + class_lm.CLASSES)
+    got = {r["doc_id"]: r["score"] for r in class_lm.score(docs, training).collect()}
+    for d, t in rows:
+        words = brute.spaced_words(t)
+        chain = [0, *map(class_of, words), 0]
+        score = sum(math.log10((grid[a, b] + class_lm.SMOOTHING * share[b]) / (grid[a].sum() + class_lm.SMOOTHING)) for a, b in zip(chain, chain[1:]))
+        score += sum(math.log10((count[w] + 1) / (tokens[class_of(w)] + distinct[class_of(w)] + 1)) for w in words)
+        assert got[d] == pytest.approx(score, rel=1e-9), d

@@ -1,3 +1,7 @@
+import math
+import random
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +73,80 @@ def test_query_covers_documents_and_pages(spark):
     truth = {**docs, **pages}
     assert len(rows) == len(truth)
     assert sum(r["language"] == truth[r["doc_id"]] for r in rows) >= 0.99 * len(rows)
+
+
+def plain_posteriors(rows, model):
+    """(language, probability, kept) of rows (text, host, domain, declared, suffix), step by step in plain Python."""
+    n_langs, size = len(model.languages), 1 << langid.TABLE_BITS
+    seen = []
+    for text, *_ in rows:
+        letters = [b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in
+                   (b + 32 if 0x41 <= b <= 0x5A else b for b in (text or "").encode())]
+        padded = [0x20, *letters, 0x20]
+        found = [((padded[i - 1] << 16 | padded[i] << 8 | padded[i + 1]) * 2654435761 % 2**32) >> (32 - langid.TABLE_BITS)
+                 for i in range(1, len(padded) - 1) if padded[i] != 0x20]
+        assert all(x < size for x in found)
+        mean = [sum(float(model.table[k][x]) for x in found) / len(found) if found else 0.0 for k in range(n_langs)]
+        seen.append((mean, len(found), mean.index(max(mean)) if found else None))
+    keyed = [(host or "", domain if domain is not None else host or "", declared, suffix) for _, host, domain, declared, suffix in rows]
+    tables = [defaultdict(lambda: [0.0] * n_langs) for _ in range(4)]
+    every = [0.0] * n_langs
+    for (_, _, first), keys in zip(seen, keyed):
+        if first is not None:
+            every[first] += 1
+            for table, key in zip(tables, keys):
+                if key is not None:
+                    table[key][first] += 1
+    out = []
+    for (mean, n, first), keys in zip(seen, keyed):
+        less = lambda c: [max(0.0, x - (k == first)) for k, x in enumerate(c)]  # noqa: B023, E731
+        whole = less(every)
+        hosts, domains, declared, suffix = (less(t.get(k, [0.0] * n_langs)) if k is not None else None for t, k in zip(tables, keys))
+        prior = [(x + 1.0) / (sum(whole) + n_langs) for x in whole]
+        for counts in (domains, hosts):
+            prior = [(c + langid.HOST_WEIGHT * p) / (sum(counts) + langid.HOST_WEIGHT) for c, p in zip(counts, prior)]
+        score = [min(n, langid.EFFECTIVE_TRIGRAMS) * m + math.log(p) for m, p in zip(mean, prior)]
+        for label in (declared, suffix):
+            if label is not None:
+                share = (sum(label) + 1.0) / (sum(whole) + n_langs)
+                score = [s + math.log((x + langid.LABEL_WEIGHT * share) / (a + langid.LABEL_WEIGHT)) for s, x, a in zip(score, label, whole)]
+        top = max(score)
+        probability = 1.0 / sum(math.exp(s - top) for s in score) if n else 0.0
+        kept = n > 0 and max(mean) > -langid.TABLE_BITS * math.log(2) - langid.BACKGROUND_MARGIN and probability >= langid.MIN_PROBABILITY
+        out.append((model.languages[score.index(top)] if kept else "und", probability, kept))
+    return out
+
+
+def test_posteriors_against_plain_python(spark, model):
+    """Every term of the fusion: text, markup, suffix, and host priors smoothed by domain and whole."""
+    rng = random.Random(9)
+    docs = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]
+    rows = []
+    for i in range(250):
+        text = rng.choice([rng.choice(docs)[:rng.choice([0, 3, 9, 25, 300])], "la", "de en", None, "", "12 !", "漢字 仮名", "A en de la"])
+        domain = rng.choice(["x.org", "y.net", "z.com"])
+        host = rng.choice([None, domain, f"a.{domain}", f"b{rng.randrange(9)}.{domain}"])
+        rows.append((text, host, rng.choice([domain, domain, None]), rng.choice([None, "de", "fr", "es", "xx"]), rng.choice([None, "org", "net", "com"])))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, text string, host string, domain string, declared string, suffix string")
+    got = {r["id"]: r for r in langid.identify(df, model, *[F.col(c) for c in ("text", "host", "domain", "declared", "suffix")]).collect()}
+    want = plain_posteriors(rows, model)
+    assert len({w[0] for w in want}) >= 4 and any(w[2] for w in want) and not all(w[2] for w in want)
+    for i, (language, probability, kept) in enumerate(want):
+        assert (got[i]["language"], got[i]["kept"]) == (language, kept), rows[i]
+        assert got[i]["probability"] == pytest.approx(probability, rel=1e-6, abs=1e-12)
+
+
+def test_query_against_plain_python(spark):
+    """The registered query's rows: documents and pages together, model trained on all documents."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(d["doc_id"], d["text"], f"source {d['source'] or ''}", None, None, None) for d in docs.collect()]
+    host = langid.host_of(F.col("url"))
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select(
+        (-1 - F.col("page_id")), langid.visible_text(F.col("html")), host, langid.domain_of(host), langid.declared_language(F.col("html")), langid.suffix_of(host))
+    rows += [tuple(r) for r in pages.collect()]
+    want = plain_posteriors([r[1:] for r in rows], langid.train(docs))
+    got = {r["doc_id"]: r for r in langid.query(spark, SF).collect()}
+    assert len(got) == len(rows)
+    for (doc, *_), (language, probability, kept) in zip(rows, want):
+        assert (got[doc]["language"], got[doc]["kept"]) == (language, kept)
+        assert got[doc]["probability"] == pytest.approx(probability, rel=1e-6, abs=1e-12)
