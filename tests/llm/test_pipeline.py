@@ -14,7 +14,7 @@ def test_stages_and_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "SimHash near-dedup", "benchmark decontamination",
                                                      "mixing sources to target weights", "sharding"]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in entry.queries() if q.startswith("op")}
 
 
 def test_run_against_brute_force(spark, documents):
