@@ -6,13 +6,19 @@ of the class bigrams most, until no unit moves.  A text's probability is the
 product over its tokens of P(class | class before) and P(word | class), with
 smoothed transitions and emissions; its perplexity follows.
 
-Counts come from the whole training corpus.  The clustering's units are the
-most frequent words (at most ``CLUSTERED``), and for all other words their
-ending, hashed to ``ENDINGS`` units, so every word has a class and the bigram
-table that the clustering reads has a fixed bound.  Emissions always use the
-word's own count.  For scoring, the counts of the ``FREQUENT`` most frequent
-words are sent to the tasks; the counts of all other words are joined by a
-shuffle.
+Counts come from the whole training corpus, and the exchange has two levels.
+First units are clustered on the driver: the most frequent words (at most
+``CLUSTERED``), and for all other words their ending, hashed to ``ENDINGS``
+units, so the bigram table has a fixed bound.  Then the next words by frequency,
+up to ``EXCHANGED``, are exchanged one by one, from the class of their ending:
+a grouped aggregation counts the classes before and after each word, and tasks
+move each word by the same gain against the shared class table, pass after
+pass, as long as the likelihood of the whole corpus rises.  Words beyond have
+their ending's class.
+
+Emissions always use the word's own count.  For scoring, the counts of the
+``FREQUENT`` most frequent words are sent to the tasks; the counts of all other
+words are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -35,6 +41,9 @@ ENDINGS = 256
 CLASSES = 48
 #: Most passes of the exchange over all units.
 PASSES = 30
+#: Most words that have a class of their own, and most passes over them.
+EXCHANGED = 1 << 18
+WORD_PASSES = 2
 #: Most words whose counts are sent to the tasks.
 FREQUENT = 1 << 18
 #: Pseudo-count of the class shares in a transition.
@@ -98,22 +107,25 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return map_batches(texts, count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, most: int) -> pa.Table:
-    """(word, n) of the most frequent words, at most ``most`` and all of a level
-    of frequency or none (levels are sixteenths of a doubling)."""
+def frequent_words(counts: DataFrame, *most: int) -> tuple[pa.Table, list[int]]:
+    """(word, n) of the most frequent words, and for each bound in ``most`` how many
+    of them it takes: at most that many, and all of a level of frequency or none
+    (levels are sixteenths of a doubling).  The table holds the largest bound's."""
     level = F.floor(F.log2("n") * 16)
     sizes = counts.groupBy(level.alias("level")).count().collect()  # at most 16 * 64 levels
-    total, lowest = 0, None
-    for r in sorted(sizes, key=lambda r: -r["level"]):
-        total += r["count"]
-        if total > most:
-            break
-        lowest = r["level"]
-    if lowest is None:
-        return pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
-    found = counts.where(level >= lowest).select("word", "n").toArrow()
+    sizes = sorted(((r["level"], r["count"]) for r in sizes), reverse=True)
+    sums = np.cumsum([n for _, n in sizes], dtype=np.int64)
+    whole = [int(np.searchsorted(sums, m, side="right")) for m in most]  # levels within the bound
+    taken = [int(sums[k - 1]) if k else 0 for k in whole]
+    if not any(taken):
+        return pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())}), taken
+    found = counts.where(level >= sizes[max(whole) - 1][0]).select("word", "n").toArrow()
     found = found.set_column(0, "word", found.column("word").cast(pa.large_binary())).combine_chunks()
-    return found.sort_by([("n", "descending"), ("word", "ascending")])
+    return found.sort_by([("n", "descending"), ("word", "ascending")]), taken
+
+
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_binary())
 
 
 def _units(words: _Words, known: pa.Array) -> np.ndarray:
@@ -155,6 +167,36 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
+def _taken_out(grid: np.ndarray, old: int, r: np.ndarray, l: np.ndarray, own: float) -> None:  # noqa: E741
+    """Takes a unit's bigrams out of the class table."""
+    grid[old] -= r
+    grid[:, old] -= l
+    grid[old, old] -= own
+
+
+def _gains(grid: np.ndarray, r: np.ndarray, l: np.ndarray, own: float) -> np.ndarray:  # noqa: E741
+    """What each class for a unit adds to the likelihood.
+
+    ``grid`` holds the class bigrams without the unit, ``r`` and ``l`` its
+    counts of classes after and before, ``own`` how often it follows itself.
+    """
+    base = _xlogx(grid)
+    rows, cols = _xlogx(grid + r) - base, _xlogx(grid + l[:, None]) - base
+    diagonal = np.arange(len(grid))
+    gain = rows.sum(axis=1) - rows[diagonal, diagonal] + cols.sum(axis=0) - cols[diagonal, diagonal]
+    d = grid[diagonal, diagonal]
+    gain += _xlogx(d + r + l + own) - _xlogx(d)
+    left, right = grid.sum(axis=1), grid.sum(axis=0)
+    gain -= _xlogx(left + r.sum() + own) - _xlogx(left) + _xlogx(right + l.sum() + own) - _xlogx(right)
+    gain[_END] = -np.inf
+    return gain
+
+
+def _best(gain: np.ndarray, old: int) -> int:
+    new = int(np.argmax(gain))
+    return int(old) if gain[new] <= gain[old] + 1e-9 * abs(gain[old]) else new
+
+
 def exchange_clusters(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
     """Class of each unit; the end (unit 0) keeps class 0 to itself."""
     n = len(bigrams)
@@ -176,21 +218,8 @@ def exchange_clusters(bigrams: np.ndarray, classes: int = CLASSES, passes: int =
             r, l = to_class[u].copy(), from_class[u].copy()  # noqa: E741
             r[old] -= own
             l[old] -= own
-            grid[old] -= r
-            grid[:, old] -= l
-            grid[old, old] -= own
-            base = _xlogx(grid)
-            rows, cols = _xlogx(grid + r) - base, _xlogx(grid + l[:, None]) - base
-            diagonal = np.arange(classes)
-            gain = rows.sum(axis=1) - rows[diagonal, diagonal] + cols.sum(axis=0) - cols[diagonal, diagonal]
-            d = grid[diagonal, diagonal]
-            gain += _xlogx(d + r + l + own) - _xlogx(d)
-            left, right = grid.sum(axis=1), grid.sum(axis=0)
-            gain -= _xlogx(left + r.sum() + own) - _xlogx(left) + _xlogx(right + l.sum() + own) - _xlogx(right)
-            gain[_END] = -np.inf
-            new = int(np.argmax(gain))
-            if gain[new] <= gain[old] + 1e-9 * abs(gain[old]):
-                new = int(old)
+            _taken_out(grid, old, r, l, own)
+            new = _best(_gains(grid, r, l, own), old)
             grid[new] += r
             grid[:, new] += l
             grid[new, new] += own
@@ -206,52 +235,179 @@ def exchange_clusters(bigrams: np.ndarray, classes: int = CLASSES, passes: int =
     return of
 
 
+# ---------------------------------------------------------------- exchange of single words
+
+class Classes:
+    """Class of every word: by name for the first words, by ending for all others."""
+
+    def __init__(self, words: pa.Array, of_word: np.ndarray, of_ending: np.ndarray):
+        self.words, self.of_word, self.of_ending = words, of_word, of_ending
+
+    def find(self, w: _Words) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's number (-1 without one) and class."""
+        at = _find(w.array, self.words)
+        by_ending = self.of_ending[w.endings()]
+        return at, np.where(at >= 0, self.of_word[np.maximum(at, 0)], by_ending) if len(self.of_word) else by_ending
+
+
+def class_bigrams(texts: DataFrame, classes: Classes) -> np.ndarray:
+    """Counts of successive classes over all texts."""
+    shared = texts.sparkSession.sparkContext.broadcast(classes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, np.int64)
+        for _, _, _, w in _texts(batches):
+            chain, _ = _chain(shared.value.find(w)[1], w.first)
+            before = np.concatenate([[_END], chain[:-1]]) if len(chain) else chain
+            total += np.bincount(before * CLASSES + chain, minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
+
+    grid = np.zeros(CLASSES * CLASSES)
+    for r in map_batches(texts, count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        grid[r["pair"]] = r["n"]  # a row for each pair of classes
+    return grid.reshape(CLASSES, CLASSES)
+
+
+def word_contexts(texts: DataFrame, classes: Classes, first: int) -> DataFrame:
+    """(word, cells) for the words numbered from ``first`` on; cells are (slot, n).
+
+    Slots are the classes after the word, then the classes before it, then the
+    word itself after itself.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(classes)
+    width = 2 * CLASSES + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                whole = pa.concat_tables(held).group_by("key").aggregate([("n", "sum")])
+                key = whole.column("key").to_numpy()
+                out = pa.table({"word": pa.array((key // width).astype(np.int32)), "slot": pa.array((key % width).astype(np.int32)),
+                                "n": whole.column("n_sum")})
+                yield from out.to_batches(max_chunksize=65_536)
+                held.clear()
+
+        for _, _, _, w in _texts(batches):
+            at, cls = shared.value.find(w)
+            chain, _ = _chain(cls, w.first)
+            ids = np.insert(at, w.first[1:], -1)
+            if len(ids) < 2:
+                continue
+            a, b, of_a, of_b = ids[:-1], ids[1:], chain[:-1], chain[1:]
+            same = (a == b) & (a >= first)
+            after, before = (a >= first) & ~same, (b >= first) & ~same
+            # the step's first word follows an end
+            head = np.array([ids[0] * width + CLASSES + _END] if ids[0] >= first else [], np.int64)
+            keys = np.concatenate([a[after] * width + of_b[after], b[before] * width + CLASSES + of_a[before], a[same] * width + 2 * CLASSES, head])
+            key, n = np.unique(keys, return_counts=True)
+            held.append(pa.table({"key": pa.array(key), "n": pa.array(n)}))
+            if sum(t.num_rows for t in held) > 1_000_000:
+                yield from flush()
+        yield from flush()
+
+    # tasks have combined their counts, so one shuffle by word serves both groupings
+    cells = map_batches(texts, count, "word int, slot int, n long").repartition("word").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    return cells.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("cells"))  # at most ``width`` each
+
+
+def _likelihood(grid: np.ndarray) -> float:
+    return _xlogx(grid).sum() - _xlogx(grid.sum(axis=0)).sum() - _xlogx(grid.sum(axis=1)).sum()
+
+
+def exchange_words(texts: DataFrame, classes: Classes, grid: np.ndarray, first: int, passes: int) -> tuple[Classes, np.ndarray]:
+    """``classes`` after exchange passes over the words numbered from ``first`` on, and
+    their class bigrams.  Words of a pass move at once; a pass that does not raise the
+    likelihood is left out and ends the exchange."""
+    spark = texts.sparkSession
+    for _ in range(passes if len(classes.words) > first else 0):
+        shared = spark.sparkContext.broadcast((grid, classes.of_word))
+
+        def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table, of_word = shared.value  # noqa: B023
+            for batch in batches:
+                words = batch.column(0).to_numpy()
+                cells = batch.column(1)
+                ends = cells.offsets.to_numpy() - cells.offsets[0].as_py()
+                slot, n = (x.to_numpy() for x in cells.flatten().flatten())
+                new = of_word[words].copy()
+                for k, u in enumerate(words.tolist()):
+                    v = np.zeros(2 * CLASSES + 1)
+                    v[slot[ends[k]:ends[k + 1]]] = n[ends[k]:ends[k + 1]]
+                    rest = table.copy()
+                    _taken_out(rest, of_word[u], v[:CLASSES], v[CLASSES:-1], v[-1])
+                    new[k] = _best(_gains(rest, v[:CLASSES], v[CLASSES:-1], v[-1]), of_word[u])
+                moved = new != of_word[words]
+                yield pa.RecordBatch.from_arrays([pa.array(words[moved]), pa.array(new[moved].astype(np.int32))], names=["word", "class"])
+
+        moves = map_batches(word_contexts(texts, classes, first), move, "word int, class int").toArrow()  # at most ``EXCHANGED`` rows
+        of_word = classes.of_word.copy()
+        of_word[moves.column("word").to_numpy()] = moves.column("class").to_numpy()
+        moved = Classes(classes.words, of_word, classes.of_ending)
+        table = class_bigrams(texts, moved) if moves.num_rows else grid
+        if _likelihood(table) <= _likelihood(grid):
+            break
+        classes, grid = moved, table
+    return classes, grid
+
+
 class ClassModel:
-    """What scoring needs; everything here has a fixed bound."""
+    """What scoring needs; everything here has a fixed bound.
 
-    def __init__(self, frequent: pa.Table, known: pa.Array, of_unit: np.ndarray, bigrams: np.ndarray, distinct: np.ndarray, n: int, v: int):
-        self.frequent, self.n, self.v = frequent.column("word").combine_chunks(), n, v
-        if isinstance(self.frequent, pa.ChunkedArray):
-            self.frequent = pa.concat_arrays(self.frequent.chunks) if self.frequent.num_chunks else pa.array([], pa.large_binary())
+    ``frequent`` are the words sent to the tasks, all with their class, the first
+    ``n_counted`` with their count.
+    """
+
+    def __init__(self, frequent: pa.Table, n_counted: int, classes: Classes, grid: np.ndarray, distinct: np.ndarray, n: int, v: int):
+        self.frequent, self.n, self.v = _one_array(frequent.column("word")), n, v
+        self.n_counted = n_counted
         self.counts = frequent.column("n").to_numpy().astype(np.float64)
-        classes = CLASSES
-        member = np.zeros((len(of_unit), classes))
-        member[np.arange(len(of_unit)), of_unit] = 1.0
-        grid = member.T @ bigrams @ member
         tokens = grid.sum(axis=0)
-        share = (tokens + 1.0) / (tokens.sum() + classes)
+        share = (tokens + 1.0) / (tokens.sum() + CLASSES)
         self.transition = np.log10((grid + SMOOTHING * share) / (grid.sum(axis=1, keepdims=True) + SMOOTHING))
         # a word of the class: (count + 1) over this; the end is sure in its class
-        self.room = np.log10(tokens + member.T @ distinct + 1.0)
-        self.ending_class = of_unit[1 + len(known):]
+        self.room = np.log10(tokens + distinct + 1.0)
+        self.ending_class = classes.of_ending
         data, offsets = text_bytes(self.frequent)
-        units = _find(self.frequent, known)
-        ends = 1 + len(known) + _endings(data, offsets[:-1], offsets[1:])
-        self.frequent_class = of_unit[np.where(units >= 0, units + 1, ends)] if len(units) else np.empty(0, np.int64)
+        by_ending = classes.of_ending[_endings(data, offsets[:-1], offsets[1:])]
+        self.frequent_class = np.concatenate([classes.of_word, by_ending[len(classes.of_word):]])
 
 
-def train(texts: DataFrame, counts: DataFrame, n_texts: int) -> ClassModel:
-    """Model from training texts and their word counts."""
-    known = most_frequent(counts, CLUSTERED).column("word")
-    known = pa.concat_arrays(known.chunks) if known.num_chunks else pa.array([], pa.large_binary())
-    bigrams = unit_bigrams(texts, known)
-    n_units = len(bigrams)
-    shared = texts.sparkSession.sparkContext.broadcast(known)
+def _distinct_words(counts: DataFrame, classes: Classes) -> np.ndarray:
+    """Distinct training words of each class."""
+    shared = counts.sparkSession.sparkContext.broadcast(classes.words)
 
-    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_units, np.int64)
+    def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ENDINGS, np.int64)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
-            at = _find(batch.column(0).cast(pa.large_binary()), shared.value)
-            total += np.bincount(np.where(at >= 0, at + 1, 1 + len(shared.value) + _endings(data, offsets[:-1], offsets[1:])), minlength=n_units)
+            other = _find(batch.column(0).cast(pa.large_binary()), shared.value) < 0
+            total += np.bincount(_endings(data, offsets[:-1], offsets[1:])[other], minlength=ENDINGS)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["unit", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["ending", "n"])
+
+    out = np.bincount(classes.of_word, minlength=CLASSES).astype(np.float64)
+    for r in map_batches(counts.select("word"), endings, "ending long, n long").groupBy("ending").agg(F.sum("n").alias("n")).collect():
+        out[classes.of_ending[r["ending"]]] += r["n"]  # a row for each ending
+    return out
 
-    distinct = np.zeros(n_units)
-    for r in map_batches(counts.select("word"), units, "unit long, n long").groupBy("unit").agg(F.sum("n").alias("n")).collect():
-        distinct[r["unit"]] = r["n"]  # a row for each unit
+
+def train(texts: DataFrame, counts: DataFrame, n_texts: int) -> ClassModel:
+    """Model from training texts and their word counts."""
+    table, (n_units, n_exchanged, n_counted) = frequent_words(counts, CLUSTERED, max(CLUSTERED, EXCHANGED), FREQUENT)
+    words = _one_array(table.column("word"))
+    bigrams = unit_bigrams(texts, words[:n_units])
+    of_unit = exchange_clusters(bigrams)
+    member = np.eye(CLASSES)[of_unit]
+    of_ending = of_unit[1 + n_units:]
+    named = words[n_units:n_exchanged]
+    data, offsets = text_bytes(named)
+    of_word = np.concatenate([of_unit[1:1 + n_units], of_ending[_endings(data, offsets[:-1], offsets[1:])]])
+    classes, grid = exchange_words(texts, Classes(words[:n_exchanged], of_word, of_ending), member.T @ bigrams @ member, n_units, WORD_PASSES)
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    return ClassModel(most_frequent(counts, FREQUENT), known, exchange_clusters(bigrams), bigrams, distinct,
+    return ClassModel(table, n_counted, classes, grid, _distinct_words(counts, classes),
                       (totals["n"] or 0) + n_texts, totals["v"] + (n_texts > 0))
 
 
@@ -282,9 +438,8 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
         logs = np.log10(m.counts + 1.0)
         for batch, i, j, w in _texts(batches, width):
             at = _find(w.array, m.frequent)
-            rare = at < 0
-            ending = m.ending_class[w.endings()]
-            cls = np.where(rare, ending, m.frequent_class[np.maximum(at, 0)] if len(m.frequent_class) else 0)
+            cls = np.where(at < 0, m.ending_class[w.endings()], m.frequent_class[np.maximum(at, 0)] if len(m.frequent_class) else 0)
+            rare = (at < 0) | (at >= m.n_counted)
             log_count = np.where(rare, 0.0, logs[np.maximum(at, 0)] if len(logs) else 0.0)
             chain, first = _chain(cls, w.first)
             before = np.concatenate([[_END], chain[:-1]])

@@ -127,3 +127,59 @@ def test_class_score_against_plain_python(spark, documents, make_docs, monkeypat
         score = sum(math.log10((grid[a, b] + class_lm.SMOOTHING * share[b]) / (grid[a].sum() + class_lm.SMOOTHING)) for a, b in zip(chain, chain[1:]))
         score += sum(math.log10((count[w] + 1) / (tokens[class_of(w)] + distinct[class_of(w)] + 1)) for w in words)
         assert got[d] == pytest.approx(score, rel=1e-9), d
+
+
+def test_word_contexts_and_moves_against_plain_python(spark, documents, make_docs, monkeypatch):
+    """Counts of classes around each word, the class table, and that a pass raises the likelihood."""
+    monkeypatch.setattr(class_lm, "CLUSTERED", 20)
+    rows = [(d, t) for d, t, *_ in documents][:80] + [(-1, None), (-2, ""), (-3, "echo echo echo " * 400)]
+    texts = make_docs(rows).select("text").repartition(3)
+    counts = class_lm.word_counts(texts)
+    table, (n_units, n_exchanged, _) = class_lm.frequent_words(counts, 20, 500, 10)
+    assert 0 < n_units <= 20 < n_exchanged <= 500
+    words = class_lm._one_array(table.column("word"))[:n_exchanged]
+    rng = np.random.default_rng(1)
+    classes = class_lm.Classes(words, rng.integers(1, class_lm.CLASSES, n_exchanged), rng.integers(1, class_lm.CLASSES, class_lm.ENDINGS))
+    number = {bytes(w.as_py()).decode(): i for i, w in enumerate(words)}
+
+    def class_of(word, c):
+        data = np.frombuffer(word.encode(), np.uint8)
+        ending = class_lm._endings(data, np.array([0]), np.array([len(data)]))[0]
+        return int(c.of_word[number[word]]) if word in number else int(c.of_ending[ending])
+
+    def counted(c):
+        cells, grid = Counter(), np.zeros((class_lm.CLASSES, class_lm.CLASSES))
+        for _, t in rows:
+            tokens = [None, *brute.spaced_words(t), None]
+            of = [0 if w is None else class_of(w, c) for w in tokens]
+            for a, b, x, y in zip(tokens, tokens[1:], of, of[1:]):
+                grid[x, y] += 1
+                i, j = number.get(a, -1), number.get(b, -1)
+                if i == j >= n_units:
+                    cells[i, 2 * class_lm.CLASSES] += 1
+                    continue
+                if i >= n_units:
+                    cells[i, y] += 1
+                if j >= n_units:
+                    cells[j, class_lm.CLASSES + x] += 1
+        return cells, grid
+
+    cells, grid = counted(classes)
+    got = {(r["word"], s["slot"]): s["n"] for r in class_lm.word_contexts(texts, classes, n_units).collect() for s in r["cells"]}
+    assert got == cells
+    assert (class_lm.class_bigrams(texts, classes) == grid).all()
+    moved, after = class_lm.exchange_words(texts, classes, grid, n_units, 2)
+    assert (after == counted(moved)[1]).all()
+    assert class_lm._likelihood(after) > class_lm._likelihood(grid)
+    assert (moved.of_word[:n_units] == classes.of_word[:n_units]).all() and (moved.of_word > 0).all()
+
+
+def test_more_words_of_their_own_class_predict_better(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text").withColumn("held_out", class_lm.held_out(F.col("doc_id")))
+    log = {}
+    for most in (0, class_lm.EXCHANGED):
+        monkeypatch.setattr(class_lm, "EXCHANGED", most)
+        sums = class_lm.score(docs, docs.where("NOT held_out")).groupBy("held_out").agg(F.sum("score").alias("s"), F.sum("n_tokens").alias("n")).collect()
+        log[most] = {r["held_out"]: r["s"] / r["n"] for r in sums}
+    print(log)
+    assert all(log[class_lm.EXCHANGED][h] > log[0][h] for h in (False, True))
