@@ -8,12 +8,14 @@ differences found so far down the tree and drops a whole group once they
 exceed the allowed distance, so only a polylogarithmic part of the codes is
 compared and no link is lost.
 
-Distributed form: the distinct fingerprints are cut into blocks by ranges of
-Gray rank.  The blocks' nodes (a bounded number, ``MAX_BLOCKS``) are the
-index's top; each fingerprint is routed through them to the blocks that may
-hold a partner, and each block task builds its own subtree and answers the
-fingerprints sent to it.  A task returns a spanning forest of the links it
-found, never all pairs of a group.
+Distributed form: the distinct fingerprints are cut into ranges of Gray rank,
+whose nodes (a bounded number, ``MAX_BLOCKS``) are the index's top.  A table
+of more than ``MAX_BLOCKS`` blocks has a second level: each range is cut into
+blocks of its own, whose nodes stay a table.  Each fingerprint is routed through
+the top to the ranges, and by an equi-join with their nodes to the blocks, that
+may hold a partner; each block task builds its own subtree and answers the
+fingerprints sent to it.  A block's size does not grow with the table.  A task
+returns a spanning forest of the links it found, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ from .components import connected_components, local_forest
 
 SHINGLE = 3
 MAX_DISTANCE = 2
-#: Distinct fingerprints a block aims at, and the most blocks (what routing broadcasts).
+#: Distinct fingerprints a block aims at, and the most nodes of the index's top
+#: (what routing broadcasts); more blocks are reached through a second level.
 BLOCK = 32_768
 MAX_BLOCKS = 4096
 #: Codes of a block that one task holds beside the queries sent to it; larger
@@ -148,22 +151,23 @@ def _place(bounds: np.ndarray):
     return run
 
 
-def _route(nodes: list[tuple[int, int, int]], distance: int):
-    """Sends each fingerprint to every block from its own on whose shared bits allow a partner."""
+def _route(nodes: list[tuple[int, int, int]], distance: int, first: int):
+    """Sends each fingerprint to every range, from ``first`` after its own on, whose
+    shared bits allow a partner."""
     block = np.array([n[0] for n in nodes], np.int64)
     mask = np.array([n[1] % 2**64 for n in nodes], np.uint64)
     pattern = np.array([n[2] % 2**64 for n in nodes], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp_all, own_all = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            fp_all, top_all, own_all = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for s in range(0, len(fp_all), 1024):
-                fp, own = fp_all[s:s + 1024], own_all[s:s + 1024]
+                fp, top, own = fp_all[s:s + 1024], top_all[s:s + 1024], own_all[s:s + 1024]
                 near = np.bitwise_count((fp[:, None] ^ pattern[None, :]) & mask[None, :]) <= distance
-                near &= block[None, :] > own[:, None]  # a pair is found from its lower block
+                near &= block[None, :] >= top[:, None] + first  # a pair is found from its lower block
                 i, j = np.nonzero(near)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block[j]), pa.array(fp[i].view(np.int64))], names=["block", "fp"])
+                    [pa.array(block[j]), pa.array(fp[i].view(np.int64)), pa.array(own[i])], names=["top", "fp", "own"])
     return run
 
 
@@ -198,6 +202,56 @@ def _signed_rank(fp):
     return fp.bitwiseXOR(F.lit(-2**63).cast("long"))
 
 
+def _nodes(placed: DataFrame, level: str, a: str = "fp", o: str = "fp") -> DataFrame:
+    """The bits that all codes below a node share: ones in both ``a`` and ``o``, zeros in neither."""
+    return placed.groupBy(level).agg(F.bit_and(a).alias("a"), F.bit_or(o).alias("o"))
+
+
+def _two_levels(tops: DataFrame, fine: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``tops`` (fp, top) cut into some ``fine`` blocks for each top: (fp, top, block), and
+    the rows routed to them: (block, fp)."""
+    tops = cut(tops)
+    rank = _signed_rank(F.col("fp"))
+    cuts = tops.groupBy("top").agg(F.percentile_approx(rank, [i / fine for i in range(1, fine)], 20 * fine).alias("cuts"))
+    within = F.size(F.filter("cuts", lambda c: c <= F.col("rank"))).cast("long")
+    placed = cut(tops.withColumn("rank", rank).join(cuts, "top").select("fp", "top", (F.col("top") * fine + within).alias("block")))
+    leaves = cut(_nodes(placed, "block").withColumn("top", F.floor(F.col("block") / F.lit(fine))))  # a row for each block
+    # at most ``max_blocks`` rows
+    nodes = [(r["top"], ~(r["a"] ^ r["o"]), r["a"]) for r in _nodes(leaves, "top", "a", "o").collect()]
+    routed = map_batches(placed, _route(nodes, distance, 0), "top long, fp long, own long")
+    differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("a")).bitwiseAND(F.bitwise_not(F.col("a").bitwiseXOR(F.col("o")))))
+    routed = routed.join(leaves, "top").where((F.col("block") > F.col("own")) & (differ <= distance))
+    return placed, routed.select("block", "fp")
+
+
+def block_rows(codes: DataFrame, distance: int = MAX_DISTANCE, block: int = BLOCK,
+               max_blocks: int = MAX_BLOCKS, task_codes: int = TASK_CODES) -> DataFrame:
+    """(block, deal, fp, role): the codes of every block and the fingerprints sent to it.
+
+    Role 0 is a block's own code that asks, 2 one that is only asked for, 1 a
+    fingerprint of a lower block.
+    """
+    n = codes.count()
+    n_tops = max(1, min(max_blocks, -(-n // block)))
+    fine = -(-n // (n_tops * block))
+    ranked = codes.select("fp", _signed_rank(F.col("fp")).alias("rank"))
+    # the bounds between ranges, at most ``max_blocks``
+    bounds = ranked.agg(F.percentile_approx("rank", [i / n_tops for i in range(1, n_tops)], 20 * n_tops)).first()[0] if n_tops > 1 else []
+    tops = map_batches(ranked, _place(np.unique(np.array(bounds or [], np.int64))), "fp long, top long")
+    if fine > 1:
+        placed, routed = _two_levels(tops, fine, distance)
+    else:
+        placed = cut(tops.select("fp", "top", F.col("top").alias("block")))
+        # at most ``max_blocks`` rows
+        nodes = [(r["block"], ~(r["a"] ^ r["o"]), r["a"]) for r in _nodes(placed, "block").collect()]
+        routed = map_batches(placed, _route(nodes, distance, 1), "top long, fp long, own long").select(F.col("top").alias("block"), "fp")
+    deals = max(1, -(-min(n, block) // task_codes))
+    deal = F.pmod(F.xxhash64("fp"), F.lit(deals))
+    own = placed.select("block", "fp", deal.alias("home"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
+    return (own.select("block", "fp", F.col("deal").cast("long"), F.when(F.col("home") == F.col("deal"), 0).otherwise(2).alias("role"))
+            .unionByName(routed.select("block", "fp", deal.cast("long").alias("deal"), F.lit(1).alias("role"))))
+
+
 def fingerprint_links(codes: DataFrame, distance: int = MAX_DISTANCE, block: int = BLOCK,
                       max_blocks: int = MAX_BLOCKS, task_codes: int = TASK_CODES) -> DataFrame:
     """Links (u, v) that connect distinct fingerprints as all pairs within ``distance`` do.
@@ -206,21 +260,7 @@ def fingerprint_links(codes: DataFrame, distance: int = MAX_DISTANCE, block: int
     forests per block, not every pair.
     """
     ship(codes.sparkSession)
-    n = codes.count()
-    n_blocks = max(1, min(max_blocks, -(-n // block)))
-    ranked = codes.select("fp", _signed_rank(F.col("fp")).alias("rank"))
-    # the bounds between blocks, at most ``max_blocks``
-    bounds = ranked.agg(F.percentile_approx("rank", [i / n_blocks for i in range(1, n_blocks)], 20 * n_blocks)).first()[0] if n_blocks > 1 else []
-    placed = cut(map_batches(ranked, _place(np.unique(np.array(bounds or [], np.int64))), "fp long, block long"))
-    # at most ``max_blocks`` rows
-    nodes = [(r["block"], ~(r["a"] ^ r["o"]), r["a"]) for r in
-             placed.groupBy("block").agg(F.bit_and("fp").alias("a"), F.bit_or("fp").alias("o")).collect()]
-    deals = max(1, -(-n // (n_blocks * task_codes)))
-    routed = map_batches(placed, _route(nodes, distance), "block long, fp long") if nodes else placed.select("block", "fp")
-    deal = F.pmod(F.xxhash64("fp"), F.lit(deals))
-    own = placed.select("block", "fp", deal.alias("home"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
-    rows = (own.select("block", "fp", F.col("deal").cast("long"), F.when(F.col("home") == F.col("deal"), 0).otherwise(2).alias("role"))
-            .unionByName(routed.select("block", "fp", deal.cast("long").alias("deal"), F.lit(1).alias("role"))))
+    rows = block_rows(codes, distance, block, max_blocks, task_codes)
     return rows.groupBy("block", "deal").applyInArrow(_block_links(distance), "u long, v long")
 
 

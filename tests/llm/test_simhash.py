@@ -106,3 +106,29 @@ def test_kept_rows_against_brute_force(spark, make_docs, documents):
     left = {i: brute.fingerprint(r["text"]) for i, r in enumerate(got)}
     assert len(set(brute.components(left).values())) == len(left) == len(best)
 
+
+
+@pytest.mark.parametrize("n", [150, 1200])
+def test_two_levels_lose_no_link(spark, n):
+    """More blocks than the top may have: ranges are cut again, and routing joins their nodes."""
+    codes = clustered_codes(n, 11)
+    df = spark.createDataFrame([(int(np.uint64(c).astype(np.int64)),) for c in codes], "fp long")
+    expected = brute.components({c: c for c in codes})
+    for kw in ({"block": 20, "max_blocks": 4}, {"block": 7, "max_blocks": 1, "task_codes": 3}):
+        labels = {r["node"] % 2**64: r["label"] for r in connected_components(simhash.fingerprint_links(df, **kw)).collect()}
+        pairs = {(labels.get(c, ("alone", c)), expected[c]) for c in codes}
+        assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
+def test_rows_grow_near_linearly_beyond_the_top(spark):
+    """Four times the fingerprints send some four to seven times the rows, not sixteen, and blocks stay small."""
+    rng, rows = random.Random(2), {}
+    for n in (2000, 8000):
+        df = spark.createDataFrame([(rng.getrandbits(64) - 2**63,) for _ in range(n)], "fp long").distinct()
+        simhash.ship(spark)
+        out = simhash.block_rows(df, block=50, max_blocks=4).groupBy("block", "role").count().collect()
+        rows[n] = sum(r["count"] for r in out)
+        own = [r["count"] for r in out if r["role"] == 0]
+        assert sum(own) == n and max(own) <= 100 and len(own) >= n // 50 // 2
+        assert sum(r["count"] for r in out if r["role"] == 2) == 0
+    assert rows[8000] < 8 * rows[2000]
