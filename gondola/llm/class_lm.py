@@ -416,6 +416,8 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
 
     ``training`` holds the texts to learn from.  A null or empty text is an end
     alone.  With no training text every token is unknown; scores are finite.
+    A very long text is scored whole; an empty table gives an empty one.  Words
+    that tie in frequency are taken or left together, by their level.
     Repeated rows come back repeated.  Incoming columns named like the added
     ones are replaced.
     """
