@@ -14,7 +14,7 @@ up to ``EXCHANGED``, are exchanged one by one, from the class of their ending:
 a grouped aggregation counts the classes before and after each word, and tasks
 move each word by the same gain against the shared class table, pass after
 pass, as long as the likelihood of the whole corpus rises.  Words beyond have
-their ending's class.
+their ending's class.  For the exchange the texts are stored as word numbers once.
 
 Emissions always use the word's own count.  For scoring, the counts of the
 ``FREQUENT`` most frequent words are sent to the tasks; the counts of all other
@@ -23,7 +23,7 @@ words are joined by a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,8 @@ PASSES = 30
 #: Most words that have a class of their own, and most passes over them.
 EXCHANGED = 1 << 18
 WORD_PASSES = 2
+#: Blocks of words that one task of the exchange holds at once.
+BLOCKS = 1024
 #: Most words whose counts are sent to the tasks.
 FREQUENT = 1 << 18
 #: Pseudo-count of the class shares in a transition.
@@ -128,39 +130,66 @@ def _one_array(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_binary())
 
 
-def _units(words: _Words, known: pa.Array) -> np.ndarray:
-    """Unit of each word: 1.. for clustered words, after them the endings."""
-    at = _find(words.array, known)
-    return np.where(at >= 0, at + 1, 1 + len(known) + words.endings())
-
-
 def _chain(of_words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values with one end after each text's words, and each text's first position."""
     ends = first[1:]
     return np.insert(of_words, ends, _END), first + np.arange(len(first))
 
 
-def unit_bigrams(texts: DataFrame, known: pa.Array) -> np.ndarray:
-    """Counts of successive units over all texts, as a square matrix."""
-    n_units = 1 + len(known) + ENDINGS
-    shared = texts.sparkSession.sparkContext.broadcast(known)
+def numbered(texts: DataFrame, words: pa.Array) -> DataFrame:
+    """The texts as numbers, 32 bits a word, in one binary column ``ids``: the word's
+    place in ``words``, or -1 less the number of its ending.  Stored, so the passes
+    below neither split nor look up words again; a numbered table is given back."""
+    if texts.columns == ["ids"]:
+        return texts
+    shared = texts.sparkSession.sparkContext.broadcast(words)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_units * n_units, np.int64)
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, w in _texts(batches):
-            units, first = _chain(_units(w, shared.value), w.first)
-            before = np.concatenate([[_END], units[:-1]]) if len(units) else units
-            total += np.bincount(before * n_units + units, minlength=len(total))
+            at = _find(w.array, shared.value)
+            ids = np.where(at >= 0, at, -1 - w.endings().astype(np.int64)).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), len(w.first) - 1, [None, pa.py_buffer((4 * w.first).astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([column], names=["ids"])
+
+    return stored(map_batches(texts, number, "ids binary"))
+
+
+def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word numbers of a step of numbered texts, and each text's first."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(0))
+        for i, j in steps(offsets, _STEP):
+            yield data[offsets[i]:offsets[j]].view(np.int32), (offsets[i:j + 1] - offsets[i]) // 4
+
+
+def _bigrams(ids: DataFrame, of_number: np.ndarray, size: int) -> np.ndarray:
+    """Counts of successive values over all numbered texts, as a square matrix;
+    ``of_number`` has each number's value, the endings' from its end."""
+    shared = ids.sparkSession.sparkContext.broadcast(of_number)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for numbers, first in _numbers(batches):
+            chain, _ = _chain(shared.value[numbers], first)
+            before = np.concatenate([[_END], chain[:-1]]) if len(chain) else chain
+            total += np.bincount(before * size + chain, minlength=len(total))
         at = np.flatnonzero(total)
         for s in range(0, len(at), 65_536):
             part = at[s:s + 65_536]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["pair", "n"])
 
-    pairs = map_batches(texts, count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    found = pairs.toArrow()  # at most n_units ** 2 rows
-    out = np.zeros(n_units * n_units)
+    pairs = map_batches(ids, count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    found = pairs.toArrow()  # at most size ** 2 rows
+    out = np.zeros(size * size)
     out[found.column("pair").to_numpy()] = found.column("n").to_numpy()
-    return out.reshape(n_units, n_units)
+    return out.reshape(size, size)
+
+
+def unit_bigrams(texts: DataFrame, words: pa.Array, n_named: int) -> np.ndarray:
+    """Counts of successive units: 1.. for the first ``n_named`` words, after them the endings."""
+    data, offsets = text_bytes(words[n_named:])
+    by_ending = 1 + n_named + np.concatenate([_endings(data, offsets[:-1], offsets[1:]), np.arange(ENDINGS)[::-1]])
+    return _bigrams(numbered(texts, words), np.concatenate([1 + np.arange(n_named), by_ending]), 1 + n_named + ENDINGS)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -197,6 +226,45 @@ def _best(gain: np.ndarray, old: int) -> int:
     return int(old) if gain[new] <= gain[old] + 1e-9 * abs(gain[old]) else new
 
 
+def _best_classes(grid: np.ndarray, cells: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """``_best`` of ``_gains`` for many units at once, each taken out of ``grid`` alone.
+
+    A row of ``cells`` holds a unit's counts of classes after and before it and of
+    itself.  Only classes that it meets change their column or row, so the terms
+    are those of the counts above zero.
+    """
+    size = len(grid)
+    r, l, own = cells[:, :size], cells[:, size:-1], cells[:, -1:]  # noqa: E741
+    unit, base = np.arange(len(cells)), _xlogx(grid)
+    gain = np.zeros(r.shape)
+    for mine, other, table, logs in ((r, l, grid.T, base.T), (l, r, grid, base)):
+        i, j = np.nonzero(mine)
+        if not len(i):
+            continue
+        n, at, of = mine[i, j], np.arange(len(i)), old[i]
+        rest, before = table[j], logs[j]
+        hit = j == of
+        rest[hit] -= other[i[hit]]
+        rest[at, of] -= n
+        before[hit] = _xlogx(rest[hit])
+        before[at, of] = _xlogx(rest[at, of])
+        terms = _xlogx(rest + n[:, None]) - before
+        terms[at, j] = 0.0  # the diagonal comes below
+        starts = np.flatnonzero(np.diff(i, prepend=-1))
+        gain[i[starts]] += np.add.reduceat(terms, starts, axis=0)
+    d = np.repeat(np.diagonal(grid)[None], len(cells), axis=0)
+    d[unit, old] -= r[unit, old] + l[unit, old] + own[:, 0]
+    gain += _xlogx(d + r + l + own) - _xlogx(d)
+    for mine, other, sums in ((r, l, grid.sum(axis=1)), (l, r, grid.sum(axis=0))):
+        taken = mine.sum(axis=1, keepdims=True) + own
+        left = sums - other
+        left[unit, old] -= taken[:, 0]
+        gain -= _xlogx(left + taken) - _xlogx(left)
+    gain[:, _END] = -np.inf
+    new, kept = np.argmax(gain, axis=1), gain[unit, old]
+    return np.where(gain[unit, new] <= kept + 1e-9 * np.abs(kept), old, new)
+
+
 def exchange_clusters(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
     """Class of each unit; the end (unit 0) keeps class 0 to itself."""
     n = len(bigrams)
@@ -243,74 +311,78 @@ class Classes:
     def __init__(self, words: pa.Array, of_word: np.ndarray, of_ending: np.ndarray):
         self.words, self.of_word, self.of_ending = words, of_word, of_ending
 
-    def find(self, w: _Words) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's number (-1 without one) and class."""
-        at = _find(w.array, self.words)
-        by_ending = self.of_ending[w.endings()]
-        return at, np.where(at >= 0, self.of_word[np.maximum(at, 0)], by_ending) if len(self.of_word) else by_ending
+    def of_number(self) -> np.ndarray:
+        """Class of each number of ``numbered``, the endings' from the end."""
+        return np.concatenate([self.of_word, self.of_ending[::-1]])
 
 
 def class_bigrams(texts: DataFrame, classes: Classes) -> np.ndarray:
     """Counts of successive classes over all texts."""
-    shared = texts.sparkSession.sparkContext.broadcast(classes)
+    return _bigrams(numbered(texts, classes.words), classes.of_number(), CLASSES)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES * CLASSES, np.int64)
-        for _, _, _, w in _texts(batches):
-            chain, _ = _chain(shared.value.find(w)[1], w.first)
-            before = np.concatenate([[_END], chain[:-1]]) if len(chain) else chain
-            total += np.bincount(before * CLASSES + chain, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["pair", "n"])
 
-    grid = np.zeros(CLASSES * CLASSES)
-    for r in map_batches(texts, count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        grid[r["pair"]] = r["n"]  # a row for each pair of classes
-    return grid.reshape(CLASSES, CLASSES)
+def _word_cells(words: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """(word, cells) of a block of words."""
+    i, slot = np.nonzero(sums)
+    cells = pa.StructArray.from_arrays([pa.array(slot.astype(np.int32)), pa.array(sums[i, slot])], names=["slot", "n"])
+    ends = pa.array(np.searchsorted(i, np.arange(len(words) + 1)), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(words), pa.ListArray.from_arrays(ends, cells)], names=["word", "cells"])
 
 
-def word_contexts(texts: DataFrame, classes: Classes, first: int) -> DataFrame:
+def word_contexts(texts: DataFrame, classes: Classes, first: int, finish: Callable[[np.ndarray, np.ndarray], pa.RecordBatch] = _word_cells,
+                  schema: str = "word int, cells array<struct<slot: int, n: long>>") -> DataFrame:
     """(word, cells) for the words numbered from ``first`` on; cells are (slot, n).
 
     Slots are the classes after the word, then the classes before it, then the
-    word itself after itself.
+    word itself after itself.  A task sends its combined counts as one row for
+    each block of words; ``finish`` makes the rows of a block from its words and
+    their counts (a row for each word, a column for each slot).
     """
-    shared = texts.sparkSession.sparkContext.broadcast(classes)
+    ids = numbered(texts, classes.words)
+    shared = ids.sparkSession.sparkContext.broadcast(classes.of_number())
     width = 2 * CLASSES + 1
+    room = width * -(-len(classes.words) // BLOCKS)  # of a block
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        held: list[np.ndarray] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                whole = pa.concat_tables(held).group_by("key").aggregate([("n", "sum")])
-                key = whole.column("key").to_numpy()
-                out = pa.table({"word": pa.array((key // width).astype(np.int32)), "slot": pa.array((key % width).astype(np.int32)),
-                                "n": whole.column("n_sum")})
-                yield from out.to_batches(max_chunksize=65_536)
+                key, n = np.unique(np.concatenate(held), return_counts=True)
                 held.clear()
-
-        for _, _, _, w in _texts(batches):
-            at, cls = shared.value.find(w)
-            chain, _ = _chain(cls, w.first)
-            ids = np.insert(at, w.first[1:], -1)
-            if len(ids) < 2:
+                blocks, starts = np.unique(key // room, return_index=True)
+                ends = pa.array(4 * np.append(starts, len(key)), pa.int32())
+                packed = [pa.Array.from_buffers(pa.binary(), len(blocks), [None, ends.buffers()[1], pa.py_buffer(x.astype(np.int32))]) for x in (key % room, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), *packed], names=["block", "cells", "n"])
+
+        for numbers, begin in _numbers(batches):
+            chain, _ = _chain(shared.value[numbers], begin)
+            word = np.insert(numbers, begin[1:], -1)
+            if len(word) < 2:
                 continue
-            a, b, of_a, of_b = ids[:-1], ids[1:], chain[:-1], chain[1:]
-            same = (a == b) & (a >= first)
-            after, before = (a >= first) & ~same, (b >= first) & ~same
+            at = np.where(word >= first, (word % BLOCKS).astype(np.int64) * room + (word // BLOCKS) * width, -1)
+            same = (word[:-1] == word[1:]) & (at[1:] >= 0)
+            after, before = (at[:-1] >= 0) & ~same, (at[1:] >= 0) & ~same
             # the step's first word follows an end
-            head = np.array([ids[0] * width + CLASSES + _END] if ids[0] >= first else [], np.int64)
-            keys = np.concatenate([a[after] * width + of_b[after], b[before] * width + CLASSES + of_a[before], a[same] * width + 2 * CLASSES, head])
-            key, n = np.unique(keys, return_counts=True)
-            held.append(pa.table({"key": pa.array(key), "n": pa.array(n)}))
-            if sum(t.num_rows for t in held) > 1_000_000:
+            head = at[:1][at[:1] >= 0] + CLASSES + _END
+            held.extend([at[:-1][after] + chain[1:][after], at[1:][before] + CLASSES + chain[:-1][before], at[1:][same] + 2 * CLASSES, head])
+            if sum(map(len, held)) > 4_000_000:
                 yield from flush()
         yield from flush()
 
-    # tasks have combined their counts, so one shuffle by word serves both groupings
-    cells = map_batches(texts, count, "word int, slot int, n long").repartition("word").groupBy("word", "slot").agg(F.sum("n").alias("n"))
-    return cells.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("cells"))  # at most ``width`` each
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, cells, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if block not in sums:
+                    sums[block] = np.zeros(room, np.int64)
+                sums[block][np.frombuffer(cells, np.int32)] += np.frombuffer(n, np.int32)  # a row has a cell once
+        for block in sorted(sums):
+            table = sums.pop(block).reshape(-1, width)
+            some = np.flatnonzero(table.any(axis=1))
+            yield finish((some * BLOCKS + block).astype(np.int32), table[some])
+
+    return map_batches(map_batches(ids, count, "block int, cells binary, n binary").repartition("block"), add, schema)
 
 
 def _likelihood(grid: np.ndarray) -> float:
@@ -321,32 +393,21 @@ def exchange_words(texts: DataFrame, classes: Classes, grid: np.ndarray, first:
     """``classes`` after exchange passes over the words numbered from ``first`` on, and
     their class bigrams.  Words of a pass move at once; a pass that does not raise the
     likelihood is left out and ends the exchange."""
-    spark = texts.sparkSession
+    ids = numbered(texts, classes.words)
     for _ in range(passes if len(classes.words) > first else 0):
-        shared = spark.sparkContext.broadcast((grid, classes.of_word))
+        shared = ids.sparkSession.sparkContext.broadcast((grid, classes.of_word))
 
-        def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def move(words: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
             table, of_word = shared.value  # noqa: B023
-            for batch in batches:
-                words = batch.column(0).to_numpy()
-                cells = batch.column(1)
-                ends = cells.offsets.to_numpy() - cells.offsets[0].as_py()
-                slot, n = (x.to_numpy() for x in cells.flatten().flatten())
-                new = of_word[words].copy()
-                for k, u in enumerate(words.tolist()):
-                    v = np.zeros(2 * CLASSES + 1)
-                    v[slot[ends[k]:ends[k + 1]]] = n[ends[k]:ends[k + 1]]
-                    rest = table.copy()
-                    _taken_out(rest, of_word[u], v[:CLASSES], v[CLASSES:-1], v[-1])
-                    new[k] = _best(_gains(rest, v[:CLASSES], v[CLASSES:-1], v[-1]), of_word[u])
-                moved = new != of_word[words]
-                yield pa.RecordBatch.from_arrays([pa.array(words[moved]), pa.array(new[moved].astype(np.int32))], names=["word", "class"])
-
-        moves = map_batches(word_contexts(texts, classes, first), move, "word int, class int").toArrow()  # at most ``EXCHANGED`` rows
+            new = _best_classes(table, cells.astype(np.float64), of_word[words])
+            moved = new != of_word[words]
+            return pa.RecordBatch.from_arrays([pa.array(words[moved]), pa.array(new[moved].astype(np.int32))], names=["word", "class"])
+
+        moves = word_contexts(ids, classes, first, move, "word int, class int").toArrow()  # at most ``EXCHANGED`` rows
         of_word = classes.of_word.copy()
         of_word[moves.column("word").to_numpy()] = moves.column("class").to_numpy()
         moved = Classes(classes.words, of_word, classes.of_ending)
-        table = class_bigrams(texts, moved) if moves.num_rows else grid
+        table = class_bigrams(ids, moved) if moves.num_rows else grid
         if _likelihood(table) <= _likelihood(grid):
             break
         classes, grid = moved, table
@@ -398,14 +459,15 @@ def train(texts: DataFrame, counts: DataFrame, n_texts: int) -> ClassModel:
     """Model from training texts and their word counts."""
     table, (n_units, n_exchanged, n_counted) = frequent_words(counts, CLUSTERED, max(CLUSTERED, EXCHANGED), FREQUENT)
     words = _one_array(table.column("word"))
-    bigrams = unit_bigrams(texts, words[:n_units])
+    ids = numbered(texts, words[:n_exchanged])
+    bigrams = unit_bigrams(ids, words[:n_exchanged], n_units)
     of_unit = exchange_clusters(bigrams)
     member = np.eye(CLASSES)[of_unit]
     of_ending = of_unit[1 + n_units:]
     named = words[n_units:n_exchanged]
     data, offsets = text_bytes(named)
     of_word = np.concatenate([of_unit[1:1 + n_units], of_ending[_endings(data, offsets[:-1], offsets[1:])]])
-    classes, grid = exchange_words(texts, Classes(words[:n_exchanged], of_word, of_ending), member.T @ bigrams @ member, n_units, WORD_PASSES)
+    classes, grid = exchange_words(ids, Classes(words[:n_exchanged], of_word, of_ending), member.T @ bigrams @ member, n_units, WORD_PASSES)
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     return ClassModel(table, n_counted, classes, grid, _distinct_words(counts, classes),
                       (totals["n"] or 0) + n_texts, totals["v"] + (n_texts > 0))

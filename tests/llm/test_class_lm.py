@@ -183,3 +183,20 @@ def test_more_words_of_their_own_class_predict_better(spark, monkeypatch):
         log[most] = {r["held_out"]: r["s"] / r["n"] for r in sums}
     print(log)
     assert all(log[class_lm.EXCHANGED][h] > log[0][h] for h in (False, True))
+
+
+def test_classes_of_many_words_at_once_equal_one_by_one():
+    rng = np.random.default_rng(7)
+    size = 9
+    grid = rng.integers(0, 60, (size, size)).astype(float)
+    cells, old = np.zeros((300, 2 * size + 1)), rng.integers(1, size, 300)
+    for k, c in enumerate(old):  # counts that the table holds; some units meet no class
+        r, l = (np.floor(rng.random(size) * (rng.random(size) < 0.5) * x / 3) for x in (grid[c], grid[:, c]))  # noqa: E741
+        cells[k] = [*r, *l, rng.integers(0, 2) * (grid[c, c] // 4)] if k % 10 else 0
+    want = []
+    for v, c in zip(cells, old):
+        rest = grid.copy()
+        class_lm._taken_out(rest, c, v[:size], v[size:-1], v[-1])
+        want.append(class_lm._best(class_lm._gains(rest, v[:size], v[size:-1], v[-1]), c))
+    got = class_lm._best_classes(grid, cells, old)
+    assert got.tolist() == want and (got != old).any() and (got == old).any()
