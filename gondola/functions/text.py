@@ -55,10 +55,19 @@ def strip_chars(name: str) -> Column:
     return F.expr(f"btrim(CAST({_sql_name(name)} AS STRING), {_sql_text(UNICODE_WHITESPACE)})")
 
 
+def strip_all(names) -> Column:
+    """An array of the named columns, each as ``strip_chars`` has it."""
+    return F.expr(f"transform(array({', '.join(f'CAST({_sql_name(n)} AS STRING)' for n in names)}), x -> btrim(x, {_sql_text(UNICODE_WHITESPACE)}))")
+
+
 def fill_empty(name: str, value: str = NOT_FILLED) -> Column:
-    """The named column with null or empty text as ``value``."""
+    """The named column with null or empty text as ``value``.
+
+    ``coalesce`` with a literal is known to hold no null, so a join on the column
+    adds no filter that computes it a second time.
+    """
     c = _sql_name(name)
-    return F.expr(f"CASE WHEN {c} IS NULL OR {c} = '' THEN {_sql_text(value)} ELSE {c} END")
+    return F.expr(f"coalesce(CASE WHEN {c} <> '' THEN {c} END, {_sql_text(value)})")
 
 
 def _java_replacement(text: str) -> str:

@@ -412,3 +412,16 @@ def test_lattice_counts_repeated_and_null_ids(spark):
             expected |= {k: (sum(d["turnover"] for d in v), len({d["product_id"] for d in v}), len({d["product_code"] for d in v})) for k, v in cells.items()}
         got = {tuple(r)[:-3]: tuple(r)[-3:] for r in kpi_lattice(df, grains).collect()}
         assert got == expected
+
+
+def test_cleaning_together_is_cleaning_apart(spark):
+    from gondola.operators.standardize import fill_empty_columns, strip_columns, strip_together
+
+    rows = [("\u00a0a\t", None), ("", "  "), (None, "b c"), ("\u3000", "\n")]
+    df = spark.createDataFrame(rows, "`a.b` string, c string").withColumn("n", F.lit(1))
+    apart, together = strip_columns(df.withColumnRenamed("a.b", "ab"), ["ab", "c"]), strip_together(df.withColumnRenamed("a.b", "ab"), ["ab", "missing", "c"])
+    assert together.columns == apart.columns == ["ab", "c", "n"]
+    assert [tuple(r) for r in together.collect()] == [tuple(r) for r in apart.collect()] == [("a", None, 1), ("", "", 1), (None, "b c", 1), ("", "", 1)]
+    filled = fill_empty_columns(together, ["ab", "c"], "-")
+    assert [tuple(r)[:2] for r in filled.collect()] == [("a", "-"), ("-", "-"), ("-", "b c"), ("-", "-")]
+    assert not filled.schema["ab"].nullable and not filled.schema["c"].nullable

@@ -56,3 +56,24 @@ def test_no_id_is_shuffled_once_per_grain(plan_of):
 def test_scan_reads_only_needed_columns(plan_of):
     schemas = re.findall(r"/part\.parquet.*?ReadSchema: struct<([^>]*)>", plan_of("unit_inconsistency"))
     assert schemas and all("p_retailprice" not in s and "p_container" not in s for s in schemas)
+
+
+@pytest.mark.parametrize("name", ["standardize_feed", "map_products", "silver", "kpis_l4", "product_sample", "prepare_product_map"])
+def test_no_generated_method_is_too_long_to_be_compiled(spark, name):
+    """HotSpot runs a method of more than 8,000 bytes uncompiled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().debug().codegenToSeq()
+        longest = max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert longest < 8000
+
+
+def test_the_map_joins_do_not_exchange_the_feed(spark):
+    """The maps are there, and small, before the feed is joined with them."""
+    df = QUERIES["map_products"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "__spread" in plan and not re.search(r"Exchange hashpartitioning\([^)]*level_1#\d+[^)]*product", plan)
+    assert not re.search(r"SortMergeJoin \[retailer", plan)
