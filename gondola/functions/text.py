@@ -55,9 +55,18 @@ def strip_chars(name: str) -> Column:
     return F.expr(f"btrim(CAST({_sql_name(name)} AS STRING), {_sql_text(UNICODE_WHITESPACE)})")
 
 
-def strip_all(names) -> Column:
-    """An array of the named columns, each as ``strip_chars`` has it."""
-    return F.expr(f"transform(array({', '.join(f'CAST({_sql_name(n)} AS STRING)' for n in names)}), x -> btrim(x, {_sql_text(UNICODE_WHITESPACE)}))")
+def strip_edges(name: str) -> Column:
+    """The named column as ``strip_chars`` has it, for a column that holds text.
+
+    ``btrim`` looks for a text's edges in the whole White_Space set, which costs more
+    than all else that cleans a line; a text between two visible ASCII signs is not
+    given to it.  The lambda, which Spark interprets, is left to the others.
+    """
+    c = _sql_name(name)
+    last = f"substring({c}, -1, 1)"
+    bare = f"{c} >= '!' AND {c} < '\\u007F' AND {last} >= '!' AND {last} < '\\u007F'"
+    stripped = f"get(transform(array({c}), x -> btrim(x, {_sql_text(UNICODE_WHITESPACE)})), 0)"
+    return F.expr(f"CASE WHEN {c} IS NULL OR {c} = '' OR ({bare}) THEN {c} ELSE {stripped} END")
 
 
 def fill_empty(name: str, value: str = NOT_FILLED) -> Column:

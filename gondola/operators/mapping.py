@@ -27,6 +27,7 @@ from gondola.functions.text import classification_path
 from gondola.operators.shaping import select_existing
 
 RETAILER = "retailer"
+SPREAD_BY = ("product_id", "product_code", "month")
 
 
 def _map_side(mapping: DataFrame, keys: Sequence[str], standards: Sequence[str]) -> DataFrame:
@@ -37,8 +38,12 @@ def _map_side(mapping: DataFrame, keys: Sequence[str], standards: Sequence[str])
 def _left_join(feed: DataFrame, mapping: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left equi-join.  A line whose key holds a null matches nothing; such lines
     get a number of their own as one more key, so that a join by shuffle spreads
-    them instead of meeting them all in one partition."""
-    spread = F.when(any_null(keys), F.xxhash64(*[F.col(f"`{c}`") for c in feed.columns])).otherwise(F.lit(0).cast("long"))
+    them instead of meeting them all in one partition.  The number is made of the
+    few columns that tell lines apart best, where the feed has them: made of all, it
+    would have every column computed and carried through the join for reports that
+    read three of them."""
+    own = [c for c in SPREAD_BY if c in feed.columns] or feed.columns
+    spread = F.when(any_null(keys), F.xxhash64(*[F.col(f"`{c}`") for c in own])).otherwise(F.lit(0).cast("long"))
     # always zero, but no literal: the planner would take that out of the keys
     zero = F.xxhash64(*keys) % 1
     out = feed.withColumn("__spread", spread).join(mapping.withColumn("__spread", zero), [*keys, "__spread"], "left")

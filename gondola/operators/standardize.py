@@ -36,9 +36,9 @@ from gondola.functions.text import (
     department_from_zip,
     fill_empty,
     replace_first,
-    strip_all,
     strip_chars,
     strip_department_prefix,
+    strip_edges,
     zero_fill,
 )
 from gondola.operators.shaping import add_required_columns, set_constants_by_retailer
@@ -53,7 +53,7 @@ def strip_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def strip_together(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """C1 on columns that are used together, by one lambda over all of them.
+    """C1 on the listed columns that exist, in one projection.
 
     Spark computes a projection with a lambda apart from the scans and joins below
     and the projections above it, in short methods.  As part of one generated
@@ -63,8 +63,8 @@ def strip_together(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    stripped = df.withColumn("__stripped", strip_all(columns))
-    return stripped.withColumns({c: F.get("__stripped", F.lit(i)) for i, c in enumerate(columns)}).drop("__stripped")
+    texts = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in columns})
+    return texts.withColumns({c: strip_edges(c) for c in columns})
 
 
 def fill_empty_columns(df: DataFrame, columns: Sequence[str], value: str = NOT_FILLED) -> DataFrame:
@@ -96,11 +96,10 @@ def standardize_feed(
     ``df`` holds canonical column names (after ``rename_columns``) and a
     ``retailer`` column; ``feeds`` describes each retailer present.
     """
-    given = [[c for c in natives if c in df.columns and c in strip] for natives in (levels, segments)]
+    given = [c for c in strip if c in df.columns]
     df = add_required_columns(df, [required_defaults(levels), required_defaults(segments)])
-    df = strip_columns(df, [c for c in strip if not any(c in g for g in given)])
-    for columns in given:
-        df = strip_together(df, columns)
+    df = strip_together(df, given)
+    df = strip_columns(df, [c for c in strip if c not in given])
     df = fill_empty_columns(df, list(levels) + list(segments))
 
     # amounts in two projections: the normalised text is computed once and

@@ -122,25 +122,35 @@ JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
 JOIN {places} n ON s.s_nationkey = n.n_nationkey
 """
 
-# What the two maps need of it: the parts and the kinds of order that each
-# retailer sells.  Every line has its part, order and customer, so the joins that
-# these leave out would drop nothing; the fact table is reduced to pairs of keys
-# before any other join.
-KEYS_SQL = """
-SELECT DISTINCT k.{key}, n.retailer
-FROM {{keys}} k
-JOIN {{supplier}} s ON k.l_suppkey = s.s_suppkey
-JOIN {{places}} n ON s.s_nationkey = n.n_nationkey
+# What the two maps need of it: the parts and the kinds of order that each retailer
+# sells.  Every line has its part, order and customer, so the joins that these leave
+# out would drop nothing.  The product map reduces the fact table to pairs of keys
+# before any other join.  The customer map joins the lines with their orders at once,
+# as pairs of keys would be nearly as many, and keeps the few kinds of order.  Both
+# tell regions apart by number and put the retailer's name in last.
+RETAILERS_SQL = """
+SELECT r_regionkey, lower(replace(r_name, ' ', '_')) AS retailer FROM {region}
+"""
+
+PART_KEYS_SQL = """
+SELECT DISTINCT k.l_partkey, n.n_regionkey
+FROM {keys} k JOIN {supplier} s ON k.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey
 """
 
 PRODUCT_BASE_SQL = """
-SELECT l.retailer, p.p_name, p.p_brand, p.p_type, p.p_size
-FROM {sellers} l JOIN {part} p ON l.l_partkey = p.p_partkey
+SELECT r.retailer, p.p_name, p.p_brand, p.p_type, p.p_size
+FROM {sellers} l JOIN {part} p ON l.l_partkey = p.p_partkey JOIN {regions} r ON l.n_regionkey = r.r_regionkey
+"""
+
+CUSTOMER_KINDS_SQL = """
+SELECT DISTINCT n.n_regionkey, o.o_orderpriority, o.o_orderstatus, o.c_mktsegment
+FROM {keys} k JOIN {sold} o ON k.l_orderkey = o.o_orderkey
+JOIN {supplier} s ON k.l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey
 """
 
 CUSTOMER_BASE_SQL = """
-SELECT l.retailer, o.o_orderpriority, o.o_orderstatus, o.c_mktsegment
-FROM {sellers} l JOIN {sold} o ON l.l_orderkey = o.o_orderkey
+SELECT r.retailer, k.o_orderpriority, k.o_orderstatus, k.c_mktsegment
+FROM {kinds} k JOIN {regions} r ON k.n_regionkey = r.r_regionkey
 """
 
 # The five test retailers: middle_east has no product ids, asia gives a zip
@@ -176,6 +186,8 @@ class FixtureFeed:
         self.tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
         t = self.tables
         self.places = F.broadcast(spark.sql(PLACES_SQL, nation=t["nation"], region=t["region"]))  # a row for each nation
+        self.nation = F.broadcast(t["nation"].select("n_nationkey", "n_regionkey"))
+        self.regions = F.broadcast(spark.sql(RETAILERS_SQL, region=t["region"]))
         self.sold = spark.sql(SOLD_SQL, orders=t["orders"], customer=t["customer"])
         # The fact table is hash-partitioned on the orders key: a file with a
         # single row group would otherwise be read (and joined, and cleaned)
@@ -185,10 +197,9 @@ class FixtureFeed:
         self.base = spark.sql(SPARK_BASE_SQL, lineitem=t["lineitem"].repartition("l_orderkey"), sold=self.sold,
                               part=t["part"], supplier=t["supplier"], places=self.places)
 
-    def _sellers(self, key: str) -> DataFrame:
-        """The distinct pairs of a key of the fact table and a retailer that sells it."""
-        keys = self.tables["lineitem"].select(key, "l_suppkey").repartition(key)
-        return self.spark.sql(KEYS_SQL.format(key=key), keys=keys, supplier=self.tables["supplier"], places=self.places)
+    def _keys(self, key: str) -> DataFrame:
+        """A key of the fact table beside its suppliers, dealt by that key."""
+        return self.tables["lineitem"].select(key, "l_suppkey").repartition(key)
 
     @property
     def feed(self) -> DataFrame:
@@ -196,12 +207,14 @@ class FixtureFeed:
 
     @property
     def product_map(self) -> DataFrame:
-        base = self.spark.sql(PRODUCT_BASE_SQL, sellers=self._sellers("l_partkey"), part=self.tables["part"])
+        sellers = self.spark.sql(PART_KEYS_SQL, keys=self._keys("l_partkey"), supplier=self.tables["supplier"], nation=self.nation)
+        base = self.spark.sql(PRODUCT_BASE_SQL, sellers=sellers, part=self.tables["part"], regions=self.regions)
         return self._written(self.spark.sql(PRODUCT_MAP_SQL, base=base))
 
     @property
     def customer_map(self) -> DataFrame:
-        base = self.spark.sql(CUSTOMER_BASE_SQL, sellers=self._sellers("l_orderkey"), sold=self.sold)
+        kinds = self.spark.sql(CUSTOMER_KINDS_SQL, keys=self._keys("l_orderkey"), sold=self.sold, supplier=self.tables["supplier"], nation=self.nation)
+        base = self.spark.sql(CUSTOMER_BASE_SQL, kinds=kinds, regions=self.regions)
         return self._written(self.spark.sql(CUSTOMER_MAP_SQL, base=base))
 
     def _written(self, table: DataFrame) -> DataFrame:
