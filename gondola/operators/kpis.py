@@ -100,16 +100,21 @@ def _ids_and_codes(df: DataFrame, cell: Sequence[str], amount: Column) -> DataFr
 
 def _chains(grains: Sequence[Grain], every: Sequence[str]) -> list[list[tuple[Grain, list[str]]]]:
     """Grains in chains whose columns beyond ``every`` are nested, each with the
-    columns that it adds to the one before."""
-    chains: list[list[tuple[Grain, list[str]]]] = []
-    for g in sorted(grains, key=lambda g: (g.levels, len(g.columns))):
-        own = [c for c in [*g.levels, *g.dims] if c not in every]
-        held = [c for _, added in chains[-1] for c in added] if chains else []
-        if chains and chains[-1][-1][0].levels == g.levels and set(held) <= set(own):
-            chains[-1].append((g, [c for c in own if c not in held]))
-        else:
-            chains.append([(g, own)])
-    return chains
+    columns that it adds to the one before: the grains of a level prefix, or those
+    of a dimension prefix, whichever needs fewer chains."""
+
+    def chained(rank, columns) -> list[list[tuple[Grain, list[str]]]]:
+        chains: list[list[tuple[Grain, list[str]]]] = []
+        for g in sorted(grains, key=lambda g: (rank(g), len(g.columns))):
+            own = [c for c in columns(g) if c not in every]
+            held = [c for _, added in chains[-1] for c in added] if chains else []
+            if chains and rank(chains[-1][-1][0]) == rank(g) and set(held) <= set(own):
+                chains[-1].append((g, [c for c in own if c not in held]))
+            else:
+                chains.append([(g, own)])
+        return chains
+
+    return min(chained(lambda g: g.levels, lambda g: [*g.levels, *g.dims]), chained(lambda g: g.dims, lambda g: [*g.dims, *g.levels]), key=len)
 
 
 def _first_seen(rows: DataFrame, within: Sequence[str], chains) -> tuple[DataFrame, dict[str, str]]:
@@ -149,7 +154,8 @@ def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str
     # All rows of an id (a null id or code is a value too, as n_unique counts it)
     # within what every grain keeps apart lie in one partition, so an id is
     # counted in each of its cells there, once, and cells add up from then on.
-    within = [*key, *every, "_kind", "_value"]
+    # The value comes first: it settles nearly every comparison of a sort.
+    within = ["_value", "_kind", *every, *key]
     flagged, flags = _first_seen(fine.repartition(*within), within, _chains(grains, every))
     # both counts of a grain in one number: ids above, codes below
     counts = {f: F.sum(F.when(F.col("_kind") == 0, F.col(f) * F.lit(1 << 32)).otherwise(F.col(f))).alias(f) for f in flags.values()}
