@@ -50,6 +50,14 @@ def _compared_levels(levels: Sequence[str], compat_level4: bool) -> list[str]:
     return levels
 
 
+def _by_product(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by product once: a product's entries and windows and the join
+    with the misclassified products find them there and exchange nothing more.  As
+    many partitions as the session's shuffles have, as so many steps in one task
+    are to have few rows each."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), KEY)
+
+
 def _entries(rows: DataFrame, levels: Sequence[str], presence_level: str) -> DataFrame:
     """Distinct (product, level, retailer, value) with ``shown``: some row of the
     retailer holds the value beside a level 1."""
@@ -94,6 +102,7 @@ def misclassification_variants(rows: DataFrame, *, levels: Sequence[str] = PRODU
     classification, unit and segments); its size is linear in the input, where
     the combinations of the retailers' variants would multiply.
     """
+    rows = _by_product(rows)
     bad = conflicting_products(rows, levels=levels, min_present=min_present, compat_level4=compat_level4)
     return rows.join(bad, KEY, "left_semi")
 
@@ -102,6 +111,7 @@ def misclassification_long(rows: DataFrame, *, levels: Sequence[str] = PRODUCT_S
                            min_present: int = 2, compat_level4: bool = False) -> DataFrame:
     """R5 long: one row per misclassified product x level x standard value
     with the retailers using it (sorted, comma-joined)."""
+    rows = _by_product(rows)
     bad = conflicting_products(rows, levels=levels, min_present=min_present, compat_level4=compat_level4)
     kept = rows.join(bad, KEY, "left_semi")
     stacked = kept.select(

@@ -77,3 +77,10 @@ def test_the_map_joins_do_not_exchange_the_feed(spark):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "__spread" in plan and not re.search(r"Exchange hashpartitioning\([^)]*level_1#\d+[^)]*product", plan)
     assert not re.search(r"SortMergeJoin \[retailer", plan)
+
+
+def test_comparison_rows_are_dealt_by_product_once(plan_of):
+    """A product's entries, windows and semi-join are where its rows are."""
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*product_id#[^)]*)\)", plan_of("misclass_variants"))
+    dealt = [by for by in dealt if "level_1_standard" not in by]  # but for the distinct rows
+    assert len(dealt) == 2 and all(re.fullmatch(r"product_id#\d+, \d+", by) for by in dealt)
