@@ -60,11 +60,12 @@ def strip_edges(name: str) -> Column:
 
     ``btrim`` looks for a text's edges in the whole White_Space set, which costs more
     than all else that cleans a line; a text between two visible ASCII signs is not
-    given to it.  The lambda, which Spark interprets, is left to the others.
+    given to it.  The last sign is read as a byte: a text's last character is found
+    by counting all of them.  The lambda, which Spark interprets, is left to the others.
     """
     c = _sql_name(name)
-    last = f"substring({c}, -1, 1)"
-    bare = f"{c} >= '!' AND {c} < '\\u007F' AND {last} >= '!' AND {last} < '\\u007F'"
+    last = f"substring(CAST({c} AS BINARY), -1, 1)"
+    bare = f"{c} >= '!' AND {c} < '\\u007F' AND {last} BETWEEN X'21' AND X'7E'"
     stripped = f"get(transform(array({c}), x -> btrim(x, {_sql_text(UNICODE_WHITESPACE)})), 0)"
     return F.expr(f"CASE WHEN {c} IS NULL OR {c} = '' OR ({bare}) THEN {c} ELSE {stripped} END")
 

@@ -188,7 +188,9 @@ class FixtureFeed:
         self.places = F.broadcast(spark.sql(PLACES_SQL, nation=t["nation"], region=t["region"]))  # a row for each nation
         self.nation = F.broadcast(t["nation"].select("n_nationkey", "n_regionkey"))
         self.regions = F.broadcast(spark.sql(RETAILERS_SQL, region=t["region"]))
-        self.sold = spark.sql(SOLD_SQL, orders=t["orders"], customer=t["customer"])
+        # Joined by a hash table of the orders of a partition, several times fewer and
+        # shorter than its lines, which then need no sort.
+        self.sold = spark.sql(SOLD_SQL, orders=t["orders"], customer=t["customer"]).hint("shuffle_hash")
         # The fact table is hash-partitioned on the orders key: a file with a
         # single row group would otherwise be read (and joined, and cleaned)
         # by one task, and at scale this is the partitioning the sort-merge

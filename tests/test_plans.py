@@ -84,3 +84,8 @@ def test_comparison_rows_are_dealt_by_product_once(plan_of):
     dealt = re.findall(r"Exchange hashpartitioning\(([^)]*product_id#[^)]*)\)", plan_of("misclass_variants"))
     dealt = [by for by in dealt if "level_1_standard" not in by]  # but for the distinct rows
     assert len(dealt) == 2 and all(re.fullmatch(r"product_id#\d+, \d+", by) for by in dealt)
+
+
+def test_lines_are_not_sorted_for_their_orders(plan_of):
+    plan = plan_of("kpis_l1")
+    assert "ShuffledHashJoin [l_orderkey" in plan and "Sort [l_orderkey" not in plan
