@@ -104,8 +104,10 @@ def mapped_product_keys(feed: DataFrame, product_map: DataFrame, *,
     Holds exactly the distinct (retailer, keys, levels, standards) combinations
     of silver (left joins only repeat lines), from a table bounded by the
     product catalogue instead of the sales lines; reports that look only at
-    product classification (unicity checks) run on it.
+    product classification (unicity checks) run on it.  The exchange after it
+    lets a report that reads the table twice, with other columns each time, share
+    it: without, the planner would reduce the whole feed once for each.
     """
     present = [k for k in keys if k in feed.columns]
-    distinct_keys = feed.select(RETAILER, *present, *levels).distinct()
+    distinct_keys = feed.select(RETAILER, *present, *levels).distinct().repartition(RETAILER, *present)
     return map_products(distinct_keys, product_map, levels=levels, standards=standards)

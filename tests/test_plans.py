@@ -89,3 +89,8 @@ def test_comparison_rows_are_dealt_by_product_once(plan_of):
 def test_lines_are_not_sorted_for_their_orders(plan_of):
     plan = plan_of("kpis_l1")
     assert "ShuffledHashJoin [l_orderkey" in plan and "Sort [l_orderkey" not in plan
+
+
+def test_unicity_reduces_the_feed_once(plan_of):
+    """Offending keys and their details share the feed's distinct keys."""
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan_of("unicity_code_ids"))) == 1
