@@ -18,11 +18,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gondola.config import PRODUCT_STANDARDS
 
 RETAILER = "retailer"
 
+# Signs between texts packed as one, and for a null or one of the two in a text.
+_BORDER, _ESCAPE = "\u0001", "\u0002"
+
+# Shares in which the ids of a year and level 1 are dealt out.
+ID_SHARES = 32
+
 # FIXED VALUES: dimension prefixes of the KPI lattice and their report names.
 DIMENSIONS = {
     "": ["year"],
@@ -91,11 +98,12 @@ def _as_amount(c: Column, scale: int | None) -> Column:
 
 
 def _ids_and_codes(df: DataFrame, cell: Sequence[str], amount: Column) -> DataFrame:
-    """A row (kind, value) for the product id, with the amount, and one for the code."""
+    """A row (kind, value) for the product id and one for the code, with the amount:
+    a code may have several ids."""
     nothing = F.when(F.lit(False), amount)
     return df.select(*cell, F.inline(F.array(
-        F.struct(F.lit(0).alias("_kind"), F.col("product_id").alias("_value"), amount.alias("turnover")),
-        F.struct(F.lit(1).alias("_kind"), F.col("product_code").alias("_value"), nothing.alias("turnover")))))
+        F.struct(F.lit(0).alias("_kind"), F.col("product_id").alias("_value"), nothing.alias("turnover")),
+        F.struct(F.lit(1).alias("_kind"), F.col("product_code").alias("_value"), amount.alias("turnover")))))
 
 
 def _chains(grains: Sequence[Grain], every: Sequence[str]) -> list[list[tuple[Grain, list[str]]]]:
@@ -117,26 +125,41 @@ def _chains(grains: Sequence[Grain], every: Sequence[str]) -> list[list[tuple[Gr
     return min(chained(lambda g: g.levels, lambda g: [*g.levels, *g.dims]), chained(lambda g: g.dims, lambda g: [*g.dims, *g.levels]), key=len)
 
 
-def _first_seen(rows: DataFrame, within: Sequence[str], chains) -> tuple[DataFrame, dict[str, str]]:
-    """``rows`` with a flag (0 or 1) for each grain: the first row of its cell
-    within the columns ``within``.
+def _packed(cols: Sequence[str]) -> Column:
+    """Texts, nulls included, as one text that ``_unpacked`` takes apart."""
+    plain = [F.replace(F.replace(F.col(c), F.lit(_ESCAPE), F.lit(_ESCAPE + "b")), F.lit(_BORDER), F.lit(_ESCAPE + "a")) for c in cols]
+    return F.concat_ws(_BORDER, *[F.coalesce(c, F.lit(_ESCAPE)) for c in plain]) if cols else F.lit("")
+
+
+def _unpacked(packed: str, cols: Sequence[str]) -> list[Column]:
+    texts = [F.get(F.split(packed, _BORDER), F.lit(i)) for i in range(len(cols))]
+    plain = [F.replace(F.replace(t, F.lit(_ESCAPE + "a"), F.lit(_BORDER)), F.lit(_ESCAPE + "b"), F.lit(_ESCAPE)) for t in texts]
+    return [F.when(t != _ESCAPE, p).alias(c) for t, p, c in zip(texts, plain, cols)]
+
+
+def _first_seen(rows: DataFrame, within: Sequence[str], chains) -> tuple[DataFrame, dict[str, Column]]:
+    """``rows`` with a flag (0 or 1) for each grain, a bit of a ``_flags`` number: the
+    first row of its cell within the columns ``within``.
 
     Sorted by a chain's columns in the order in which its grains add them, the
     rows of a cell lie together for every grain of the chain, so a row begins a
     cell where it differs from the row before.
     """
-    flags = {}
-    for i, chain in enumerate(chains):
+    flags: dict[str, Column] = {}
+    for chain in chains:
         order = [c for _, added in chain for c in added]
         w = Window.partitionBy(*within).orderBy(*order) if order else Window.partitionBy(*within).orderBy(F.lit(0))
         rows = rows.withColumns({f"_p{k}": F.lag(c).over(w) for k, c in enumerate(order)} | {"_p": F.lag(F.lit(True)).over(w)})
-        new, k = F.col("_p").isNull(), 0
-        for j, (g, added) in enumerate(chain):
+        new, k, numbers = F.col("_p").isNull(), 0, {}
+        for g, added in chain:
             for c in added:
                 new, k = new | ~F.col(c).eqNullSafe(F.col(f"_p{k}")), k + 1
-            flags[g.name] = f"_n{i}_{j}"
-            rows = rows.withColumn(flags[g.name], new.cast("long"))
-        rows = rows.drop("_p", *[f"_p{k}" for k in range(len(order))])
+            word, bit = divmod(len(flags), 60)
+            number = f"_flags{word}"
+            flags[g.name] = F.shiftright(number, bit).bitwiseAND(F.lit(1))
+            held = numbers.get(number, F.col(number) if number in rows.columns else F.lit(0).cast("long"))
+            numbers[number] = held.bitwiseOR(F.when(new, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long")))
+        rows = rows.withColumns(numbers).drop("_p", *[f"_p{k}" for k in range(len(order))])
     return rows, flags
 
 
@@ -149,23 +172,42 @@ def kpi_lattice(silver: DataFrame, grains: Sequence[Grain], *, key: Sequence[str
     """
     dims = lattice_columns(grains)
     every = [c for c in dims if all(c in g.columns for g in grains)]
-    lines = _ids_and_codes(_with_product_id(silver), [*key, *dims], _as_amount(F.col("turnover"), amount_scale))
-    fine = lines.groupBy(*key, *dims, "_kind", "_value").agg(F.sum("turnover").alias("turnover"))
+    # The rows of ids are exchanged twice and sorted for each chain, so the texts of
+    # a cell travel as one, those that every grain keeps apart first.
+    types = silver.select(*[F.col(c).alias(c) for c in [*key, *dims]]).schema
+    texts = [c for c in types.names if types[c].dataType == StringType()]
+    other = [c for c in types.names if c not in texts]
+    apart = [c for c in [*key, *every] if c in texts]
+    rest = [c for c in dims if c in texts and c not in apart]
+    given = _with_product_id(silver).select("product_id", "product_code", "turnover", *other, _packed([*apart, *rest]).alias("_cell"))
+    lines = _ids_and_codes(given, ["_cell", *other], _as_amount(F.col("turnover"), amount_scale))
+    fine = lines.groupBy("_cell", *other, "_kind", "_value").agg(F.sum("turnover").alias("turnover"))
     # All rows of an id (a null id or code is a value too, as n_unique counts it)
     # within what every grain keeps apart lie in one partition, so an id is
     # counted in each of its cells there, once, and cells add up from then on.
+    # Ids are dealt in shares, so that a partition has few cells and adds up many
+    # rows of each; their number is given, as short rows would be merged into
+    # partitions whose sorts spill.
+    at = F.substring_index("_cell", _BORDER, len(apart))
+    deal = F.pmod(F.xxhash64("_value"), F.lit(ID_SHARES)) * 2 + F.col("_kind")
+    kept = [c for c in other if c in key or c in every]
+    parts = int(silver.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = fine.repartition(parts, at, *kept, deal).select("_value", deal.alias("_deal"), at.alias("_apart"), *other, "turnover", *_unpacked("_cell", [*apart, *rest])[len(apart):])
     # The value comes first: it settles nearly every comparison of a sort.
-    within = ["_value", "_kind", *every, *key]
-    flagged, flags = _first_seen(fine.repartition(*within), within, _chains(grains, every))
+    flagged, flags = _first_seen(dealt, ["_value", "_deal", "_apart", *kept], _chains(grains, every))
     # both counts of a grain in one number: ids above, codes below
-    counts = {f: F.sum(F.when(F.col("_kind") == 0, F.col(f) * F.lit(1 << 32)).otherwise(F.col(f))).alias(f) for f in flags.values()}
-    cells = flagged.groupBy(*key, *dims).agg(F.sum("turnover").alias("turnover"), *counts.values())
+    one = F.when(F.col("_deal") % 2 == 0, F.lit(1 << 32)).otherwise(F.lit(1).cast("long")).alias("_one")
+    numbers = [c for c in flagged.columns if c.startswith("_flags")]
+    counts = {g.name: f"_n{i}" for i, g in enumerate(grains)}
+    cells = (flagged.select("_apart", _packed(rest).alias("_rest"), *other, "turnover", *numbers, one).groupBy("_apart", "_rest", *other)
+             .agg(F.sum("turnover").alias("turnover"), *[F.sum(flags[g] * F.col("_one")).alias(n) for g, n in counts.items()])
+             .select(*_unpacked("_apart", apart), *_unpacked("_rest", rest), *other, "turnover", *counts.values()))
     # one row per (finest cell, grain); ``grain`` in the key keeps a rolled-up
     # null apart from a real null
     per_grain = F.inline(F.array(*[
         F.struct(F.lit(g.name).alias("grain"),
                  *[(F.col(c).cast("string") if c in g.columns else F.lit(None).cast("string")).alias(c) for c in dims],
-                 F.col(flags[g.name]).alias("_n"))
+                 F.col(counts[g.name]).alias("_n"))
         for g in grains]))
     out = cells.select(*key, "turnover", per_grain).groupBy("grain", *key, *dims).agg(
         F.sum("turnover").alias("turnover"),
